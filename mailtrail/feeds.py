@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import layout
+from .operators import control
 
 RUN_ID = "run_demo"
 REFERENCE = date(2024, 1, 31)
@@ -26,19 +27,11 @@ LINES_PER_FILE = 250
 _TS = "ts - INTERVAL 1 DAY * (event_id % 400)"
 
 
-def _dmyhm(ts: str) -> str:
-    two = "lpad(CAST({}({}) AS STRING), 2, '0')".format
+def _dmyhm(stamp: str) -> str:
+    """dd/MM/yyyy HH:mm out of 'yyyy-MM-dd HH:mm:ss'."""
     return (
-        f"{two('day', ts)} || '/' || {two('month', ts)} || '/' || CAST(year({ts}) AS STRING)"
-        f" || ' ' || {two('hour', ts)} || ':' || {two('minute', ts)}"
-    )
-
-
-def _short(ts: str) -> str:
-    part = "CAST({}({}) AS STRING)".format
-    return (
-        f"{part('day', ts)} || '/' || {part('month', ts)} || '/' || {part('year', ts)}"
-        f" || '  ' || {part('hour', ts)} || ':' || {part('minute', ts)}"
+        f"substr({stamp}, 9, 2) || '/' || substr({stamp}, 6, 2) || '/' || substr({stamp}, 1, 4)"
+        f" || ' ' || substr({stamp}, 12, 5)"
     )
 
 
@@ -63,18 +56,20 @@ SELECT event_id, ts, file_no,
   CASE WHEN event_id % 19 = 4 THEN '31/02/2024 10:00'
        WHEN event_id % 19 = 9 THEN CASE user_id % 3 WHEN 0 THEN '-' WHEN 1 THEN ''
             ELSE '99/99/2013 18:30' END
-       WHEN event_id % 19 = 14 THEN {_short('visit_at')}
-       WHEN event_id % 13 = 5 THEN ' ' || {_dmyhm('visit_at')} || '  '
-       ELSE {_dmyhm('visit_at')} END AS f5,
+       WHEN event_id % 19 = 14 THEN CAST(CAST(substr(sent, 1, 2) AS INTEGER) AS STRING) || '/'
+          || CAST(CAST(substr(sent, 4, 2) AS INTEGER) AS STRING) || substr(sent, 6, 5)
+          || '  ' || substr(sent, 12, 5)
+       WHEN event_id % 13 = 5 THEN ' ' || sent || '  '
+       ELSE sent END AS f5,
   CASE WHEN event_id % 29 = 7 THEN '30/02/2024 01:00'
-       WHEN event_type IN ('view', 'click') THEN {_dmyhm('visit_at + INTERVAL 2 HOUR')}
+       WHEN event_type IN ('view', 'click') THEN opened
        WHEN event_id % 2 = 0 THEN '-' ELSE '' END AS f6,
   CASE WHEN event_id % 23 = 1 THEN CASE user_id % 5 WHEN 0 THEN 'ABC' WHEN 1 THEN '-3'
             WHEN 2 THEN '99999999999999999999' WHEN 3 THEN '+5' ELSE '1.5' END
        WHEN event_type = 'view' THEN CAST(CAST(floor(value) AS BIGINT) AS STRING)
        WHEN event_id % 2 = 0 THEN '-' ELSE '' END AS f7,
   CASE WHEN event_id % 31 = 2 THEN '-0' WHEN event_id % 3 = 0 THEN ' 2 ' ELSE '0' END AS f8,
-  CASE WHEN event_type = 'click' THEN {_dmyhm('visit_at + INTERVAL 3 HOUR')}
+  CASE WHEN event_type = 'click' THEN clicked
        WHEN event_id % 37 = 5 THEN 'x' ELSE '-' END AS f9,
   CASE WHEN event_type = 'click' THEN CAST(user_id % 9 AS STRING)
        WHEN event_id % 43 = 6 THEN '-3' ELSE '0' END AS f10,
@@ -86,11 +81,18 @@ SELECT event_id, ts, file_no,
   CASE WHEN event_id % 4 = 0 THEN 'Firefox' ELSE '-' END AS f14,
   CASE WHEN event_id % 5 = 0 THEN 'Android' ELSE '' END AS f15
 FROM (
-  SELECT event_id, ts, user_id, event_type, value, props, {_TS} AS visit_at,
+  SELECT event_id, ts, user_id, event_type, value, props,
+    {_dmyhm('sent_at')} AS sent, {_dmyhm('opened_at')} AS opened,
+    {_dmyhm('clicked_at')} AS clicked,
     CAST((event_id - event_id % {LINES_PER_FILE}) / {LINES_PER_FILE} AS BIGINT) AS file_no,
     'user' || CAST(user_id AS STRING) || '@mail' || CAST(user_id % 7 AS STRING)
       || '.example.com' AS mail
-  FROM {{events}}
+  FROM (
+    SELECT event_id, ts, user_id, event_type, value, props, CAST({_TS} AS STRING) AS sent_at,
+      CAST({_TS} + INTERVAL 2 HOUR AS STRING) AS opened_at,
+      CAST({_TS} + INTERVAL 3 HOUR AS STRING) AS clicked_at
+    FROM {{events}}
+  ) AS stamped
 ) AS dated
 """
 
@@ -102,13 +104,16 @@ def _csv(field: str) -> str:
     )
 
 
-_JOINED = " || ',' || ".join(_csv(f"f{i}") for i in range(1, 15))
+# Only links and ips can hold a comma or a quote.
+_JOINED = " || ',' || ".join(
+    _csv(f"f{i}") if i in (12, 13) else f"f{i}" for i in range(1, 15)
+)
 
 # Every event as one report line.
 LINES = f"""
 SELECT event_id, ts, file_no, source_file, source_line,
   CASE WHEN n_fields = 0 THEN '' ELSE {_JOINED}
-    || CASE WHEN n_fields >= 15 THEN ',' || {_csv('f15')} ELSE '' END
+    || CASE WHEN n_fields >= 15 THEN ',' || f15 ELSE '' END
     || CASE WHEN n_fields = 16 THEN ',extra' ELSE '' END END AS raw_record
 FROM ({FIELDS}) AS fields
 """
@@ -270,3 +275,76 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def duckdb_cte(name: str, sql: str) -> str:
     """A feed as a DuckDB common table expression over the registered views."""
     return f"{name} AS ({sql.format(**{t: t for t in TABLES})})"
+
+
+def _event(schema: str, condition: Column, **given: Column) -> Column:
+    """One event row when the condition holds; columns it does not give are null."""
+    fields = [part.strip().split(" ") for part in schema.split(",")]
+    row = F.struct(*[given.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in fields])
+    return F.when(condition, row)
+
+
+def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lifecycle of every file of ``file_control`` as events."""
+    files = file_control(spark, sf_dir)
+    status, col = F.col("status"), F.col
+    loaded = col("load_finished_at").isNotNull()
+    parsed = ~status.isin("DETECTED", "STAGED", "SKIPPED_ALREADY_PROCESSED", "REJECTED_LAYOUT")
+    backed_up = status.isin("BACKED_UP", "PENDING_SOURCE_DELETE", "SUCCESS")
+    ended = ~status.isin("DETECTED", "STAGED", "PREPARED", "LOADED", "BACKED_UP", "SUCCESS")
+    later = lambda minutes: col("detected_at") + F.expr(f"INTERVAL {minutes} MINUTE")
+    steps = [
+        ("detected", F.lit(True), {
+            "at": col("detected_at"), "run_id": col("run_id"), "file_name": col("file_name"),
+            "source_path": col("source_path"), "status": F.lit("DETECTED")}),
+        ("staged", status != "DETECTED", {
+            "at": col("staged_at"), "file_size": col("file_size"),
+            "checksum_sha256": col("checksum_sha256"), "status": F.lit("STAGED")}),
+        ("status", parsed & (col("file_id") % 5 == 0), {
+            "at": later(2), "status": F.lit("FAILED"), "error_code": F.lit("TimeoutError"),
+            "error_message": F.lit("first try")}),
+        ("retried", parsed & (col("file_id") % 5 == 0), {"at": later(2)}),
+        ("metrics", parsed, {
+            "at": later(3),
+            **{c: col(c) for c in ("records_read", "records_valid", "records_invalid")}}),
+        ("status", parsed, {"at": later(3), "status": F.lit("PREPARED")}),
+        ("load_finished", loaded, {
+            "at": col("load_finished_at"), "status": F.lit("LOADED"),
+            "records_loaded": col("records_loaded")}),
+        ("backed_up", backed_up, {
+            "at": col("backup_at"), "backup_uri": col("backup_uri"),
+            "status": F.lit("BACKED_UP")}),
+        ("source_deleted", status == "SUCCESS", {
+            "at": col("source_deleted_at"), "status": F.lit("SUCCESS")}),
+        ("status", ended, {
+            "at": col("updated_at"), "status": status, "error_code": col("error_code"),
+            "error_message": col("error_message")}),
+    ]
+    events = [
+        _event(
+            control.FILE_EVENT_SCHEMA, condition, file_id=col("file_id"), seq=F.lit(seq),
+            event=F.lit(name), **given,
+        )
+        for seq, (name, condition, given) in enumerate(steps, start=1)
+    ]
+    return files.select(F.inline(F.array_compact(F.array(*events))))
+
+
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registration and end of every run."""
+    col = F.col
+    failed = F.minute("start_time") % 3 == 0
+    events = [
+        _event(
+            control.RUN_EVENT_SCHEMA, F.lit(True), run_id=col("run_id"), seq=F.lit(1),
+            event=F.lit("started"), at=col("start_time"), dag_id=col("dag_id"),
+            execution_date=col("execution_date"), status=F.lit("RUNNING"),
+        ),
+        _event(
+            control.RUN_EVENT_SCHEMA, col("end_time").isNotNull(), run_id=col("run_id"),
+            seq=F.lit(2), event=F.lit("finished"), at=col("end_time"),
+            status=F.when(failed, "FAILED").otherwise("SUCCESS"),
+            error_code=F.when(failed, "RuntimeError"),
+        ),
+    ]
+    return registered_runs(spark, sf_dir).select(F.inline(F.array_compact(F.array(*events))))

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from .text import two_digits
 
 _LENIENT = r"^[0-9]{2}/[0-9]{2}/[0-9]{4} [0-9]{2}:[0-9]{2}\z"
-_STRICT = r"(?U)^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}[\s\x1c-\x1f]+[0-9]{1,2}:[0-9]{1,2}\z"
-_STRICT_SEPARATORS = r"(?U)[/:]|[\s\x1c-\x1f]+"
+_STRICT = (
+    r"(?U)^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})[\s\x1c-\x1f]+([0-9]{1,2}):([0-9]{1,2})\z"
+)
 
 
 def _build(year: Column, month: Column, day: Column, hour: Column, minute: Column) -> Column:
@@ -20,33 +21,29 @@ def _build(year: Column, month: Column, day: Column, hour: Column, minute: Colum
     return F.try_make_timestamp_ntz(*parts, F.lit(0).cast("decimal(16,6)"))
 
 
+def _fixed_places(value: Column) -> Column:
+    return _build(
+        F.substring(value, 7, 4), F.substring(value, 4, 2), F.substring(value, 1, 2),
+        F.substring(value, 12, 2), F.substring(value, 15, 2),
+    )
+
+
 def parse_lenient(trimmed: Column) -> Column:
     """dd/MM/yyyy HH:mm, two-digit parts only; null when it is no such time."""
-    return F.when(
-        trimmed.rlike(_LENIENT),
-        _build(
-            F.substring(trimmed, 7, 4),
-            F.substring(trimmed, 4, 2),
-            F.substring(trimmed, 1, 2),
-            F.substring(trimmed, 12, 2),
-            F.substring(trimmed, 15, 2),
-        ),
-    )
+    return F.when(trimmed.rlike(_LENIENT), _fixed_places(trimmed))
 
 
 def parse_strict(stripped: Column) -> Column:
-    """d/M/yyyy H:m with one or two digits and any white space between date and time."""
-    parts = F.split(stripped, _STRICT_SEPARATORS, -1)
-    year = F.get(parts, F.lit(2))
+    """d/M/yyyy H:m with one or two digits and any white space between date and time.
+
+    The usual two-digit form is cut at fixed places; only other forms use the groups.
+    """
+    day, month, year, hour, minute = (F.regexp_extract(stripped, _STRICT, n) for n in range(1, 6))
     return F.when(
-        stripped.rlike(_STRICT) & (year != "0000"),
-        _build(
-            year,
-            F.get(parts, F.lit(1)),
-            F.get(parts, F.lit(0)),
-            F.get(parts, F.lit(3)),
-            F.get(parts, F.lit(4)),
-        ),
+        stripped.rlike(_LENIENT) & (F.substring(stripped, 7, 4) != "0000"),
+        _fixed_places(stripped),
+    ).when(
+        stripped.rlike(_STRICT) & (year != "0000"), _build(year, month, day, hour, minute)
     )
 
 

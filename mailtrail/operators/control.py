@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import layout
+from ..sources.lines import written
 
 RUN_COUNTERS = [
     "files_detected", "files_processed", "files_success", "files_rejected", "files_failed",
@@ -96,21 +97,25 @@ def fold_files(events: DataFrame) -> DataFrame:
     )
 
 
-def register_files(manifest: DataFrame, last_file_id: int, run_id: str) -> DataFrame:
+def register_files(
+    manifest: DataFrame, last_file_id: int, run_id: str, scratch: str
+) -> DataFrame:
     """Give new files their ids in name order, after the highest id so far.
 
-    Ids come from the sorted order without a global window: positions inside the sorted
-    partitions plus the sizes of the partitions before.
+    An id is the file's position in the sorted order: its place in its sorted partition
+    plus the sizes of the partitions before. Places are written before they are counted.
     """
-    ordered = manifest.orderBy("file_name").withColumn("_at", F.monotonically_increasing_id())
-    ranked = ordered.withColumn("_part", F.shiftright("_at", 33))
+    placed = written(
+        manifest.orderBy("file_name").withColumn("_place", F.monotonically_increasing_id()),
+        f"{scratch}/places",
+    ).withColumn("_part", F.shiftright("_place", 33))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = ranked.groupBy("_part").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")
+    sizes = placed.groupBy("_part").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")
     )
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    return ranked.join(offsets, "_part").select(
-        (F.lit(last_file_id) + F.col("_before") + F.col("_at") - F.col("_first") + 1)
+    return placed.join(offsets, "_part").select(
+        (F.lit(last_file_id) + F.col("_before") + F.col("_place") - F.col("_first") + 1)
         .cast("bigint").alias("file_id"),
         F.lit(run_id).alias("run_id"),
         *manifest.columns,

@@ -19,6 +19,17 @@ def _lineage(frame: DataFrame) -> list[str]:
     return [c for c in frame.columns if c not in layout.FIELD_NAMES]
 
 
+def _fenced(frame: DataFrame, keep: list[str], computed: list[Column]) -> DataFrame:
+    """Add computed columns that the optimizer takes as given from here on.
+
+    They pass through a one-row generator. Later projections and filters then refer to them
+    instead of being merged with them, which would copy the parse of a line into every
+    place that looks at one of its fields.
+    """
+    staged = frame.select(*keep, F.struct(*computed).alias("_computed"))
+    return staged.select(*keep, F.inline(F.array("_computed")))
+
+
 def parse_lines(lines: DataFrame, profile: RuleProfile = RuleProfile.STRICT) -> DataFrame:
     """raw_record -> the 15 source fields as text, plus column_count.
 
@@ -29,16 +40,17 @@ def parse_lines(lines: DataFrame, profile: RuleProfile = RuleProfile.STRICT) ->
     keep = lines.columns
     if profile.strict:
         split = lines.select(*keep, text.split_fields(F.col("raw_record")).alias("_fields"))
-        return split.select(
-            *keep,
-            F.size("_fields").alias("column_count"),
-            *[F.get("_fields", F.lit(i)).alias(n) for i, n in enumerate(layout.FIELD_NAMES)],
-        )
+        fields = [F.get("_fields", F.lit(i)).alias(n) for i, n in enumerate(layout.FIELD_NAMES)]
+        return _fenced(split, keep, [F.size("_fields").alias("column_count"), *fields])
     blanks = F.lit("".join(map(chr, range(33))))
-    parsed = lines.filter(F.btrim("raw_record", blanks) != "").select(
-        *keep, F.from_csv("raw_record", SOURCE_SCHEMA, CSV_OPTIONS).alias("_row")
+    parsed = _fenced(
+        lines, keep,
+        [
+            (F.btrim("raw_record", blanks) == "").alias("_blank"),
+            F.from_csv("raw_record", SOURCE_SCHEMA, CSV_OPTIONS).alias("_row"),
+        ],
     )
-    return parsed.select(
+    return parsed.filter("NOT _blank").select(
         *keep,
         F.lit(layout.REPORT_WIDTH).alias("column_count"),
         *[
@@ -114,8 +126,8 @@ def check(normalized: DataFrame, profile: RuleProfile = RuleProfile.STRICT) -> D
         ),
     ).otherwise(rules.error_description(bad, given))
     keep = [c for c in normalized.columns if not c.endswith("_given") or c == "email_given"]
-    flagged = normalized.select(
-        *keep, codes.alias("error_codes"), description.alias("error_description")
+    flagged = _fenced(
+        normalized, keep, [codes.alias("error_codes"), description.alias("error_description")]
     )
     return flagged.withColumn("is_valid", F.size("error_codes") == 0)
 
