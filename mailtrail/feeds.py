@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import layout
 from .operators import control
+from .session import scratch_folder
 
 RUN_ID = "run_demo"
 REFERENCE = date(2024, 1, 31)
@@ -133,7 +134,8 @@ SELECT file_name, source_line, raw_record FROM (
   FROM ({LINES}) AS lines WHERE source_line = 2
 ) AS originals
 UNION ALL
-SELECT 'report_00' || CAST(file_no AS STRING) || '.txt' AS file_name, source_line, raw_record FROM (
+SELECT 'report_00' || CAST(file_no AS STRING) || '.txt' AS file_name, source_line, raw_record
+FROM (
   SELECT source_line, raw_record, file_no FROM ({LINES}) AS lines
   UNION ALL
   SELECT CAST(1 AS BIGINT) AS source_line, {_HEADER} AS raw_record, file_no
@@ -277,13 +279,6 @@ def duckdb_cte(name: str, sql: str) -> str:
     return f"{name} AS ({sql.format(**{t: t for t in TABLES})})"
 
 
-def _event(schema: str, condition: Column, **given: Column) -> Column:
-    """One event row when the condition holds; columns it does not give are null."""
-    fields = [part.strip().split(" ") for part in schema.split(",")]
-    row = F.struct(*[given.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in fields])
-    return F.when(condition, row)
-
-
 def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lifecycle of every file of ``file_control`` as events."""
     files = file_control(spark, sf_dir)
@@ -321,7 +316,7 @@ def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "error_message": col("error_message")}),
     ]
     events = [
-        _event(
+        control.event(
             control.FILE_EVENT_SCHEMA, condition, file_id=col("file_id"), seq=F.lit(seq),
             event=F.lit(name), **given,
         )
@@ -335,12 +330,12 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     col = F.col
     failed = F.minute("start_time") % 3 == 0
     events = [
-        _event(
+        control.event(
             control.RUN_EVENT_SCHEMA, F.lit(True), run_id=col("run_id"), seq=F.lit(1),
             event=F.lit("started"), at=col("start_time"), dag_id=col("dag_id"),
             execution_date=col("execution_date"), status=F.lit("RUNNING"),
         ),
-        _event(
+        control.event(
             control.RUN_EVENT_SCHEMA, col("end_time").isNotNull(), run_id=col("run_id"),
             seq=F.lit(2), event=F.lit("finished"), at=col("end_time"),
             status=F.when(failed, "FAILED").otherwise("SUCCESS"),
@@ -348,3 +343,27 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     ]
     return registered_runs(spark, sf_dir).select(F.inline(F.array_compact(F.array(*events))))
+
+
+def write_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The landing folder as real text files named like the reports; returns its path.
+
+    Spark writes one part per file name; the parts then get their report names.
+    """
+    folder = scratch_folder(spark, "landing")
+    (
+        landing_lines(spark, sf_dir)
+        .repartition("file_name")
+        .sortWithinPartitions("file_name", "source_line")
+        .select("raw_record", "file_name")
+        .write.partitionBy("file_name").text(f"{folder}/parts")
+    )
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    target = path(f"{folder}/in")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    for part in fs.globStatus(path(f"{folder}/parts/*/part-*")):
+        name = part.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(part.getPath(), path(f"{folder}/in/{name}"))
+    fs.create(path(f"{folder}/in/{EMPTY_FILE}")).close()
+    return f"{folder}/in"

@@ -43,6 +43,13 @@ FILE_EVENT_TIMES = {
 }
 
 
+def event(schema: str, condition: Column, **given: Column) -> Column:
+    """One event row when the condition holds; columns it does not give are null."""
+    fields = [part.strip().split(" ") for part in schema.split(",")]
+    row = F.struct(*[given.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in fields])
+    return F.when(condition, row)
+
+
 def _last(name: str) -> Column:
     """The newest value an event gave for a column."""
     seq = F.when(F.col(name).isNotNull(), F.col("seq"))

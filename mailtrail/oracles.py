@@ -600,3 +600,75 @@ ORACLES: dict[str, str] = {
            WHERE severity <> 'INFO'""",
     ),
 }
+
+# --- report files ---------------------------------------------------------------------------
+
+_CTES["landing_fields"] = f"""landing_fields AS (
+  SELECT {feeds._NAME} AS file_name, * EXCLUDE (source_file) FROM fields
+  UNION ALL
+  SELECT 'report_00' || CAST(file_no AS VARCHAR) AS file_name, * EXCLUDE (source_file)
+  FROM fields WHERE file_no % 10 = 7)""".replace(
+    "CAST(file_no AS VARCHAR) AS file_name", "CAST(file_no AS VARCHAR) || '.txt' AS file_name"
+)
+_NEEDS["landing_fields"] = ["fields"]
+_CTES["contents"] = f"""contents AS (
+  SELECT file_name, string_agg(raw_record, chr(10) ORDER BY source_line) || chr(10) AS content
+  FROM landing GROUP BY file_name
+  UNION ALL SELECT '{feeds.EMPTY_FILE}', '')"""
+_NEEDS["contents"] = ["landing"]
+
+_FIELD_SOURCES = dict(zip(layout.FIELD_NAMES, [f"f{i}" for i in range(1, 16)]))
+ORACLES |= {
+    "file_manifest": with_ctes(
+        "contents", "SELECT file_name, strlen(content) AS size_bytes FROM contents"
+    ),
+    "candidate_files": with_ctes(
+        "contents",
+        r"""SELECT file_name, strlen(content) AS size_bytes FROM contents
+           WHERE regexp_full_match(file_name, 'report_[0-9]+\.txt')""",
+    ),
+    "landing_glob_check": with_ctes(
+        "contents",
+        "SELECT file_name FROM contents WHERE file_name LIKE 'report%' AND file_name LIKE '%.txt'",
+    ),
+    "file_checksums": with_ctes(
+        "contents",
+        """SELECT file_name, strlen(content) AS size_bytes, sha256(content) AS checksum_sha256
+           FROM contents""",
+    ),
+    "scan_csv_reports": with_ctes(
+        "landing_fields",
+        "SELECT file_name AS source_file, "
+        + ", ".join(
+            f"CASE WHEN {c} <> ''{' AND n_fields > 14' if c == 'f15' else ''} THEN {c} END AS {n}"
+            for n, c in _FIELD_SOURCES.items()
+        )
+        + " FROM landing_fields WHERE n_fields > 0 AND file_name LIKE 'report%'",
+    ),
+    "scan_lines_numbered": with_ctes(
+        "landing",
+        """SELECT file_name, source_line AS line_number, raw_record FROM landing
+           WHERE file_name LIKE 'report%'""",
+    ),
+    "staging_size_check": with_ctes(
+        "contents",
+        """SELECT CASE WHEN bytes % 7 = 0 THEN file_name || '.gone' ELSE file_name END AS file_name,
+             bytes + CASE WHEN bytes % 5 = 0 THEN 1 ELSE 0 END AS size_bytes,
+             CASE WHEN bytes % 7 <> 0 THEN bytes END AS staged_bytes,
+             CASE WHEN bytes % 7 = 0 THEN 'MISSING' WHEN bytes % 5 = 0 THEN 'SIZE_MISMATCH'
+               ELSE 'OK' END AS staging_state
+           FROM (SELECT file_name, strlen(content) AS bytes FROM contents) AS s WHERE bytes > 0""",
+    ),
+    "archive_verification": with_ctes(
+        "contents",
+        f"""SELECT file_name, bytes AS size_bytes,
+             regexp_replace(file_name, '\\.txt$', '') || '_{RUN_ID}.zip' AS archive_name,
+             CASE WHEN bytes = 0 THEN 'OK' WHEN bytes % 7 = 0 THEN 'MISSING'
+               WHEN bytes % 5 = 0 THEN 'EMPTY' WHEN bytes % 5 = 1 THEN 'CHECKSUM_MISMATCH'
+               WHEN bytes % 5 = 3 THEN 'DUPLICATE_MEMBER' ELSE 'OK' END AS archive_state
+           FROM (SELECT file_name, strlen(content) AS bytes FROM contents) AS s""",
+    ),
+    "roundtrip_estadistica": ORACLES["estadistica"],
+    "roundtrip_errores": ORACLES["errores"],
+    "roundtrip_visitante": ORACLES["visitors_rebuild"],
+}

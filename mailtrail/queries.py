@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from . import feeds, layout
 from .feeds import HISTORY_REFERENCE, REFERENCE, RUN_ID
-from .functions import rules, text
+from .functions import status, text
 from .functions.rules import RuleProfile
-from .operators import checks, control, layout_gate, records, reports, visitors
+from .operators import archive, checks, control, layout_gate, records, reports, visitors
+from .plans import publish
 from .session import scratch_folder
+from .sources import csv_reports, landing, lines
 from .sources.lines import written
 
 STRICT, LENIENT = RuleProfile.STRICT, RuleProfile.LENIENT
@@ -63,9 +65,9 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _files(spark, sf_dir)
     runs = feeds.registered_runs(spark, sf_dir)
     counted = control.update_runs(runs, control.run_metrics(files))
-    status = F.when(F.col("end_time").isNull(), "RUNNING").otherwise(F.col("final_status"))
+    current = F.when(F.col("end_time").isNull(), "RUNNING").otherwise(F.col("final_status"))
     return counted.join(control.final_status(runs, files), "run_id").select(
-        *counted.columns, status.alias("status")
+        *counted.columns, current.alias("status")
     )
 
 
@@ -258,15 +260,15 @@ def file_disposition(spark, sf_dir):
 
 def loadable_records(spark, sf_dir):
     """Lines of the report files whose derived layout lets them in."""
-    lines = _lines(spark, sf_dir)
-    gate = lines.select("source_file", "file_id").distinct().select(
+    arrived = _lines(spark, sf_dir)
+    gate = arrived.select("source_file", "file_id").distinct().select(
         F.col("source_file").alias("file_name"),
         F.expr(
             "CASE file_id % 11 WHEN 3 THEN 'REJECTED_LAYOUT' WHEN 6 THEN 'SKIPPED_ALREADY_PROCESSED'"
             " WHEN 8 THEN 'FAILED' WHEN 9 THEN 'LOADED' ELSE 'PREPARED' END"
         ).alias("status"),
     )
-    return control.loadable(lines.select(*KEY, "raw_record"), gate)
+    return control.loadable(arrived.select(*KEY, "raw_record"), gate)
 
 
 def file_state_fold(spark, sf_dir):
@@ -421,6 +423,91 @@ def alert_messages(spark, sf_dir):
     return reports.alert_messages(_files(spark, sf_dir))
 
 
+# --- report files: derived, written as text, read back ------------------------------------------
+
+def file_manifest(spark, sf_dir):
+    manifest = landing.file_manifest(spark, feeds.write_landing(spark, sf_dir))
+    return manifest.select("file_name", "size_bytes")
+
+
+def candidate_files(spark, sf_dir):
+    manifest = landing.file_manifest(spark, feeds.write_landing(spark, sf_dir))
+    return landing.candidate_files(manifest).select("file_name", "size_bytes")
+
+
+def landing_glob_check(spark, sf_dir):
+    return landing.matched_files(spark, feeds.write_landing(spark, sf_dir)).select("file_name")
+
+
+def file_checksums(spark, sf_dir):
+    return landing.file_checksums(spark, feeds.write_landing(spark, sf_dir))
+
+
+def scan_csv_reports(spark, sf_dir):
+    return csv_reports.scan_csv(spark, feeds.write_landing(spark, sf_dir))
+
+
+def scan_lines_numbered(spark, sf_dir):
+    return lines.numbered_lines(spark, feeds.write_landing(spark, sf_dir))
+
+
+def staging_size_check(spark, sf_dir):
+    """Sizes as advertised, some wrong and some for files that never came."""
+    staged = landing.file_manifest(spark, feeds.write_landing(spark, sf_dir))
+    sized = feeds.landing_lines(spark, sf_dir).groupBy("file_name").agg(
+        F.sum(F.octet_length("raw_record") + 1).alias("bytes")
+    )
+    advertised = sized.select(
+        F.when(F.col("bytes") % 7 == 0, F.concat("file_name", F.lit(".gone")))
+        .otherwise(F.col("file_name")).alias("file_name"),
+        F.when(F.col("bytes") % 5 == 0, F.col("bytes") + 1).otherwise(F.col("bytes"))
+        .alias("size_bytes"),
+    )
+    return landing.staging_check(advertised, staged)
+
+
+def archive_verification(spark, sf_dir):
+    """An archive that lost, emptied, changed and doubled some of its members."""
+    folder = feeds.write_landing(spark, sf_dir)
+    manifest = landing.file_manifest(spark, folder)
+    chunks = landing.file_chunks(spark, folder)
+    path = f"{scratch_folder(spark, 'archive')}/members"
+    kept = written(archive.archive_rows(manifest, chunks, RUN_ID), path)
+    size = F.octet_length("content")
+    damaged = kept.filter((size == 0) | (size % 7 != 0)).withColumn(
+        "content",
+        F.when((size > 0) & (size % 5 == 0), F.lit(b""))
+        .when((size > 0) & (size % 5 == 1), F.concat("content", F.lit(b"x")))
+        .otherwise(F.col("content")),
+    )
+    copies = F.when(F.octet_length("content") % 5 == 3, F.array(F.lit(1), F.lit(2))).otherwise(
+        F.array(F.lit(1))
+    )
+    members = damaged.withColumn("copy", F.explode(copies)).drop("copy")
+    verified = archive.verify_archive(manifest, chunks, members)
+    return verified.withColumn(
+        "archive_name", status.archive_name(F.col("file_name"), F.lit(RUN_ID))
+    )
+
+
+def roundtrip_estadistica(spark, sf_dir):
+    path = f"{scratch_folder(spark, 'tables')}/estadistica"
+    publish.write_visits(_visits(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def roundtrip_errores(spark, sf_dir):
+    path = f"{scratch_folder(spark, 'tables')}/errores"
+    publish.write_table(records.rejects(_staged(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+def roundtrip_visitante(spark, sf_dir):
+    path = f"{scratch_folder(spark, 'tables')}/visitante"
+    publish.write_table(visitors.visitors(_visits(spark, sf_dir), REFERENCE), path)
+    return spark.read.parquet(path)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -437,6 +524,8 @@ QUERIES: dict[str, Query] = {
         unsafe_deletions, success_contract, run_operational_summary, file_operational_detail,
         monthly_summary, monthly_report, latest_runs, files_of_run, file_statuses, failed_files,
         rejected_files, run_summary, run_acceptance, classify_incidents, run_alerts,
-        alert_messages,
+        alert_messages, file_manifest, candidate_files, landing_glob_check, file_checksums,
+        scan_csv_reports, scan_lines_numbered, staging_size_check, archive_verification,
+        roundtrip_estadistica, roundtrip_errores, roundtrip_visitante,
     )
 }

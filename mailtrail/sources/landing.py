@@ -7,10 +7,8 @@ manifest joins the names (which include them) to the scan's sizes and times.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,38 +63,51 @@ def matched_files(spark: SparkSession, folder: str, glob: str = layout.REPORT_GL
     return manifest
 
 
-def _open_stream(uri: str):
-    from pyarrow import fs
+def _stream_readers():
+    """Task-side readers of large files.
 
-    if "://" in uri:
-        system, path = fs.FileSystem.from_uri(uri)
-    else:
-        system, path = fs.LocalFileSystem(), uri.removeprefix("file:")
-    return system.open_input_stream(path)
+    They are local functions, so that executors need no installed copy of this package.
+    """
+    read_bytes, chunk_bytes = _READ_BYTES, CHUNK_BYTES
+
+    def open_stream(uri):
+        from pyarrow import fs
+
+        if "://" in uri:
+            system, path = fs.FileSystem.from_uri(uri)
+        else:
+            system, path = fs.LocalFileSystem(), uri.removeprefix("file:")
+        return system.open_input_stream(path)
+
+    def hashes(batches):
+        import hashlib
+
+        import pandas as pd
 
+        for batch in batches:
+            digests = []
+            for uri in batch["path"]:
+                digest = hashlib.sha256()
+                with open_stream(uri) as stream:
+                    while block := stream.read(read_bytes):
+                        digest.update(block)
+                digests.append(digest.hexdigest())
+            yield pd.DataFrame({"file_name": batch["file_name"], "checksum_sha256": digests})
 
-def _hash_streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        digests = []
-        for uri in batch["path"]:
-            digest = hashlib.sha256()
-            with _open_stream(uri) as stream:
-                while block := stream.read(_READ_BYTES):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield pd.DataFrame({"file_name": batch["file_name"], "checksum_sha256": digests})
+    def chunks(batches):
+        import pandas as pd
 
+        for batch in batches:
+            for name, uri in zip(batch["file_name"], batch["path"]):
+                with open_stream(uri) as stream:
+                    number = 0
+                    while block := stream.read(chunk_bytes):
+                        yield pd.DataFrame(
+                            {"file_name": [name], "chunk_no": [number], "content": [block]}
+                        )
+                        number += 1
 
-def _chunk_streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for name, uri in zip(batch["file_name"], batch["path"]):
-            with _open_stream(uri) as stream:
-                number = 0
-                while block := stream.read(CHUNK_BYTES):
-                    yield pd.DataFrame(
-                        {"file_name": [name], "chunk_no": [number], "content": [block]}
-                    )
-                    number += 1
+    return hashes, chunks
 
 
 def _large(scan: DataFrame, inline_bytes: int) -> DataFrame:
@@ -119,7 +130,7 @@ def file_checksums(
         F.sha2("content", 256).alias("checksum_sha256"),
     )
     large = _large(scan, inline_bytes).mapInPandas(
-        _hash_streams, "file_name string, checksum_sha256 string"
+        _stream_readers()[0], "file_name string, checksum_sha256 string"
     )
     empty = hashlib.sha256(b"").hexdigest()
     return (
@@ -141,7 +152,7 @@ def file_chunks(
         base_name(F.col("path")).alias("file_name"), F.lit(0).alias("chunk_no"), "content"
     )
     large = _large(scan, inline_bytes).mapInPandas(
-        _chunk_streams, "file_name string, chunk_no int, content binary"
+        _stream_readers()[1], "file_name string, chunk_no int, content binary"
     )
     return small.unionByName(large)
 
