@@ -223,7 +223,6 @@ def with_ctes(names: str, body: str) -> str:
 
 
 _KEY = "source_file, source_line"
-_INTEGRITY = "'CRITICAL'", "'INTEGRITY'"
 _SEVERITY = """CASE WHEN status IN ('SUCCESS', 'SKIPPED_ALREADY_PROCESSED') THEN 'INFO'
   WHEN status = 'REJECTED_LAYOUT' THEN 'WARNING'
   WHEN status IN ('PENDING_BACKUP', 'PENDING_SOURCE_DELETE') THEN 'ERROR'

@@ -321,7 +321,7 @@ def append_without_duplicates(spark, sf_dir):
 
 
 def orphan_check(spark, sf_dir):
-    """Visits of events whose user, times ten, is to be a known customer."""
+    """Every event's user id, times twenty, is to be a known customer."""
     visits = feeds.table(spark, sf_dir, "events").select(
         (F.col("user_id") * 20).alias("customer_id")
     )

@@ -8,7 +8,6 @@ from mailtrail.functions.rules import RuleProfile
 from mailtrail.operators import records, visitors
 
 STRICT, LENIENT = RuleProfile.STRICT, RuleProfile.LENIENT
-TAIL = ",-,0,0,-,0,0,-,-,-,-"
 
 
 def line(email="USER@example.com", sent="08/02/2013 18:30", opens="0", clicks="0"):
