@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-import __spark_entry__ as driver
 from mailtrail import feeds
+from mailtrail.oracles import ORACLES
+from mailtrail.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 duckdb = pytest.importorskip("duckdb")
@@ -25,13 +26,13 @@ def in_order(rows):
 
 
 def test_every_query_has_an_oracle():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, views, name):
-    frame = driver.queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     columns = sorted(frame.columns)
     quoted = ", ".join(f'"{c}"' for c in columns)
-    wanted = views.sql(f"SELECT {quoted} FROM ({driver.oracle_sql()[name]}) AS q").fetchall()
+    wanted = views.sql(f"SELECT {quoted} FROM ({ORACLES[name]}) AS q").fetchall()
     assert in_order(frame.select(*columns).collect()) == in_order(wanted)
