@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import winnowing
+from . import packing, winnowing
 from .shared import table
 
 
+def tokenizer_files() -> tuple[str, str]:
+    """The rank file of the byte-level BPE with 50,257 ids and the pattern that splits text."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences of 1024 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files())
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its words, those in windows of benchmark items, and a digest of the items."""
     report = winnowing.decontamination_report(
@@ -21,5 +33,6 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op3_decontamination": op3_decontamination,
 }
