@@ -32,5 +32,15 @@ items AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+""",
+    "op7_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN first_id IS NOT NULL AND (page_id IS NULL OR page_id > first_id)
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS NULL OR page_id > first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f ON f.d = p.d
 """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, winnowing
+from . import packing, warc_seekable, winnowing
 from .shared import table
 
 
@@ -32,7 +32,16 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the written archives tell of each page when they are read back."""
+    archives = warc_seekable.write_archives(table(spark, sf_dir, "pages"))
+    return warc_seekable.read_archives(archives, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_decontamination": op3_decontamination,
+    "op7_warc": op7_warc,
 }
