@@ -42,5 +42,29 @@ SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
             THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id IS NULL OR page_id > first_id THEN first_id END AS refers_to
 FROM p LEFT JOIN f ON f.d = p.d
+""",
+    "op5_suffix_dedup": """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
+         octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+p AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (
+  SELECT r, doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+least AS (SELECT s, min(doc_id) AS first_id FROM p GROUP BY s),
+hit AS (SELECT r, i FROM p JOIN least USING (s) WHERE doc_id > first_id),
+grown AS (
+  SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS span FROM (
+    SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh
+    FROM hit)),
+spans AS (SELECT r, span, min(i) AS a, max(i) + 50 AS b FROM grown GROUP BY r, span),
+gaps AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL SELECT r, max(b), NULL FROM spans GROUP BY r),
+kept AS (
+  SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS h
+  FROM gaps JOIN d USING (r) GROUP BY r),
+counts AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN counts USING (r) LEFT JOIN kept USING (r)
 """,
 }

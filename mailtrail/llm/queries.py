@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, warc_seekable, winnowing
+from . import packing, suffix_dedup, warc_seekable, winnowing
 from .shared import table
 
 
@@ -32,6 +32,19 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the bytes that repeat those of earlier documents, and what is left."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    texts, spans = suffix_dedup.repeated_spans(documents)
+    results = suffix_dedup.shortened(texts, spans).withColumn("kept_sha256", F.sha2("left", 256)).drop("left")
+    whole = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return suffix_dedup.per_document(documents, texts, results, {
+        "n_removed": (F.col("n_bytes"), F.lit(0).cast("bigint")),
+        "n_spans": (F.lit(1).cast("bigint"), F.lit(0).cast("bigint")),
+        "kept_sha256": (F.sha2(F.lit(""), 256), whole),
+    }).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the written archives tell of each page when they are read back."""
     archives = warc_seekable.write_archives(table(spark, sf_dir, "pages"))
@@ -43,5 +56,6 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_decontamination": op3_decontamination,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_warc": op7_warc,
 }
