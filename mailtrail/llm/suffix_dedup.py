@@ -11,7 +11,7 @@ covered, and covered bytes go. Windows are not sorted one by one:
   multikey sort by characters of 8 bytes to a shallow depth, then a blind trie for each group that
   still shares its prefix. Two windows at the same distance from their anchor are equal where
   both common prefixes are long enough, so the smallest owner per window follows from two ranks.
-* An anchor with more than ``HOT`` occurrences is dealt out by its windows instead of meeting in
+* An anchor in more than ``HOT`` texts is dealt out by its windows instead of meeting in
   one task: its windows are grouped by their bytes, combined on the map side.
 
 A null text is empty. A null doc_id is not smaller than another, and keeps its bytes. Rows with equal
@@ -25,19 +25,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import kept, pieces, text_bytes
+from .shared import kept, lists, pieces, text_bytes
 from .words import U, mix, sliding_argmin
 
 SPAN, GRAM = 50, 16
 #: Bytes beside an anchor that its windows can reach, on either side of its GRAM bytes.
 REACH = SPAN - GRAM
-#: Occurrences of an anchor that one task sorts.
+#: Texts with an anchor whose occurrences one task sorts.
 HOT = 1 << 17
 #: Occurrences sorted at once, those of an anchor together.
-CHUNK = 1 << 15
+CHUNK = 1 << 13
+#: Bytes of text whose anchors are sought at once: their arrays fit a core's cache.
+PIECE = 1 << 16
 #: Bytes to which the multikey sort goes before the blind tries.
 SHALLOW = 16
 _NO_OWNER = np.iinfo(np.int64).max
+_LEFT, _RIGHT = U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F)
 
 
 # --- anchors -------------------------------------------------------------------------
@@ -47,68 +50,92 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     wide = data.astype(U)
     for step in (1, 2, 4):
         wide = wide[:-step] | (wide[step:] << U(8 * step)) if len(wide) > step else wide[:0]
-    return mix(mix(wide[:-8]) + wide[8:]) if len(wide) > 8 else wide[:0]
+    return mix(wide[:-8] * _LEFT ^ wide[8:] * _RIGHT) if len(wide) > 8 else wide[:0]
 
 
 def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Hash, row, place, and first and last window start of each anchor of the texts."""
     hashes = gram_hashes(data)
     least = sliding_argmin(hashes, SPAN - GRAM + 1)
-    start = np.arange(len(least))
-    row = np.searchsorted(ends, start, "right") - 1
-    inside = start + SPAN <= ends[row + 1] if len(least) else np.zeros(0, bool)
-    start, least, row = start[inside], least[inside], row[inside]
-    turn = np.flatnonzero(np.diff(least, prepend=-1))
-    last = np.append(turn[1:], len(start)) - 1
-    at = least[turn]
-    return hashes[at], row[turn], at - ends[row[turn]], start[turn] - ends[row[turn]], \
-        start[last] - ends[row[turn]] if len(turn) else turn
+    low = np.flatnonzero(np.diff(least, prepend=-1))
+    high = np.append(low[1:], len(least)) - 1 if len(low) else low
+    at = least[low]
+    row = np.searchsorted(ends, at, "right") - 1
+    # Windows that reach into another text are none.
+    low, high = np.maximum(low, ends[row]), np.minimum(high, ends[row + 1] - SPAN) if len(low) else high
+    real = low <= high
+    at, row, low, high = at[real], row[real], low[real], high[real]
+    base = ends[row]
+    return hashes[at], row, at - base, low - base, high - base
 
 
 def _anchor_rows(batches):
-    for batch, data, ends in pieces(batches, "text"):
-        hashes, row, at, _, _ = anchors(data, ends)
+    for batch, data, ends in pieces(batches, "text", PIECE):
+        hashes, row, _, _, _ = anchors(data, ends)
+        hashes = hashes[order := np.lexsort((hashes, row))]
+        row = row[order]
+        new = (np.diff(row, prepend=-1) != 0) | (np.diff(hashes, prepend=U(0)) != 0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes.view(np.int64)), batch.column("text_id").take(pa.array(row)),
-             pa.array(at.astype(np.int32))],
-            names=["hash", "text_id", "at"],
+            [pa.array(hashes[new].view(np.int64)), batch.column("text_id").take(pa.array(row[new]))],
+            names=["hash", "text_id"],
         )
 
 
 def _context_rows(batches):
-    """Shared anchors with the bytes that their windows cover, zeros around them."""
-    for batch, data, ends in pieces(batches, "text"):
+    """Shared anchors with the bytes that their windows cover, zeros around them.
+
+    Places of a text with the same bytes and windows are one row.
+    """
+    for batch, data, ends in pieces(batches, "text", PIECE):
         hashes, row, at, low, high = anchors(data, ends)
-        shared = batch.column("shared")
-        counts = np.diff(shared.offsets.to_numpy())
-        places = shared.flatten()
-        wanted_row = np.repeat(np.arange(len(counts)), counts)
-        wanted = wanted_row * (1 << 32) + places.field("at").to_numpy()
-        order = np.argsort(wanted)
-        have = row * (1 << 32) + at
-        spot = np.searchsorted(wanted[order], have)
-        found = spot < len(wanted)
-        found[found] = wanted[order][spot[found]] == have[found]
-        hot = places.field("hot").to_numpy(zero_copy_only=False)[order][spot[found]]
+        counts = np.diff(batch.column("shared").offsets.to_numpy())
+        known = batch.column("shared").flatten()
+        pairs = np.zeros(len(known), [("row", np.int64), ("hash", U)])
+        pairs["row"] = np.repeat(np.arange(len(counts)), counts)
+        pairs["hash"] = known.field("hash").to_numpy().view(U)
+        order = np.lexsort((pairs["hash"], pairs["row"]))
+        pairs, is_hot = pairs[order], known.field("hot").to_numpy(zero_copy_only=False)[order]
+        # One number per pair, found again for each anchor.
+        key = lambda r, h: mix(h + mix(r.astype(U)))
+        marks = key(pairs["row"], pairs["hash"])
+        sort = np.argsort(marks)
+        spot = np.minimum(np.searchsorted(marks[sort], key(row, hashes)), max(len(marks) - 1, 0))
+        found = marks[sort][spot] == key(row, hashes) if len(marks) else np.zeros(len(row), bool)
+        hot = is_hot[sort][spot[found]]
         hashes, row, at, low, high = (x[found] for x in (hashes, row, at, low, high))
         spread = at[:, None] + np.arange(-REACH, SPAN)
         used = (spread >= low[:, None]) & (spread < (high + SPAN)[:, None])
         spread = np.where(used, spread + ends[row][:, None], 0)
         around = np.where(used, data[spread] if len(data) else np.uint8(0), np.uint8(0))
         width = REACH + SPAN
+        look = np.zeros((len(at), -(-(width + 10) // 8) * 8), np.uint8)
+        look[:, :width] = around
+        look[:, width : width + 8] = row.astype("<i8").reshape(-1, 1).view(np.uint8)
+        look[:, width + 8] = at - low
+        look[:, width + 9] = at - high
+        mark = np.zeros(len(at), U)
+        for word in look.view("<u8").T:
+            mark = mix(mark + word.astype(U))
+        order = np.argsort(mark, kind="stable")
+        new = np.flatnonzero(np.diff(mark[order], prepend=mark[order][:1] - U(1)))
+        one = order[new]
+        spans = np.diff(np.append(new, len(order)))
         around = pa.FixedSizeBinaryArray.from_buffers(
-            pa.binary(width), len(at), [None, pa.py_buffer(np.ascontiguousarray(around))]
+            pa.binary(width), len(one), [None, pa.py_buffer(np.ascontiguousarray(around[one]))]
         ).cast(pa.binary())
-        row = pa.array(row)
+        of = pa.array(row[one])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes.view(np.int64)), batch.column("text_id").take(row),
-             batch.column("owner").take(row), pa.array(at.astype(np.int32)),
-             pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), around, pa.array(hot)],
-            names=["hash", "text_id", "owner", "at", "low", "high", "around", "hot"],
+            [pa.array(hashes[one].view(np.int64)), batch.column("text_id").take(of),
+             batch.column("owner").take(of), lists(at[order].astype(np.int32), spans, pa.int32()),
+             pa.array((at - low)[one].astype(np.int32)), pa.array((at - high)[one].astype(np.int32)),
+             around, pa.array(hot[one])],
+            names=["hash", "text_id", "owner", "at", "most", "least", "around", "hot"],
         )
 
 
-_CONTEXT = "hash bigint, text_id bigint, owner bigint, at int, low int, high int, around binary, hot boolean"
+#: at: places in the text; most, least: how far before them their windows start.
+_CONTEXT = "hash bigint, text_id bigint, owner bigint, at array<int>, most int, least int, " \
+    "around binary, hot boolean"
 
 
 # --- deep-shallow sort ---------------------------------------------------------------
@@ -216,8 +243,9 @@ def _deepen(strings: np.ndarray, order: np.ndarray, shared: np.ndarray, width: i
 
 # --- covered spans -------------------------------------------------------------------
 
-def covered(hashes, owner, at, low, high, around) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start and end of the spans whose windows also start in a text of a smaller owner."""
+def covered(hashes, owner, most, least, around) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, and start and end beside the anchor, of the spans whose windows also start in a text
+    of a smaller owner."""
     n = len(hashes)
     group = np.unique(hashes, return_inverse=True)[1]
     ranks = []
@@ -226,7 +254,7 @@ def covered(hashes, owner, at, low, high, around) -> tuple[np.ndarray, np.ndarra
         ranks.append((order, shared))
     covers = np.zeros((n, REACH + 3), np.int8)
     for before in range(REACH + 1):
-        valid = np.flatnonzero((at - low >= before) & (at - high <= before))
+        valid = np.flatnonzero((most >= before) & (least <= before))
         if not len(valid):
             continue
         key = np.zeros(n, np.int64)
@@ -234,16 +262,17 @@ def covered(hashes, owner, at, low, high, around) -> tuple[np.ndarray, np.ndarra
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(shared < needed)
             key = key * (n + 1) + rank
-        one = np.lexsort((owner[valid], key[valid]))
-        sorted_key, sorted_owner = key[valid][one], owner[valid][one]
-        fresh = np.diff(sorted_key, prepend=sorted_key[0] - 1) != 0
-        least = sorted_owner[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-        covers[valid[one], before + 1] = least < sorted_owner
+        key = key[valid]
+        one = np.argsort(key)
+        key, valid = key[one], valid[one]
+        fresh = np.diff(key, prepend=key[0] - 1) != 0
+        first_owner = np.minimum.reduceat(owner[valid], np.flatnonzero(fresh))
+        covers[valid, before + 1] = first_owner[np.cumsum(fresh) - 1] < owner[valid]
     turn = np.diff(covers, axis=1)
     row, first = np.nonzero(turn == 1)
     _, after = np.nonzero(turn == -1)
     # Column k of ``turn`` is the window that starts k bytes before the anchor.
-    return row, at[row] - (after - 1), at[row] - first + SPAN
+    return row, 1 - after, SPAN - first
 
 
 def _span_rows(batches):
@@ -255,10 +284,19 @@ def _span_rows(batches):
         take = lambda name: rows.column(name).combine_chunks().to_numpy(zero_copy_only=False)
         data, _ = text_bytes(rows.column("around"))
         owner = rows.column("owner").fill_null(_NO_OWNER).combine_chunks().to_numpy()
-        at, low, high = (take(c).astype(np.int64) for c in ("at", "low", "high"))
-        row, start, end = covered(take("hash"), owner, at, low, high, data.reshape(-1, REACH + SPAN))
+        row, start, end = covered(
+            take("hash"), owner, take("most"), take("least"), data.reshape(-1, REACH + SPAN)
+        )
+        at = rows.column("at").combine_chunks()
+        first = at.offsets.to_numpy()
+        places = np.diff(first)[row]
+        # Each span of a row at each of the row's places.
+        nth = np.arange(places.sum()) - np.repeat(np.cumsum(places) - places, places)
+        base = at.values.to_numpy()[np.repeat(first[row], places) + nth]
         return pa.RecordBatch.from_arrays(
-            [pa.array(take("text_id")[row]), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))],
+            [pa.array(np.repeat(take("text_id")[row], places)),
+             pa.array((np.repeat(start, places) + base).astype(np.int32)),
+             pa.array((np.repeat(end, places) + base).astype(np.int32))],
             names=["text_id", "start", "end"],
         )
 
@@ -281,15 +319,18 @@ def _span_rows(batches):
 def _hot_spans(contexts: DataFrame) -> DataFrame:
     """Spans of the occurrences of hot anchors, by their windows."""
     windows = contexts.select(
-        "text_id", "owner", "at", "around", F.explode(F.sequence("low", "high")).alias("start")
+        "text_id", "owner", "at", "around", F.explode(F.sequence("least", "most")).alias("before")
     ).select(
-        "text_id", "owner", "start",
-        F.expr(f"substring(around, start - at + {REACH + 1}, {SPAN})").alias("window"),
+        "text_id", "owner", "at", "before",
+        F.expr(f"substring(around, {REACH + 1} - before, {SPAN})").alias("window"),
     )
     least = windows.groupBy("window").agg(F.min("owner").alias("least"))
     return windows.join(least, "window").filter(
         "least is not null and (owner is null or owner > least)"
-    ).select("text_id", "start", (F.col("start") + SPAN).alias("end"))
+    ).select("text_id", F.explode("at").alias("at"), "before").select(
+        "text_id", (F.col("at") - F.col("before")).alias("start"),
+        (F.col("at") - F.col("before") + SPAN).alias("end"),
+    )
 
 
 def repeated_spans(documents: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
@@ -301,19 +342,19 @@ def repeated_spans(documents: DataFrame, hot: int = HOT) -> tuple[DataFrame, Dat
         .withColumn("text_id", F.monotonically_increasing_id()),
         "suffix-texts",
     )
-    found = texts.select("text_id", "text").mapInArrow(_anchor_rows, "hash bigint, text_id bigint, at int")
+    found = texts.select("text_id", "text").mapInArrow(_anchor_rows, "hash bigint, text_id bigint")
     shared = kept(
         found.groupBy("hash")
         .agg(F.min("text_id").alias("a"), F.max("text_id").alias("b"), F.count("*").alias("n"))
         .filter("a < b").select("hash", (F.col("n") > hot).alias("hot")),
         "suffix-shared",
     )
-    places = kept(
+    per_text = kept(
         found.join(shared, "hash").groupBy("text_id")
-        .agg(F.collect_list(F.struct("at", "hot")).alias("shared")),
-        "suffix-places",
+        .agg(F.collect_list(F.struct("hash", "hot")).alias("shared")),
+        "suffix-per-text",
     )
-    contexts = texts.join(places, "text_id").mapInArrow(_context_rows, _CONTEXT)
+    contexts = texts.join(per_text, "text_id").mapInArrow(_context_rows, _CONTEXT)
     if hot_anchors := shared.filter("hot").limit(1).count():
         contexts = kept(contexts, "suffix-contexts")
     spans = contexts.filter("not hot").repartition("hash").sortWithinPartitions("hash").mapInArrow(
