@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, suffix_dedup, warc_seekable, winnowing
+from . import jaccard_forest, packing, suffix_dedup, warc_seekable, winnowing
 from .shared import table
 
 
@@ -21,6 +21,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its near-duplicate class, its number of links and the first of its copies."""
+    return jaccard_forest.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links", "copy_of"
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its words, those in windows of benchmark items, and a digest of the items."""
     report = winnowing.decontamination_report(
@@ -55,6 +62,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_decontamination": op3_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_warc": op7_warc,

@@ -93,3 +93,35 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType | None = Non
     """Consecutive values as one list per count."""
     ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
+
+
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], keys: list[str], rows: int
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of about ``rows`` rows, sorted by ``keys``, that cut no group, and the groups' starts."""
+    waiting, count = [], 0
+
+    def cuts(whole: pa.Table) -> np.ndarray:
+        new = np.zeros(whole.num_rows, bool)
+        new[:1] = True
+        for key in keys:
+            values = whole.column(key).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return np.flatnonzero(new)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        waiting.append(batch)
+        count += batch.num_rows
+        if count < rows:
+            continue
+        whole = pa.Table.from_batches(waiting)
+        starts = cuts(whole)
+        if len(starts) > 1:
+            yield whole.slice(0, starts[-1]).combine_chunks(), starts[:-1]
+            whole = whole.slice(starts[-1]).combine_chunks()
+        waiting, count = whole.to_batches(), whole.num_rows
+    if waiting:
+        whole = pa.Table.from_batches(waiting).combine_chunks()
+        yield whole, cuts(whole)
