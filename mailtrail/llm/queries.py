@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_forest, packing, suffix_dedup, warc_seekable, winnowing
+from . import jaccard_forest, packing, projection_search, suffix_dedup, warc_seekable, winnowing
 from .shared import table
 
 
@@ -60,10 +60,17 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every row whose id is divisible by 50."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return projection_search.nearest(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_decontamination": op3_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_warc": op7_warc,
+    "op10_nearest": op10_nearest,
 }
