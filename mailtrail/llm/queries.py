@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_forest, packing, projection_search, suffix_dedup, warc_seekable, winnowing
+from . import jaccard_forest, language_crf, packing, projection_search, suffix_dedup, warc_seekable, winnowing
 from .shared import table
 
 
@@ -60,6 +60,21 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _remainder(modulus: int) -> Column:
+    """crc32 of the id as text, modulo."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its language, learned from the documents that are not held out."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = _remainder(3) == 1
+    learned = documents.filter(~held_out).select(F.col("doc_id").alias("key"), "text", "lang")
+    model = language_crf.fit(learned)
+    rows = documents.select("doc_id", "text", held_out.alias("held_out"))
+    return language_crf.predict(rows, model, ["doc_id", "held_out"])
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every row whose id is divisible by 50."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -72,5 +87,6 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_warc": op7_warc,
+    "op8_language": op8_language,
     "op10_nearest": op10_nearest,
 }
