@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_forest, language_crf, packing, projection_search, suffix_dedup, warc_seekable, winnowing
+from . import jaccard_forest, language_crf, packing, projection_search, suffix_dedup, toxicity_fm, warc_seekable, winnowing
 from .shared import table
 
 
+def _remainder(modulus: int) -> Column:
+    """crc32 of the id as text, modulo."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
 def tokenizer_files() -> tuple[str, str]:
     """The rank file of the byte-level BPE with 50,257 ids and the pattern that splits text."""
     import public_tokenizers
@@ -39,6 +44,19 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: how likely it is toxic, learned from the documents that are not held out."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = _remainder(4) == 2
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
+    learned = documents.filter(~held_out).select("doc_id", "text").join(labels.filter(~held_out), "doc_id")
+    model = toxicity_fm.fit(learned.select(F.col("doc_id").alias("key"), "text", "label"))
+    rows = documents.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    return toxicity_fm.score(rows, model, ["doc_id", "held_out"]).withColumn(
+        "predicted", (F.col("score") >= 0.3).cast("int")
+    )
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the bytes that repeat those of earlier documents, and what is left."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,18 +78,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _remainder(modulus: int) -> Column:
-    """crc32 of the id as text, modulo."""
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
-
-
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its language, learned from the documents that are not held out."""
     documents = table(spark, sf_dir, "documents")
     held_out = _remainder(3) == 1
-    learned = documents.filter(~held_out).select(F.col("doc_id").alias("key"), "text", "lang")
+    learned = documents.filter(~F.coalesce(held_out, F.lit(False))).select(F.col("doc_id").alias("key"), "text", "lang")
     model = language_crf.fit(learned)
-    rows = documents.select("doc_id", "text", held_out.alias("held_out"))
+    rows = documents.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     return language_crf.predict(rows, model, ["doc_id", "held_out"])
 
 
@@ -85,6 +98,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_decontamination": op3_decontamination,
+    "op4_toxicity": op4_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_warc": op7_warc,
     "op8_language": op8_language,
