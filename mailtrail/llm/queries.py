@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_forest, language_crf, packing, projection_search, suffix_dedup, toxicity_fm, warc_seekable, winnowing
+from . import (
+    jaccard_forest, language_crf, packing, projection_search, quality_weak, suffix_dedup, toxicity_fm,
+    warc_seekable, winnowing,
+)
 from .shared import table
 
 
@@ -88,6 +91,12 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.predict(rows, model, ["doc_id", "held_out"])
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the posterior of its weak labels, and the score learned from those."""
+    scored, _ = quality_weak.score(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "label", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every row whose id is divisible by 50."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -102,5 +111,6 @@ QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_warc": op7_warc,
     "op8_language": op8_language,
+    "op9_quality": op9_quality,
     "op10_nearest": op10_nearest,
 }
