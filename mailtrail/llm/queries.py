@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    jaccard_forest, language_crf, packing, projection_search, quality_weak, suffix_dedup, toxicity_fm,
+    html_consensus, jaccard_forest, language_crf, packing, projection_search, quality_weak, suffix_dedup, toxicity_fm,
     warc_seekable, winnowing,
 )
 from .shared import table
@@ -73,6 +73,13 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     }).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_consensus.main_text(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("bigint")
+    )
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the written archives tell of each page when they are read back."""
     archives = warc_seekable.write_archives(table(spark, sf_dir, "pages"))
@@ -109,6 +116,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_main_text": op6_main_text,
     "op7_warc": op7_warc,
     "op8_language": op8_language,
     "op9_quality": op9_quality,
