@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import RowNumbers, kept, pieces, text_bytes, whole_groups
+from .shared import (
+    RowNumbers, kept, pieces, restored, schema_with_rest, text_bytes, whole_groups, with_columns, with_rest,
+)
 from .words import U, grams, mix, split_words
 
 NGRAM, THRESHOLD = 5, 0.8
@@ -90,12 +92,11 @@ def _label_rows(ngram: int):
         for batch, data, ends in pieces(batches, "text", 1 << 18):
             hashes, first = shingle_sets(data, ends, ngram)
             sums = lambda x: np.diff(np.concatenate([np.zeros(1, U), np.cumsum(x)])[first]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(number.take(batch.num_rows)), batch.column("doc_id"), batch.column("text"),
-                 pa.array(np.diff(first)), pa.array(sums(hashes)), pa.array(sums(mix(hashes + U(1)))),
-                 _binary(labels(hashes, first))],
-                names=["row", "doc_id", "text", "n", "sum1", "sum2", "label"],
-            )
+            yield with_columns({
+                "row": pa.array(number.take(batch.num_rows)), "doc_id": batch.column("doc_id"),
+                "text": batch.column("text"), "n": pa.array(np.diff(first)), "sum1": pa.array(sums(hashes)),
+                "sum2": pa.array(sums(mix(hashes + U(1)))), "label": _binary(labels(hashes, first)),
+            }, batch)
 
     return run
 
@@ -281,6 +282,13 @@ def _verified_rows(ngram: int, threshold: float):
     return run
 
 
+def one_per_class(documents: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``documents`` that lead their class, with all their columns."""
+    docs, told = _classes(with_rest(documents), ngram, threshold)
+    leads = kept(told.filter("leads").select("row"), "forest-leads")
+    return restored(docs.join(leads, "row", "left_semi"), documents)
+
+
 def near_duplicates(
     documents: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -290,12 +298,14 @@ def near_duplicates(
     component of such links, class_id its smallest doc_id, copy_of the smallest doc_id with the same
     set; ``leads`` is true for one document of each class, of that doc_id.
     """
+    return _classes(documents.select("doc_id", "text"), ngram, threshold)[1]
+
+
+def _classes(documents: DataFrame, ngram: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The numbered rows, and what near_duplicates tells of them."""
+    told = "row bigint, doc_id bigint, text string, n bigint, sum1 bigint, sum2 bigint, label binary"
     docs = kept(
-        documents.select("doc_id", "text").mapInArrow(
-            _label_rows(ngram),
-            "row bigint, doc_id bigint, text string, n bigint, sum1 bigint, sum2 bigint, label binary",
-        ),
-        "forest-documents",
+        documents.mapInArrow(_label_rows(ngram), schema_with_rest(told, documents)), "forest-documents"
     )
     same = ["n", "sum1", "sum2"]
     with_words = docs.filter("n > 0")
@@ -345,4 +355,4 @@ def near_duplicates(
         "row", "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"),
         F.col("doc_id").alias("copy_of"), F.lit(True).alias("leads"),
     )
-    return found.unionByName(alone)
+    return docs, found.unionByName(alone)

@@ -12,9 +12,10 @@ from . import (
 from .shared import table
 
 
-def _remainder(modulus: int) -> Column:
-    """crc32 of the id as text, modulo."""
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+def is_held_out(modulus: int, remainder: int) -> Column:
+    """Whether the crc32 of the id as text leaves this remainder; false without an id."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(F.pmod(crc, F.lit(modulus)) == remainder, F.lit(False))
 
 
 def tokenizer_files() -> tuple[str, str]:
@@ -50,11 +51,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: how likely it is toxic, learned from the documents that are not held out."""
     documents = table(spark, sf_dir, "documents")
-    held_out = _remainder(4) == 2
+    held_out = is_held_out(4, 2)
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     learned = documents.filter(~held_out).select("doc_id", "text").join(labels.filter(~held_out), "doc_id")
     model = toxicity_fm.fit(learned.select(F.col("doc_id").alias("key"), "text", "label"))
-    rows = documents.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    rows = documents.select("doc_id", "text", held_out.alias("held_out"))
     return toxicity_fm.score(rows, model, ["doc_id", "held_out"]).withColumn(
         "predicted", (F.col("score") >= 0.3).cast("int")
     )
@@ -91,10 +92,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its language, learned from the documents that are not held out."""
     documents = table(spark, sf_dir, "documents")
-    held_out = _remainder(3) == 1
-    learned = documents.filter(~F.coalesce(held_out, F.lit(False))).select(F.col("doc_id").alias("key"), "text", "lang")
+    held_out = is_held_out(3, 1)
+    learned = documents.filter(~held_out).select(F.col("doc_id").alias("key"), "text", "lang")
     model = language_crf.fit(learned)
-    rows = documents.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    rows = documents.select("doc_id", "text", held_out.alias("held_out"))
     return language_crf.predict(rows, model, ["doc_id", "held_out"])
 
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_folder
 
@@ -27,6 +30,8 @@ def kept(frame: DataFrame, purpose: str) -> DataFrame:
     """
     spark = frame.sparkSession
     folder = scratch_folder(spark, purpose)
+    if _open:
+        _written.setdefault(_open[-1], []).append(folder)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
@@ -39,6 +44,54 @@ def kept(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+#: Folders that ``kept`` has written in a scope, and the scope that is open.
+_written: dict[str, list[str]] = {}
+_open: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """Tables that ``kept`` writes inside go when the scope of this name is next entered.
+
+    For a caller who has by then written all that was made of them, as between stages.
+    """
+    scope = f"{spark.sparkContext.applicationId} {name}"
+    for folder in _written.pop(scope, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _open.append(scope)
+    try:
+        yield
+    finally:
+        _open.pop()
+
+
+def with_rest(documents: DataFrame) -> DataFrame:
+    """doc_id, text, and all columns but the text in the struct ``rest``: no name can clash."""
+    others = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
+    return documents.select("doc_id", "text", F.struct(*others).alias("rest"))
+
+
+def restored(frame: DataFrame, documents: DataFrame) -> DataFrame:
+    """The columns of ``documents`` from a frame with text and rest."""
+    return frame.select(
+        *[F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in documents.columns]
+    )
+
+
+def schema_with_rest(ddl: str, frame: DataFrame) -> T.StructType:
+    """The schema of ``ddl``, and the frame's ``rest`` if it has one."""
+    schema = T.StructType.fromDDL(ddl)
+    return T.StructType([*schema.fields, *[f for f in frame.schema.fields if f.name == "rest"]])
+
+
+def with_columns(columns: dict[str, pa.Array], batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A batch of the columns, and the ``rest`` of ``batch`` if it has one."""
+    if "rest" in batch.schema.names:
+        columns = {**columns, "rest": batch.column("rest")}
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string or binary column and its n+1 offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -20,12 +20,14 @@ doc_ids do not remove each other's bytes.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import kept, lists, pieces, text_bytes
+from .shared import kept, lists, pieces, restored, text_bytes, with_rest
 from .words import U, mix, sliding_argmin
 
 SPAN, GRAM = 50, 16
@@ -365,7 +367,15 @@ def repeated_spans(documents: DataFrame, hot: int = HOT) -> tuple[DataFrame, Dat
     return texts, kept(spans, "suffix-spans")
 
 
-def _kept_rows(batches):
+def _whole_characters(gone: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """The bytes of the characters that are gone as a whole."""
+    start = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(start):
+        return gone
+    return np.repeat(np.minimum.reduceat(gone, start), np.diff(np.append(start, len(data))))
+
+
+def _kept_rows(batches, characters: bool = False):
     """What is left of each text, and its maximal removed runs."""
     for batch, data, ends in pieces(batches, "text"):
         edge = np.zeros(len(data) + 1, np.int32)
@@ -376,6 +386,8 @@ def _kept_rows(batches):
         np.add.at(edge, flat.field("start").to_numpy() + base, 1)
         np.add.at(edge, flat.field("end").to_numpy() + base, -1)
         gone = np.cumsum(edge[:-1]) > 0
+        if characters:
+            gone = _whole_characters(gone, data)
         turn = gone.copy()
         turn[1:] &= ~gone[:-1]
         border = ends[:-1][ends[:-1] < len(data)]
@@ -392,28 +404,32 @@ def _kept_rows(batches):
         )
 
 
-def shortened(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """text_id, n_bytes, n_removed, n_spans and the bytes left, of every distinct text."""
+def shortened(texts: DataFrame, spans: DataFrame, characters: bool = False) -> DataFrame:
+    """text_id, n_bytes, n_removed, n_spans and the bytes left, of every distinct text.
+
+    With ``characters`` the bytes of a character stay unless all of them go.
+    """
     # The spans of a text are some per anchor, and so bounded by its length.
     per_text = spans.groupBy("text_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     return texts.join(per_text, "text_id", "left").select(
         "text_id", "text", F.coalesce("spans", none).alias("spans")
-    ).mapInArrow(_kept_rows, "text_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, left binary")
+    ).mapInArrow(partial(_kept_rows, characters=characters), "text_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, left binary")
 
 
-def per_document(documents: DataFrame, texts: DataFrame, results: DataFrame, empty: dict) -> DataFrame:
-    """Every row of ``documents`` with the results of its text.
+def per_document(
+    documents: DataFrame, texts: DataFrame, results: DataFrame, empty: dict, carry: list[str] | None = None
+) -> DataFrame:
+    """Every row of ``documents`` (of its doc_id and ``carry`` columns) with the results of its text.
 
-    ``empty`` gives the values of result columns for a copy that loses all its bytes, and those
-    under "whole" for a row that keeps all.
+    ``empty`` gives, by result column, its values for a copy that loses all its bytes and for a row
+    that keeps all.
     """
     # Texts meet by digest: rows are small, and copies of one text are split as a skewed join.
     keys = texts.select("text_id", "owner", F.md5(F.col("text").cast("binary")).alias("digest"))
     told = keys.join(results, "text_id").drop("text_id")
-    docs = documents.withColumn(
-        "digest", F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    )
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest")
+    docs = documents.select("doc_id", *(["text"] if carry is None else carry), digest)
     later = (F.col("doc_id") > F.col("owner")) & (F.col("n_bytes") >= SPAN)
     out = docs.join(told, "digest")
     for name, (gone, whole) in empty.items():
@@ -421,3 +437,18 @@ def per_document(documents: DataFrame, texts: DataFrame, results: DataFrame, emp
             name, F.when(F.col("doc_id").isNull(), whole).when(later, gone).otherwise(F.col(name))
         )
     return out.drop("digest", "owner")
+
+
+def without_repeats(documents: DataFrame) -> DataFrame:
+    """All rows of ``documents`` with their repeated spans, in whole characters, cut from the text."""
+    rows = with_rest(documents)
+    texts, spans = repeated_spans(rows.select("doc_id", "text").filter("doc_id is not null"))
+    left = kept(
+        shortened(texts, spans, characters=True).select("text_id", "n_bytes", "left"), "suffix-left"
+    )
+    # A row without an id keeps its bytes, and takes none from others.
+    told = per_document(rows.filter("doc_id is not null"), texts, left, {
+        "left": (F.lit("").cast("binary"), F.col("left")),
+    }, carry=["rest"])
+    cut = told.select(F.col("left").cast("string").alias("text"), "rest")
+    return restored(cut.unionByName(rows.filter("doc_id is null").select("text", "rest")), documents)

@@ -16,7 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import RowNumbers, kept, lists, pieces
+from .shared import (
+    RowNumbers, kept, lists, pieces, restored, schema_with_rest, with_columns, with_rest,
+)
 from .words import U, Words, grams, sliding_argmin, split_words
 
 WINDOW, K = 10, 5
@@ -132,11 +134,14 @@ def _document_rows(bits, sizes: list[int]):
             ).take(pa.array(order))
             per_row = np.bincount(row, minlength=batch.num_rows)
             starts = pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(number.take(batch.num_rows)), batch.column("doc_id"),
-                 pa.array(np.diff(words.first).astype(np.int64)), pa.ListArray.from_arrays(starts, hits)],
-                names=["row", "doc_id", "n_words", "hits"],
-            )
+            columns = {
+                "row": pa.array(number.take(batch.num_rows)), "doc_id": batch.column("doc_id"),
+                "n_words": pa.array(np.diff(words.first).astype(np.int64)),
+                "hits": pa.ListArray.from_arrays(starts, hits),
+            }
+            if "rest" in batch.schema.names:
+                columns["text"] = batch.column("text")
+            yield with_columns(columns, batch)
 
     return run
 
@@ -151,16 +156,17 @@ def _same(a: str, b: str, places: list[int]) -> F.Column:
 
 
 def contaminated_spans(documents: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All documents (row, doc_id, n_words) and the spans of words in which they hold windows
+    """All documents (row, doc_id, n_words; text and rest, if there is a rest) and the spans of words in which they hold windows
     of items (row, item_id, start, end)."""
     items = kept(item_fingerprints(benchmark), "winnow-items")
     spark = documents.sparkSession
     bits = spark.sparkContext.broadcast(_filter(items))
     sizes = _short_sizes(items)
+    told = f"row bigint, doc_id bigint, n_words bigint, hits {_HITS}"
+    if "rest" in documents.columns:
+        told += ", text string"
     docs = kept(
-        documents.select("doc_id", "text").mapInArrow(
-            _document_rows(bits, sizes), f"row bigint, doc_id bigint, n_words bigint, hits {_HITS}"
-        ),
+        documents.mapInArrow(_document_rows(bits, sizes), schema_with_rest(told, documents)),
         "winnow-documents",
     )
     hits = docs.select("row", F.explode("hits").alias("h")).select("row", "h.*")
@@ -189,7 +195,7 @@ def contaminated_spans(documents: DataFrame, benchmark: DataFrame) -> tuple[Data
 
 def decontamination_report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items (sorted ids) and contaminated, per document."""
-    docs, spans = contaminated_spans(documents, benchmark)
+    docs, spans = contaminated_spans(documents.select("doc_id", "text"), benchmark)
     # Hits of a document meet in one row each: as many as it has words, at most.
     spot = F.struct("start", "end")
     covered = F.aggregate(
@@ -213,3 +219,9 @@ def decontamination_report(documents: DataFrame, benchmark: DataFrame) -> DataFr
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
     )
+
+
+def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that hold no window of any item, with all their columns."""
+    docs, spans = contaminated_spans(with_rest(documents), benchmark)
+    return restored(docs.join(spans.select("row").distinct(), "row", "left_anti"), documents)
