@@ -53,8 +53,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = is_held_out(4, 2)
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    learned = documents.filter(~held_out).select("doc_id", "text").join(labels.filter(~held_out), "doc_id")
-    model = toxicity_fm.fit(learned.select(F.col("doc_id").alias("key"), "text", "label"))
+    key = F.col("doc_id").alias("key")
+    model = toxicity_fm.fit(
+        documents.select(key, "text"), labels.filter(~held_out).select(key, "label")
+    )
     rows = documents.select("doc_id", "text", held_out.alias("held_out"))
     return toxicity_fm.score(rows, model, ["doc_id", "held_out"]).withColumn(
         "predicted", (F.col("score") >= 0.3).cast("int")

@@ -9,7 +9,7 @@ The model is fitted on the driver, on a sample bounded by ``SAMPLE`` rows a clas
 then makes up for the classes' shares in the sample. Every word of every text counts in a score.
 
 A null or empty text has the score of no terms. Without labels of both classes the score is
-the share of toxic labels, 0 without any. Repeated rows are scored alike, row by row.
+the share of toxic labels, 0 without any. A key that recurs among the documents is learned as often. Repeated rows are scored alike, row by row.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from .words import U, lowered, mix, span_hashes, split_words
 SLOTS, STEMS = 1 << 20, (4, 5, 6)
 #: A term of the model is in so many rows of the sample, and in this share of them at most.
 LEAST_ROWS, MOST_SHARE = 3, 0.25
-FACTORS, SAMPLE = 6, 5000
+FACTORS, SAMPLE = 6, 2500
 #: The L1 penalty is for each square root of the sample's rows, as chance gradients grow.
 EPOCHS, BATCH, RATE, L1, L2, FACTOR_RATE, FACTOR_PENALTY = 10, 64, 0.5, 0.2, 0.0, 0.01, 0.02
 
@@ -83,24 +83,30 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model learned from rows with text, label (0 or 1) and a ``key`` that chooses the sample."""
-    labelled = labelled.filter("label is not null")
-    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """A model learned from documents (key, text) and labels (key, label 0 or 1).
+
+    The key chooses the sample, so that only sampled texts meet their labels.
+    """
+    labels = labels.filter("label is not null and key is not null")
+    counts = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
     empty = np.zeros(0)
     if not counts.get(0) or not counts.get(1):
         share = 1.0 if counts.get(1) else 0.0
         return Model(35 * (2 * share - 1), empty.astype(np.int64), empty, np.zeros((0, FACTORS)))
     order = F.xxhash64("key")
     cut = F.when(F.col("label") == 1, sample / counts[1]).otherwise(sample / counts[0]) * (1 << 20)
+    drawn = labels.filter(F.pmod(order, F.lit(1 << 20)) < cut).orderBy(order, "key").limit(3 * sample)
     told = (
-        labelled.filter(F.pmod(order, F.lit(1 << 20)) < cut).orderBy(order, "key", "text").limit(3 * sample)
+        documents.join(F.broadcast(drawn), "key")  # 3 * sample rows at most
         .select("label", F.coalesce("text", F.lit("")).alias("text"))
         .mapInArrow(_sample_rows, "label int, slots array<int>").toArrow()
     )
     lists_ = told.column("slots").combine_chunks()
     first = lists_.offsets.to_numpy().astype(np.int64)
     label = told.column("label").to_numpy().astype(np.float64)
+    if not len(label):
+        return Model(float(np.log(counts[1] / counts[0])), empty.astype(np.int64), empty, np.zeros((0, FACTORS)))
     model = _train(lists_.flatten().to_numpy().astype(np.int64), first - first[0], label)
     drawn = np.log(max(label.sum(), 1) / max((1 - label).sum(), 1))
     return model._replace(intercept=model.intercept + float(np.log(counts[1] / counts[0]) - drawn))
