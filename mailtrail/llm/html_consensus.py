@@ -29,7 +29,7 @@ PATHS, SALTS = 8, 16
 # HTML's elements by how they break text, and words that name what is no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math object".split())
-CONTAINERS = frozenset("body main article section div td center blockquote".split())
+CONTAINERS = frozenset("main article section div td center blockquote".split())
 BLOCKS = CONTAINERS | frozenset(
     "address aside caption dd details dialog dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head"
     " header hgroup hr html legend li menu nav ol optgroup option p pre select summary table tbody tfoot th thead tr ul"
@@ -95,7 +95,7 @@ def _is_boilerplate(tag: str, told: dict[str, str], in_article: bool, by_words:
         return True
     if told.get("role", "").lower() in BOILERPLATE_ROLES:
         return True
-    if not by_words or tag in ("html", "body", "main"):
+    if not by_words or tag == "main":
         return False
     words = set(_WORDS.findall(f"{told.get('class', '')} {told.get('id', '')}".lower()))
     return bool(words & BOILERPLATE_WORDS) or not in_article and bool(words & HEADER_WORDS)
@@ -103,9 +103,9 @@ def _is_boilerplate(tag: str, told: dict[str, str], in_article: bool, by_words:
 
 def parse(html: str, by_words: bool = True) -> Page:
     """Containers and blocks of a page outside boilerplate; ``by_words``: class words tell it too."""
-    page = Page([-1], ["html"], ["html"], [])
+    page = Page([-1], ["body"], ["body"], [])
     #: Open elements: tag, container number, whether boilerplate, whether in an article.
-    stack: list[tuple[str, int, bool, bool]] = [("html", 0, False, False)]
+    stack: list[tuple[str, int, bool, bool]] = [("body", 0, False, False)]
     text: list[str] = []
     linked = links = 0
     at = 0
@@ -175,7 +175,7 @@ def parse(html: str, by_words: bool = True) -> Page:
         if tag in VOID:
             text.append(" ")
             continue
-        if tag == "html":
+        if tag in ("html", "body"):  # the root, written or not
             continue
         _, container, skipped, in_article = stack[-1]
         told = _attributes(attributes) if attributes.strip() else {}
