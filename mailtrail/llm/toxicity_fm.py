@@ -29,7 +29,7 @@ SLOTS, STEMS = 1 << 20, (4, 5, 6)
 LEAST_ROWS, MOST_SHARE = 3, 0.25
 FACTORS, SAMPLE = 6, 2500
 #: The L1 penalty is for each square root of the sample's rows, as chance gradients grow.
-EPOCHS, BATCH, RATE, L1, L2, FACTOR_RATE, FACTOR_PENALTY = 10, 64, 0.5, 0.2, 0.0, 0.01, 0.02
+EPOCHS, BATCH, RATE, L1, L2, FACTOR_RATE, FACTOR_PENALTY = 10, 64, 0.5, 0.2, 0.0, 0.05, 0.02
 
 
 class Model(NamedTuple):
