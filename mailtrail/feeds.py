@@ -245,16 +245,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(frame: DataFrame) -> DataFrame:
-    """Rows over all cores when the files come in fewer splits; large inputs stay as they are."""
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
-
-
 def _derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     used = {name: table(spark, sf_dir, name) for name in TABLES if f"{{{name}}}" in sql}
-    if "events" in used:  # every event becomes a line to parse, the costly part
-        used["events"] = _spread(used["events"])
     return spark.sql(sql.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"), **used)
 
 

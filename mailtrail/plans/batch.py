@@ -43,22 +43,42 @@ def run_batch(
 ) -> str:
     """Load every new report file of the folder; returns the final run status.
 
-    A failure leaves the tables as they were and the run recorded as FAILED.
+    A failure leaves the published tables as they were and the run recorded as FAILED. A run
+    that is not published can be repeated under its id, from nothing; repeating a published one
+    changes nothing and returns its recorded status.
     """
     run_id = run_id or new_run_id()
     now = now or datetime.now()
     house = Warehouse(spark, warehouse_root)
     scratch = scratch or scratch_folder(spark, "batch")
     run = (house, run_id, dag_id, now)
+    if house.is_published(run_id):
+        return _published_status(*run)
+    house.drop_run(run_id)
+    _record_run(*run)
     try:
         files = _load(spark, folder, house, run_id, reference, now, profile, scratch)
+        house.publish(run_id, int(now.timestamp() * 1_000_000))
     except Exception as error:
-        _record_run(*run, "FAILED", type(error).__name__, str(error)[:1000])
+        _record_run(*run, "FAILED", type(error).__name__, str(error))
         raise
-    this_run = spark.createDataFrame([(run_id,)], "run_id string")
-    status = control.final_status(this_run, files).first()["final_status"]
-    _record_run(*run, status, None, None)
-    house.publish(run_id, int(now.timestamp() * 1_000_000))
+    status = _final_status(house, run_id, files)
+    _record_run(*run, status)
+    return status
+
+
+def _final_status(house: Warehouse, run_id: str, files: DataFrame) -> str:
+    this_run = house.spark.createDataFrame([(run_id,)], "run_id string")
+    return control.final_status(this_run, files).first()["final_status"]
+
+
+def _published_status(house, run_id, dag_id, now) -> str:
+    """The recorded status; if the run ended between its marker and its record, that of its files."""
+    ended = house.run_rows("run_events", run_id).filter("event = 'finished'").first()
+    if ended is not None:
+        return ended["status"]
+    status = _final_status(house, run_id, house.files().filter(F.col("run_id") == run_id))
+    _record_run(house, run_id, dag_id, now, status)
     return status
 
 
@@ -77,20 +97,22 @@ def _load(spark, folder, house, run_id, reference, now, profile, scratch) -> Dat
 
     staged, offsets = _stage_records(spark, folder, run_id, profile, scratch)
     numbered = lines.with_line_numbers(staged, offsets)
+    if "is_blank" in numbered.columns:
+        numbered = numbered.filter("NOT is_blank")
     dispositions = written(
-        control.file_disposition(_facts(registered, previous, numbered, profile)),
+        control.file_disposition(_facts(registered, house.published_files(), numbered, profile)),
         f"{scratch}/prepared",
     )
 
     ids = dispositions.select(F.col("file_name").alias("source_file"), "file_id")
     records_only = numbered.filter("line_number > 1").select(
         F.col("file_name").alias("source_file"), F.col("line_number").alias("source_line"),
-        *[c for c in staged.columns if c not in ("file_name", *lines.SPLIT_KEYS, "position")],
+        *[c for c in staged.columns if c not in ("file_name", "is_blank", *lines.SPLIT_KEYS, "position")],
     )
     accepted = control.loadable(records_only, dispositions).join(ids, "source_file")
     stats = house.write_run("estadistica", records.visits(accepted), run_id)
     errors = house.write_run("errores", records.rejects(accepted, profile), run_id)
-    _check_tables(dispositions, stats, errors)
+    _check_tables(house, run_id, dispositions, stats, errors)
     results = _update_visitors(house, stats, errors, dispositions, run_id, reference, scratch)
 
     final = written(
@@ -106,6 +128,8 @@ def _stage_records(spark, folder, run_id, profile, scratch) -> tuple[DataFrame,
     positioned = lines.positioned_lines(spark, folder).withColumn(
         "utf8_ok", F.is_valid_utf8("raw_record")
     )
+    if not profile.strict:  # blank lines count for numbers, and go once these are given
+        positioned = positioned.withColumn("is_blank", records.is_blank())
     named = positioned.withColumn("source_file", F.col("file_name"))
     validated = records.validate(named, run_id, profile).drop("source_file")
     staged = written(validated, f"{scratch}/records")
@@ -115,9 +139,7 @@ def _stage_records(spark, folder, run_id, profile, scratch) -> tuple[DataFrame,
 
 def _facts(registered, previous, numbered, profile) -> DataFrame:
     """Registered files with everything known before loading."""
-    facts = control.batch_duplicates(registered)
-    if previous is not None:
-        facts = control.already_processed(facts, previous)
+    facts = registered if previous is None else control.already_processed(registered, previous)
     headers = lines.header_lines(numbered.select("file_name", "line_number", "raw_record"))
     facts = facts.join(headers, "file_name", "left").withColumn("file_size", F.col("size_bytes"))
     if profile.strict:
@@ -130,7 +152,7 @@ def _facts(registered, previous, numbered, profile) -> DataFrame:
     )
     if not profile.strict:
         counted = counted.withColumn("utf8_ok", F.lit(True))
-    joined = facts.join(counted, "file_name", "left").drop("header_line")
+    joined = control.batch_duplicates(facts.join(counted, "file_name", "left").drop("header_line"))
     kept = [c for c in joined.columns if not c.startswith("records_")]
     return joined.select(
         *kept,
@@ -141,16 +163,21 @@ def _facts(registered, previous, numbered, profile) -> DataFrame:
     )
 
 
-def _check_tables(dispositions, stats, errors) -> None:
-    """Row counts and key uniqueness of what was written; raises instead of publishing."""
+def _check_tables(house, run_id, dispositions, stats, errors) -> None:
+    """Row counts and key uniqueness of what was written; raises instead of publishing.
+
+    The files that differ are the run's rows of the table ``reconciliation``.
+    """
     prepared = dispositions.filter("status = 'PREPARED'").select(
         "file_id", "records_read", "records_valid", "records_invalid"
     )
     wrong = checks.load_reconciliation(prepared, stats, errors).filter("error_code IS NOT NULL")
     twice = checks.duplicate_keys(stats, *layout.UNIQUE_KEYS["estadistica"])
-    bad = wrong.limit(5).collect()
-    if bad or not twice.isEmpty():
-        raise ReconciliationError(f"RECONCILIATION_ERROR: {bad or 'repeated record keys'}")
+    differing = house.write_run("reconciliation", wrong, run_id).count()
+    if differing:
+        raise ReconciliationError(f"RECONCILIATION_ERROR: {differing} files, see reconciliation")
+    if not twice.isEmpty():
+        raise ReconciliationError("RECONCILIATION_ERROR: repeated record keys")
 
 
 def _update_visitors(house, stats, errors, dispositions, run_id, reference, scratch) -> DataFrame:
@@ -227,15 +254,15 @@ def _record_files(house, files: DataFrame, run_id: str, now: datetime) -> None:
     house.write_run("file_events", rows, run_id)
 
 
-def _record_run(house, run_id, dag_id, now, status, code, message) -> None:
-    """Write the run's registration and end."""
+def _record_run(house, run_id, dag_id, now, status=None, code=None, message=None) -> None:
+    """Write the run's registration, and its end once it has a status."""
     columns = "run_id string, seq bigint, event string, dag_id string, status string, " \
         "error_code string, error_message string"
     rows = house.spark.createDataFrame(
         [
             (run_id, 1, "started", dag_id, "RUNNING", None, None),
             (run_id, 2, "finished", None, status, code, message),
-        ],
+        ][: 2 if status else 1],
         columns,
     )
     at = F.lit(now).cast("timestamp_ntz")

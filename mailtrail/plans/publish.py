@@ -1,12 +1,13 @@
 """Writing the tables, and making one run's output visible all at once.
 
-Every table keeps a run's rows under ``run_id=<id>``, so writing a run again replaces only
-what that run wrote. A run becomes visible by its row in ``published``, written last.
+Every table keeps a run's rows under ``run_id=<id>``. A run becomes visible by its row in
+``published``, written last; until then a repeat drops what the run wrote and starts anew.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +75,22 @@ class Warehouse:
         )
         return self.spark.read.schema(schema).parquet(self.path(table))
 
+    def is_published(self, run_id: str) -> bool:
+        runs = self.published()
+        return runs is not None and not runs.filter(F.col("run_id") == run_id).isEmpty()
+
+    def drop_run(self, run_id: str) -> None:
+        """Remove all that an unpublished run has written: a repeat starts from nothing."""
+        if self.is_published(run_id):
+            raise ValueError(f"run {run_id} is published")
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        store = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for table in store.listStatus(root) if store.exists(root) else []:
+            for part in store.listStatus(table.getPath()):
+                # Spark escapes special characters of a partition value like a URL does.
+                if unquote(part.getPath().getName()) == f"run_id={run_id}":
+                    store.delete(part.getPath(), True)
+
     def publish(self, run_id: str, order: int) -> None:
         """The last write of a run: one marker row."""
         marker = self.spark.createDataFrame([(order,)], "run_order bigint")
@@ -98,6 +115,13 @@ class Warehouse:
         rows = self.run_rows("visitante", newest)
         return None if rows is None else rows.select(*VISITOR_COLUMNS)
 
+    def published_files(self) -> DataFrame | None:
+        """Current file control state of published runs: what they loaded is there."""
+        files, runs = self.files(), self.published()
+        if files is None or runs is None:
+            return None
+        return files.join(runs.select("run_id"), "run_id", "left_semi")
+
     def files(self) -> DataFrame | None:
         """Current file control state, of every run: failures count as well."""
         events = self._read("file_events")

@@ -41,12 +41,15 @@ def engine_session(
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    The folder named in ``spark.checkpoint.dir`` is used when it is set; only without it
-    (tests, local mode) a folder of this machine is made.
+    The folder named in ``spark.checkpoint.dir`` is used when it is set. Without it a folder of
+    this machine is made in local mode; on a cluster the setting is required.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if shared:
         return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"{purpose}-")

@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from mailtrail import layout
 from mailtrail.functions.rules import RuleProfile
@@ -96,7 +97,7 @@ def test_failure_publishes_nothing(spark, place, monkeypatch):
     assert go("run1") == "SUCCESS"
     put(inbox, "report_2.txt", visit("z@example.com"))
 
-    def lose_rows(dispositions, stats, errors):
+    def lose_rows(*_):
         raise batch.ReconciliationError("RECONCILIATION_ERROR: test")
 
     with monkeypatch.context() as patch:
@@ -122,11 +123,11 @@ def test_tables_that_lost_rows_are_refused(spark, place):
     )
     stats = house.table("estadistica")
     errors = spark.createDataFrame([], "file_id bigint, line_number bigint")
-    batch._check_tables(counted, stats, errors)
+    batch._check_tables(house, "check", counted, stats, errors)
     with pytest.raises(batch.ReconciliationError):
-        batch._check_tables(counted, stats.filter("email = 'a@example.com'"), errors)
+        batch._check_tables(house, "check", counted, stats.filter("email = 'a@example.com'"), errors)
     with pytest.raises(batch.ReconciliationError):
-        batch._check_tables(counted.limit(0), stats.unionByName(stats), errors)
+        batch._check_tables(house, "check", counted.limit(0), stats.unionByName(stats), errors)
 
 
 def test_lenient_run_takes_other_names_and_headers(spark, place):
@@ -137,6 +138,71 @@ def test_lenient_run_takes_other_names_and_headers(spark, place):
     assert [r.error_code for r in house.table("errores").collect()] == ["INVALID_EMAIL"]
 
 
+def test_repeating_a_published_run_changes_nothing(spark, place):
+    inbox, house, go = place
+    put(inbox, "report_1.txt", visit("a@example.com"))
+    assert go("run1") == "SUCCESS"
+    put(inbox, "report_2.txt", visit("b@example.com"))
+    assert go("run2", minute=1) == "SUCCESS"
+    assert go("run1", minute=2) == "SUCCESS" and go("run2", minute=3) == "SUCCESS"
+    put(inbox, "report_3.txt", visit("c@example.com"))
+    go("run3", minute=4)
+    assert house.table("estadistica").count() == 3
+    assert {r.email: r.total_visits for r in house.visitors().select(
+        "email", F.col(house.visitors().columns[3]).alias("total_visits")).collect()} == {
+        "a@example.com": 1, "b@example.com": 1, "c@example.com": 1}
+
+
+def test_unpublished_files_are_loaded_by_the_next_run(spark, place, monkeypatch):
+    inbox, house, go = place
+    put(inbox, "report_1.txt", visit("a@example.com", "01/01/2013 00:00"))
+
+    def fail(*_):
+        raise OSError("no marker")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "publish", fail)
+        with pytest.raises(OSError):
+            go("run1")
+    assert {r.run_id: r.status for r in house.runs().collect()} == {"run1": "FAILED"}
+    go("run2", minute=1)
+    assert house.table("estadistica").count() == 1
+    # a repeat drops what the failed attempt wrote, in whatever partitions
+    put(inbox, "report_1.txt", visit("z@example.com", "01/02/2013 00:00"))
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "publish", fail)
+        with pytest.raises(OSError):
+            go("run3", minute=2)
+    put(inbox, "report_1.txt", visit("z@example.com", "01/03/2013 00:00"))
+    assert go("run3", minute=3) == "SUCCESS"
+    assert house.run_rows("estadistica", "run3").count() == 1
+
+
+def test_twins_of_refused_files_are_refused(spark, place):
+    inbox, house, go = place
+    put(inbox, "report_1.txt", visit("a@example.com"), header="email,jyv,Badmail")
+    put(inbox, "report_2.txt", visit("a@example.com"), header="email,jyv,Badmail")
+    put(inbox, "report_3.txt", visit("b@example.com"))
+    put(inbox, "report_4.txt", visit("b@example.com"))
+    go("run1")
+    assert [r.status for r in house.files().orderBy("file_name").collect()] == [
+        "REJECTED_LAYOUT", "REJECTED_LAYOUT", "BACKED_UP", "SKIPPED_ALREADY_PROCESSED"]
+
+
+def test_lenient_numbers_count_blank_lines(spark, place):
+    inbox, house, go = place
+    rows = [x for i in range(400) for x in (visit(f"u{i}@example.com"), "", " ")]
+    put(inbox, "report_1.txt", *rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert go("run1", profile=RuleProfile.LENIENT) == "SUCCESS"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = house.table("estadistica").select("email", "source_line").collect()
+    assert {(r.email, r.source_line) for r in got} == {(f"u{i}@example.com", 2 + 3 * i) for i in range(400)}
+
+
 def test_status_event_clears_code(spark):
     events = spark.createDataFrame(
         [(1, 1, "detected", "r", "DETECTED", None), (1, 2, "status", None, "FAILED", "Oops"),
