@@ -270,6 +270,11 @@ def registered_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derived(spark, sf_dir, RUNS)
 
 
+def newest_run(spark: SparkSession, sf_dir: str) -> str:
+    """The greatest run id that has a file, as a caller would name a run."""
+    return file_control(spark, sf_dir).agg(F.max("run_id")).first()[0]
+
+
 def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derived(spark, sf_dir, HEADERS)
 

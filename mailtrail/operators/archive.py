@@ -1,7 +1,7 @@
-"""The archive dataset and its verification, chunk by chunk.
+"""The archive dataset and its verification.
 
-The archive holds whole file contents, in chunks above a size. Digests are taken where the
-bytes are read, so only digests are ever shuffled.
+The archive holds whole file contents. Digests are taken where the bytes are read, so only
+digests are ever shuffled.
 """
 
 from __future__ import annotations
@@ -12,48 +12,37 @@ from pyspark.sql import functions as F
 from ..functions.status import archive_name
 
 
-def archive_rows(manifest: DataFrame, chunks: DataFrame, run_id: str) -> DataFrame:
-    """run_id, archive_name, file_name, chunk_no, content; zero-length files included."""
-    empties = manifest.filter("size_bytes = 0").select(
-        "file_name", F.lit(0).alias("chunk_no"), F.lit(b"").alias("content")
-    )
-    return chunks.unionByName(empties).select(
+def archive_rows(manifest: DataFrame, contents: DataFrame, run_id: str) -> DataFrame:
+    """run_id, archive_name, file_name, content; zero-length files included."""
+    empties = manifest.filter("size_bytes = 0").select("file_name", F.lit(b"").alias("content"))
+    return contents.select("file_name", "content").unionByName(empties).select(
         F.lit(run_id).alias("run_id"),
         archive_name(F.col("file_name"), F.lit(run_id)).alias("archive_name"),
-        "file_name", "chunk_no", "content",
+        "file_name", "content",
     )
 
 
-def _digests(chunks: DataFrame) -> DataFrame:
-    return chunks.select(
-        "file_name", "chunk_no",
-        F.sha2("content", 256).alias("digest"),
-        F.octet_length("content").cast("bigint").alias("bytes"),
-    ).filter("bytes > 0 OR chunk_no = 0")
-
+def verify_archive(registered: DataFrame, archive: DataFrame) -> DataFrame:
+    """Per registered file: OK, MISSING, DUPLICATE_MEMBER, EMPTY or CHECKSUM_MISMATCH.
 
-def verify_archive(manifest: DataFrame, source_chunks: DataFrame, archive: DataFrame) -> DataFrame:
-    """Per file of the manifest: OK, MISSING, DUPLICATE_MEMBER, EMPTY or CHECKSUM_MISMATCH."""
-    expected = _digests(source_chunks).groupBy("file_name", "chunk_no").agg(
-        F.max("digest").alias("expected")
-    )
-    kept = _digests(archive).groupBy("file_name", "chunk_no").agg(
-        F.count(F.lit(1)).alias("copies"), F.max("digest").alias("kept"),
-        F.max("bytes").alias("bytes"),
-    )
-    compared = kept.join(expected, ["file_name", "chunk_no"], "full")
-    per_file = compared.groupBy("file_name").agg(
-        F.max("copies").alias("copies"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("archived_bytes"),
-        F.bool_or(~F.col("kept").eqNullSafe(F.col("expected"))).alias("differs"),
+    ``registered`` brings the size and checksum_sha256 that were taken when the file came in;
+    a source that changed since does not pass for what was loaded.
+    """
+    kept = archive.select(
+        "file_name", F.sha2("content", 256).alias("_digest"),
+        F.octet_length("content").cast("bigint").alias("_bytes"),
+    ).groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("_copies"), F.max("_bytes").alias("_bytes"),
+        F.max("_digest").alias("_digest"),
     )
-    source_empty = F.col("size_bytes") == 0
-    return manifest.select("file_name", "size_bytes").join(per_file, "file_name", "left").select(
+    same = F.col("_digest").eqNullSafe(F.col("checksum_sha256"))
+    return registered.select("file_name", "size_bytes", "checksum_sha256").join(
+        kept, "file_name", "left"
+    ).select(
         "file_name", "size_bytes",
-        F.when(F.col("copies").isNull(), "MISSING")
-        .when(F.col("copies") > 1, "DUPLICATE_MEMBER")
-        .when((F.col("archived_bytes") == 0) & ~source_empty, "EMPTY")
-        .when(F.col("differs") & ~source_empty, "CHECKSUM_MISMATCH")
-        .when(source_empty & (F.col("archived_bytes") > 0), "CHECKSUM_MISMATCH")
+        F.when(F.col("_copies").isNull(), "MISSING")
+        .when(F.col("_copies") > 1, "DUPLICATE_MEMBER")
+        .when((F.col("_bytes") == 0) & (F.col("size_bytes") > 0), "EMPTY")
+        .when(~same, "CHECKSUM_MISMATCH")
         .otherwise("OK").alias("archive_state"),
     )

@@ -28,7 +28,8 @@ FILE_EVENT_SCHEMA = (
     "file_name string, source_path string, file_size bigint, checksum_sha256 string, "
     "staging_uri string, backup_uri string, status string, error_code string, "
     "error_message string, records_read bigint, records_valid bigint, records_invalid bigint, "
-    "records_loaded bigint, visitors_inserted bigint, visitors_updated bigint"
+    "records_loaded bigint, visitors_inserted bigint, visitors_updated bigint, "
+    "source_modified_at timestamp_ntz"
 )
 # event -> the time column it sets
 FILE_EVENT_TIMES = {
@@ -56,6 +57,12 @@ def _last(name: str) -> Column:
     return F.max_by(name, seq).alias(name)
 
 
+def _first(name: str) -> Column:
+    """The oldest value an event gave for a column: what a file was registered with stays."""
+    seq = F.when(F.col(name).isNotNull(), F.col("seq"))
+    return F.min_by(name, seq).alias(name)
+
+
 def _last_of(name: str, events: list[str]) -> Column:
     """The column of the newest of these events, null included."""
     seq = F.when(F.col("event").isin(events), F.col("seq"))
@@ -72,6 +79,8 @@ def fold_runs(events: DataFrame) -> DataFrame:
         _last("status"),
         _last("error_code"),
         _last("error_message"),
+        F.min("at").alias("created_at"),
+        F.max("at").alias("updated_at"),
     )
 
 
@@ -79,22 +88,25 @@ def fold_files(events: DataFrame) -> DataFrame:
     """Current state of every file.
 
     A ``status`` event replaces code and message, with null when it gives none; the other
-    events leave them alone.
+    events leave them alone. The folded texts need sorted input, so the events, a handful per
+    file, are brought together and sorted once; the aggregation then streams over them.
     """
+    events = events.repartition("file_id").sortWithinPartitions("file_id")
     first_set = ["run_id", "file_name", "source_path"]
     last_set = [
         "file_size", "checksum_sha256", "staging_uri", "backup_uri", "status", "records_read",
         "records_valid", "records_invalid", "records_loaded", "visitors_inserted",
-        "visitors_updated",
+        "visitors_updated", "source_modified_at",
     ]
     times = [
         F.max(F.when(F.col("event") == event, F.col("at"))).alias(column)
         for event, column in FILE_EVENT_TIMES.items()
     ]
     state = events.groupBy("file_id").agg(
-        *[_last(c) for c in first_set + last_set],
+        *[_first(c) for c in first_set], *[_last(c) for c in last_set],
         *[_last_of(c, ["status"]) for c in ("error_code", "error_message")],
         *times,
+        F.min("at").alias("created_at"),
         F.max("at").alias("updated_at"),
         F.count_if(F.col("event") == "retried").alias("retry_count"),
     )
@@ -227,7 +239,7 @@ def batch_duplicates(files: DataFrame) -> DataFrame:
 _DISPOSITION_INPUTS = {
     "staging_state": "string", "original_file_id": "bigint", "original_run_id": "string",
     "first_file": "string", "layout_code": "string", "layout_message": "string",
-    "utf8_ok": "boolean", "duplicate_lines": "bigint", "records_read": "bigint",
+    "utf8_ok": "boolean", "duplicate_lines": "bigint", "refused_values": "bigint", "records_read": "bigint",
     "records_valid": "bigint", "records_invalid": "bigint", "statistics_rows": "bigint",
     "errors_rows": "bigint", "archive_state": "string", "source_deleted": "boolean",
 }
@@ -288,6 +300,10 @@ def file_disposition(files: DataFrame) -> DataFrame:
             col("duplicate_lines") > 0, "FAILED", F.lit("IntegrityError"),
             F.concat(F.lit("Duplicate record keys: "), text(col("duplicate_lines"))),
         ),
+        (
+            col("refused_values") > 0, "FAILED", F.lit("DataError"),
+            F.concat(F.lit("Values the tables do not take: "), text(col("refused_values"))),
+        ),
         (
             fields_off | tables_off, "FAILED", F.lit("RECONCILIATION_ERROR"),
             F.concat(
@@ -330,6 +346,24 @@ def loadable(records: DataFrame, dispositions: DataFrame, key: str = "source_fil
     return records.join(kept.select(F.col("file_name").alias(key)), key, "left_semi")
 
 
+def settled_deletions(files: DataFrame, present: DataFrame) -> DataFrame:
+    """Archived files whose source has gone from the manifest: (file_id, file_name)."""
+    return (
+        files.filter("backup_at IS NOT NULL AND source_deleted_at IS NULL")
+        .join(present.select("file_name").distinct(), "file_name", "left_anti")
+        .select("file_id", "file_name")
+    )
+
+
+def deletion_events(settled: DataFrame, seq: int, at: Column) -> DataFrame:
+    """One ``source_deleted`` event for each settled file, which makes it SUCCESS."""
+    rows = event(
+        FILE_EVENT_SCHEMA, F.lit(True), file_id=F.col("file_id"), seq=F.lit(seq),
+        event=F.lit("source_deleted"), at=at, status=F.lit("SUCCESS"),
+    )
+    return settled.select(F.inline(F.array(rows)))
+
+
 def purge_candidates(files: DataFrame, archive: DataFrame) -> DataFrame:
     """Sources that may be deleted: loaded, archived, archive verified, still there."""
     verified = archive.filter("archive_state = 'OK'").select("file_id")

@@ -10,6 +10,8 @@ from ..functions import dates, status
 from .control import RUN_COUNTERS
 
 _ISSUE = ["error_code", "error_message"]
+# Columns that the views show where the control rows bring them.
+_RUN_EXTRAS = [*_ISSUE, "created_at", "updated_at"]
 
 
 def _of_run(frame: DataFrame, run_id: str | None) -> DataFrame:
@@ -27,6 +29,7 @@ def run_operational_summary(runs: DataFrame) -> DataFrame:
         status.percentage(F.col("records_invalid"), F.col("records_read")).alias(
             "invalid_record_percentage"
         ),
+        *[c for c in _RUN_EXTRAS if c in runs.columns],
     )
 
 

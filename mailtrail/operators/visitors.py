@@ -64,11 +64,9 @@ def affected_emails(visits: DataFrame, *by: str) -> DataFrame:
 
 
 def visitors_of(affected: DataFrame, history: DataFrame, reference: date) -> DataFrame:
-    """Metrics over all history for the affected e-mails only.
-
-    The semi join runs on one row per e-mail, after the aggregation.
-    """
-    return visitors(history, reference).join(affected.select("email"), "email", "left_semi")
+    """Metrics over all history for the affected e-mails only; the others are cut first."""
+    touched = affected.select("email").distinct()
+    return visitors(history.join(touched, "email", "left_semi"), reference)
 
 
 def merge_visitors(snapshot: DataFrame, recomputed: DataFrame) -> DataFrame:

@@ -465,6 +465,39 @@ ORACLES: dict[str, str] = {
            WHERE load_finished_at IS NOT NULL AND backup_at IS NOT NULL
              AND source_deleted_at IS NULL AND file_id % 13 NOT IN (2, 3)""",
     ),
+    "deletion_settlement": with_ctes(
+        "files",
+        """SELECT file_id, CAST(20 AS BIGINT) AS seq, 'source_deleted' AS event,
+             TIMESTAMP '2024-01-31 00:00:00' AS at, 'SUCCESS' AS status FROM files
+           WHERE backup_at IS NOT NULL AND source_deleted_at IS NULL AND file_id % 3 <> 0""",
+    ),
+    "run_report_files": with_ctes(
+        "files",
+        f"""SELECT run_id, file_id, file_name, status, records_read, records_valid, records_invalid,
+             records_loaded, backup_uri, backup_at, source_deleted_at, {_ISSUES} FROM files
+           WHERE run_id = (SELECT max(run_id) FROM files)""",
+    ),
+    "run_report_statuses": with_ctes(
+        "files",
+        """SELECT run_id, file_id, status FROM files
+           WHERE run_id = (SELECT max(run_id) FROM files)""",
+    ),
+    "run_report_summary": with_ctes(
+        "runs",
+        f"""SELECT run_id, dag_id, status, {_COUNTER_LIST}, start_time, end_time FROM runs
+           WHERE run_id = (SELECT max(run_id) FROM files)""",
+    ),
+    "run_report_acceptance": with_ctes(
+        "runs",
+        """SELECT run_id, status, status IN ('SUCCESS', 'PARTIAL_SUCCESS') AS accepted FROM runs
+           WHERE run_id = (SELECT max(run_id) FROM files)""",
+    ),
+    "run_report_alerts": with_ctes(
+        "files",
+        f"""SELECT * FROM (SELECT run_id, file_id, file_name, status, {_SEVERITY} AS severity,
+             {_CATEGORY} AS category, {_ISSUES} FROM files
+             WHERE run_id = (SELECT max(run_id) FROM files)) AS c WHERE severity <> 'INFO'""",
+    ),
     "duplicate_key_check": """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "append_without_duplicates": """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate
@@ -517,7 +550,11 @@ ORACLES: dict[str, str] = {
         f"""SELECT run_id, dag_id, execution_date, start_time, end_time, status, {_COUNTER_LIST},
              date_sub('second', start_time, end_time) AS duration_seconds,
              {_PERCENT.format('files_success', 'files_detected')} AS file_success_percentage,
-             {_PERCENT.format('records_invalid', 'records_read')} AS invalid_record_percentage
+             {_PERCENT.format('records_invalid', 'records_read')} AS invalid_record_percentage,
+             CASE WHEN end_time IS NOT NULL AND minute(start_time) % 3 = 0 THEN 'RuntimeError' END
+               AS error_code,
+             CAST(NULL AS VARCHAR) AS error_message, start_time AS created_at,
+             coalesce(end_time, start_time) AS updated_at
            FROM runs""",
     ),
     "file_operational_detail": with_ctes(

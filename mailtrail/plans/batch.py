@@ -1,14 +1,18 @@
 """One run over a landing folder, from manifest to published tables.
 
 All files are handled together: each step is a job over the whole batch, and what a step
-decides about a file is a row, not a branch of a loop. The report text is read once; the
-checksum, the archive and its check read the files as bytes.
+decides about a file is a row, not a branch of a loop. The folder is listed once. A file of
+the name, size and time of one that a published run has seen keeps its checksum, and text and
+archive bytes are read of files with new contents only: a run costs what is new, not what lies
+in the folder. A file that fails is FAILED with its code; the others load.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +26,8 @@ from ..sources.lines import written
 from .publish import Warehouse
 
 
-class ReconciliationError(RuntimeError):
-    """The written tables do not hold what was counted; the run was not published."""
+# Comes after all events of the run that loaded a file.
+SETTLEMENT_SEQ = 20
 
 
 def new_run_id(prefix: str = "manual") -> str:
@@ -82,52 +86,125 @@ def _published_status(house, run_id, dag_id, now) -> str:
     return status
 
 
+class _Clock:
+    """Times of a run's steps: the run's own time plus what has passed since."""
+
+    def __init__(self, now: datetime):
+        self.now, self.began, self.steps = now, datetime.now(), {}
+
+    def reached(self, *steps: str) -> None:
+        for step in steps:
+            self.steps[step] = self.now + (datetime.now() - self.began)
+
+    def at(self, step: str):
+        return F.lit(self.steps[step]).cast("timestamp_ntz")
+
+
 def _load(spark, folder, house, run_id, reference, now, profile, scratch) -> DataFrame:
-    glob = layout.REPORT_GLOB
-    manifest = landing.file_manifest(spark, folder, glob)
-    if profile.strict:
-        manifest = landing.candidate_files(manifest)
+    clock = _Clock(now)
+    listed = written(
+        landing.file_manifest(spark, folder, layout.REPORT_GLOB), f"{scratch}/manifest"
+    )
+    manifest = landing.candidate_files(listed) if profile.strict else listed
+    clock.reached("detected")
     previous = house.files()
-    last_id = previous.agg(F.max("file_id")).first()[0] if previous is not None else 0
-    sums = landing.file_checksums(spark, folder, glob).select("file_name", "checksum_sha256")
+    last_id, published = 0, None
+    if previous is not None:
+        previous = written(previous, f"{scratch}/previous")
+        last_id, published = previous.agg(F.max("file_id")).first()[0], house.of_published(previous)
+    sums = _checksums(spark, folder, manifest, published)
     registered = written(
         control.register_files(manifest.join(sums, "file_name"), last_id or 0, run_id, scratch),
         f"{scratch}/registered",
     )
+    clock.reached("staged", "validation_started")
 
-    staged, offsets = _stage_records(spark, folder, run_id, profile, scratch)
+    looked_up = written(_looked_up(registered, published), f"{scratch}/looked_up")
+    fresh = looked_up.filter("original_file_id IS NULL")
+    staged, offsets = _stage_records(spark, folder, fresh, run_id, profile, scratch)
     numbered = lines.with_line_numbers(staged, offsets)
     if "is_blank" in numbered.columns:
         numbered = numbered.filter("NOT is_blank")
-    dispositions = written(
-        control.file_disposition(_facts(registered, house.published_files(), numbered, profile)),
-        f"{scratch}/prepared",
+    prepared = written(
+        control.file_disposition(_facts(looked_up, numbered, profile)), f"{scratch}/prepared"
     )
+    clock.reached("validation_finished", "load_started")
 
-    ids = dispositions.select(F.col("file_name").alias("source_file"), "file_id")
+    ids = prepared.select(F.col("file_name").alias("source_file"), "file_id")
     records_only = numbered.filter("line_number > 1").select(
         F.col("file_name").alias("source_file"), F.col("line_number").alias("source_line"),
         *[c for c in staged.columns if c not in ("file_name", "is_blank", *lines.SPLIT_KEYS, "position")],
     )
-    accepted = control.loadable(records_only, dispositions).join(ids, "source_file")
+    accepted = control.loadable(records_only, prepared).join(ids, "source_file")
     stats = house.write_run("estadistica", records.visits(accepted), run_id)
     errors = house.write_run("errores", records.rejects(accepted, profile), run_id)
-    _check_tables(house, run_id, dispositions, stats, errors)
-    results = _update_visitors(house, stats, errors, dispositions, run_id, reference, scratch)
+    checked, stats, errors = _without_broken_files(house, run_id, prepared, stats, errors, scratch)
+    loaded = written(
+        control.file_disposition(prepared.join(checked, "file_id", "left")), f"{scratch}/loaded"
+    )
+    results = _update_visitors(house, stats, errors, loaded, run_id, reference, scratch)
+    clock.reached("load_finished")
 
     final = written(
-        _archive_and_settle(spark, folder, house, dispositions, run_id, glob),
-        f"{scratch}/final",
+        _archive_and_settle(spark, folder, house, loaded, run_id), f"{scratch}/final"
     )
-    _record_files(house, final.join(results, "file_id", "left"), run_id, now)
+    clock.reached("backed_up", "status")
+    events = _file_events(house, final.join(results, "file_id", "left"), run_id, clock)
+    if published is not None:
+        settled = control.settled_deletions(published, listed)
+        events = events.unionByName(
+            control.deletion_events(settled, SETTLEMENT_SEQ, clock.at("detected"))
+        )
+    house.write_run("file_events", written(events, f"{scratch}/events"), run_id)
     return final
 
 
-def _stage_records(spark, folder, run_id, profile, scratch) -> tuple[DataFrame, DataFrame]:
-    """One pass over the text: parsed and validated lines with their place in the split."""
-    positioned = lines.positioned_lines(spark, folder).withColumn(
-        "utf8_ok", F.is_valid_utf8("raw_record")
+def _of_files(read, folder: str, files: DataFrame) -> DataFrame:
+    """What ``read`` gives for these files of the folder, none of the others opened.
+
+    Their paths go through the driver, as those of every file scan do.
+    """
+    paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r[0]) for r in files.select("file_path").collect()]
+    return read(paths) if paths else read(folder).filter(F.lit(False))
+
+
+def _checksums(spark, folder, manifest, published) -> DataFrame:
+    """(file_name, checksum_sha256): known ones by name, size and time, the others from the bytes."""
+    unread = manifest
+    known = None
+    if published is not None:
+        seen = published.filter("checksum_sha256 IS NOT NULL AND source_modified_at IS NOT NULL")
+        newest = seen.groupBy(
+            "file_name", F.col("file_size").alias("size_bytes"),
+            F.col("source_modified_at").alias("modified_at"),
+        ).agg(F.max_by("checksum_sha256", "file_id").alias("checksum_sha256"))
+        dated = manifest.withColumn("modified_at", F.col("modified_at").cast("timestamp_ntz"))
+        known = dated.join(newest, ["file_name", "size_bytes", "modified_at"]).select(
+            "file_name", "checksum_sha256"
+        )
+        unread = manifest.join(known, "file_name", "left_anti")
+    contents = _of_files(lambda paths: landing.file_contents(spark, paths), folder, unread)
+    sums = landing.file_checksums(unread, contents).select("file_name", "checksum_sha256")
+    return sums if known is None else sums.unionByName(known)
+
+
+def _looked_up(registered: DataFrame, published: DataFrame | None) -> DataFrame:
+    """Registered files with the loaded file of the same content, if there is one."""
+    if published is not None:
+        return control.already_processed(registered, published).drop("already_processed")
+    return registered.select(
+        "*", F.lit(None).cast("bigint").alias("original_file_id"),
+        F.lit(None).cast("string").alias("original_run_id"),
     )
+
+
+def _stage_records(
+    spark, folder, fresh, run_id, profile, scratch
+) -> tuple[DataFrame, DataFrame]:
+    """One pass over the text: parsed and validated lines with their place in the split."""
+    positioned = _of_files(
+        lambda paths: lines.positioned_lines(spark, paths), folder, fresh
+    ).withColumn("utf8_ok", F.is_valid_utf8("raw_record"))
     if not profile.strict:  # blank lines count for numbers, and go once these are given
         positioned = positioned.withColumn("is_blank", records.is_blank())
     named = positioned.withColumn("source_file", F.col("file_name"))
@@ -137,11 +214,10 @@ def _stage_records(spark, folder, run_id, profile, scratch) -> tuple[DataFrame,
     return staged, offsets
 
 
-def _facts(registered, previous, numbered, profile) -> DataFrame:
+def _facts(looked_up, numbered, profile) -> DataFrame:
     """Registered files with everything known before loading."""
-    facts = registered if previous is None else control.already_processed(registered, previous)
     headers = lines.header_lines(numbered.select("file_name", "line_number", "raw_record"))
-    facts = facts.join(headers, "file_name", "left").withColumn("file_size", F.col("size_bytes"))
+    facts = looked_up.join(headers, "file_name", "left").withColumn("file_size", F.col("size_bytes"))
     if profile.strict:
         facts = layout_gate.validate_layout(facts)
     counted = numbered.groupBy("file_name").agg(
@@ -163,24 +239,48 @@ def _facts(registered, previous, numbered, profile) -> DataFrame:
     )
 
 
-def _check_tables(house, run_id, dispositions, stats, errors) -> None:
-    """Row counts and key uniqueness of what was written; raises instead of publishing.
+def _without_broken_files(house, run_id, prepared, stats, errors, scratch):
+    """Checks of what was written, per file, and the two tables without the files that fail.
 
-    The files that differ are the run's rows of the table ``reconciliation``.
+    A file fails if its rows are not those that were counted, repeat a key, or break a width
+    or NOT NULL rule; its row goes to the table ``reconciliation``, its records out of the run.
     """
-    prepared = dispositions.filter("status = 'PREPARED'").select(
+    counted = prepared.filter("status = 'PREPARED'").select(
         "file_id", "records_read", "records_valid", "records_invalid"
     )
-    wrong = checks.load_reconciliation(prepared, stats, errors).filter("error_code IS NOT NULL")
-    twice = checks.duplicate_keys(stats, *layout.UNIQUE_KEYS["estadistica"])
-    differing = house.write_run("reconciliation", wrong, run_id).count()
-    if differing:
-        raise ReconciliationError(f"RECONCILIATION_ERROR: {differing} files, see reconciliation")
-    if not twice.isEmpty():
-        raise ReconciliationError("RECONCILIATION_ERROR: repeated record keys")
+    tables = {"estadistica": stats, "errores": errors}
+
+    def per_file(found: list[DataFrame], name: str) -> DataFrame:
+        together = reduce(DataFrame.unionByName, [f.select("file_id") for f in found])
+        return together.groupBy("file_id").agg(F.count(F.lit(1)).alias(name))
+
+    repeated = [checks.duplicate_keys(t, *layout.UNIQUE_KEYS[n]) for n, t in tables.items()]
+    refused = [checks.table_violations(t, n) for n, t in tables.items()]
+    checked = written(
+        checks.load_reconciliation(counted, stats, errors)
+        .join(per_file(repeated, "duplicate_lines"), "file_id", "left")
+        .join(per_file(refused, "refused_values"), "file_id", "left"),
+        f"{scratch}/checked",
+    )
+    broken = checked.filter(
+        "error_code IS NOT NULL OR duplicate_lines IS NOT NULL OR refused_values IS NOT NULL"
+    )
+    facts = checked.select(
+        "file_id", "statistics_rows", "errors_rows", "duplicate_lines", "refused_values"
+    )
+    if house.write_run("reconciliation", broken, run_id).isEmpty():
+        return facts, stats, errors
+    kept = []
+    for name, rows in tables.items():
+        good = written(
+            rows.join(broken.select("file_id"), "file_id", "left_anti"), f"{scratch}/good_{name}"
+        )
+        house.drop_run(run_id, name)
+        kept.append(house.write_run(name, good, run_id))
+    return facts, *kept
 
 
-def _update_visitors(house, stats, errors, dispositions, run_id, reference, scratch) -> DataFrame:
+def _update_visitors(house, stats, errors, loaded, run_id, reference, scratch) -> DataFrame:
     """Write the new visitor snapshot; returns the load numbers per file.
 
     History is read as monthly activity rows, a small fraction of the visits.
@@ -190,38 +290,31 @@ def _update_visitors(house, stats, errors, dispositions, run_id, reference, scra
     activity = batch if history is None else history.unionByName(batch)
     snapshot = house.visitors()
     affected = batch.select("email").distinct()
-    recomputed = visitors.visitors_from_activity(activity, reference).join(
-        affected, "email", "left_semi"
+    recomputed = visitors.visitors_from_activity(
+        activity.join(affected, "email", "left_semi"), reference
     )
     empty = recomputed.limit(0)
     merged = visitors.merge_visitors(empty if snapshot is None else snapshot, recomputed)
     house.write_run("visitante", merged, run_id)
-    prepared = dispositions.filter("status = 'PREPARED'")
+    good = loaded.filter("status = 'LOADED'")
     return written(
-        visitors.load_results(prepared, stats, errors, empty if snapshot is None else snapshot),
+        visitors.load_results(good, stats, errors, empty if snapshot is None else snapshot),
         f"{scratch}/results",
     ).select("file_id", "visitors_inserted", "visitors_updated", "records_loaded")
 
 
-def _archive_and_settle(spark, folder, house, dispositions, run_id, glob) -> DataFrame:
-    """Archive what was loaded, verify it, and settle every file's status."""
-    loaded = dispositions.filter("status = 'PREPARED'").select("file_name", "size_bytes")
-    chunks = landing.file_chunks(spark, folder, glob).join(
-        loaded.select("file_name"), "file_name", "left_semi"
-    )
-    kept = house.write_run("archive", archive.archive_rows(loaded, chunks, run_id), run_id)
-    states = archive.verify_archive(loaded, chunks, kept).select("file_name", "archive_state")
-    decided = dispositions.select(
-        *dispositions.columns,
-        F.when(F.col("status") == "PREPARED", F.col("records_valid")).alias("statistics_rows"),
-        F.when(F.col("status") == "PREPARED", F.col("records_invalid")).alias("errors_rows"),
-    )
-    return control.file_disposition(decided.join(states, "file_name", "left"))
+def _archive_and_settle(spark, folder, house, dispositions, run_id) -> DataFrame:
+    """Archive what was loaded, verify it by the registered checksums, settle every file's status."""
+    loaded = dispositions.filter("status = 'LOADED'")
+    contents = _of_files(lambda paths: landing.file_contents(spark, paths), folder, loaded)
+    kept = house.write_run("archive", archive.archive_rows(loaded, contents, run_id), run_id)
+    states = archive.verify_archive(loaded, kept).select("file_name", "archive_state")
+    return control.file_disposition(dispositions.join(states, "file_name", "left"))
 
 
-def _record_files(house, files: DataFrame, run_id: str, now: datetime) -> None:
-    """Append the run's file events."""
-    at = F.lit(now).cast("timestamp_ntz")
+def _file_events(house, files: DataFrame, run_id: str, clock: _Clock) -> DataFrame:
+    """The events of the run's files, each at the time its step was reached."""
+    prepared = F.col("statistics_rows").isNotNull()
     loaded = F.col("archive_state").isNotNull()
     archived = F.col("archive_state") == "OK"
     steps = [
@@ -230,9 +323,13 @@ def _record_files(house, files: DataFrame, run_id: str, now: datetime) -> None:
             "source_path": F.col("file_path"), "run_id": F.lit(run_id)}),
         ("staged", F.lit(True), {
             "status": F.lit("STAGED"), "file_size": F.col("size_bytes"),
+            "source_modified_at": F.col("modified_at"),
             "checksum_sha256": F.col("checksum_sha256"), "staging_uri": F.col("file_path")}),
-        ("validation_finished", loaded, {
-            c: F.col(c) for c in ("records_read", "records_valid", "records_invalid")}),
+        ("validation_started", F.col("original_file_id").isNull(), {}),
+        ("validation_finished", prepared, {
+            "status": F.lit("PREPARED"),
+            **{c: F.col(c) for c in ("records_read", "records_valid", "records_invalid")}}),
+        ("load_started", prepared, {"status": F.lit("LOADING")}),
         ("load_finished", loaded, {
             "status": F.lit("LOADED"), "records_loaded": F.col("records_loaded"),
             "visitors_inserted": F.col("visitors_inserted"),
@@ -246,12 +343,11 @@ def _record_files(house, files: DataFrame, run_id: str, now: datetime) -> None:
     events = [
         control.event(
             control.FILE_EVENT_SCHEMA, condition, file_id=F.col("file_id"), seq=F.lit(seq),
-            event=F.lit(name), at=at, **given,
+            event=F.lit(name), at=clock.at(name), **given,
         )
         for seq, (name, condition, given) in enumerate(steps, start=1)
     ]
-    rows = files.select(F.inline(F.array_compact(F.array(*events))))
-    house.write_run("file_events", rows, run_id)
+    return files.select(F.inline(F.array_compact(F.array(*events))))
 
 
 def _record_run(house, run_id, dag_id, now, status=None, code=None, message=None) -> None:

@@ -79,13 +79,15 @@ class Warehouse:
         runs = self.published()
         return runs is not None and not runs.filter(F.col("run_id") == run_id).isEmpty()
 
-    def drop_run(self, run_id: str) -> None:
-        """Remove all that an unpublished run has written: a repeat starts from nothing."""
+    def drop_run(self, run_id: str, name: str | None = None) -> None:
+        """Remove what an unpublished run has written, of one table or of all."""
         if self.is_published(run_id):
             raise ValueError(f"run {run_id} is published")
         root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         store = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
         for table in store.listStatus(root) if store.exists(root) else []:
+            if name not in (None, table.getPath().getName()):
+                continue
             for part in store.listStatus(table.getPath()):
                 # Spark escapes special characters of a partition value like a URL does.
                 if unquote(part.getPath().getName()) == f"run_id={run_id}":
@@ -101,10 +103,8 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame | None:
         """Rows of published runs only; None before there is any."""
-        rows, runs = self._read(name), self.published()
-        if rows is None or runs is None:
-            return None
-        return rows.join(runs.select("run_id"), "run_id", "left_semi")
+        rows = self._read(name)
+        return None if rows is None else self.of_published(rows)
 
     def visitors(self) -> DataFrame | None:
         """The visitor snapshot of the newest published run."""
@@ -115,12 +115,10 @@ class Warehouse:
         rows = self.run_rows("visitante", newest)
         return None if rows is None else rows.select(*VISITOR_COLUMNS)
 
-    def published_files(self) -> DataFrame | None:
-        """Current file control state of published runs: what they loaded is there."""
-        files, runs = self.files(), self.published()
-        if files is None or runs is None:
-            return None
-        return files.join(runs.select("run_id"), "run_id", "left_semi")
+    def of_published(self, rows: DataFrame) -> DataFrame | None:
+        """Rows whose run is published; None before there is any."""
+        runs = self.published()
+        return None if runs is None else rows.join(runs.select("run_id"), "run_id", "left_semi")
 
     def files(self) -> DataFrame | None:
         """Current file control state, of every run: failures count as well."""

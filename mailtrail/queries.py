@@ -60,10 +60,12 @@ def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.file_control(spark, sf_dir)
 
 
-def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _runs(
+    spark: SparkSession, sf_dir: str, registered: DataFrame | None = None
+) -> DataFrame:
     """Registered runs with the counters and final status their files give them."""
     files = _files(spark, sf_dir)
-    runs = feeds.registered_runs(spark, sf_dir)
+    runs = feeds.registered_runs(spark, sf_dir) if registered is None else registered
     counted = control.update_runs(runs, control.run_metrics(files))
     current = F.when(F.col("end_time").isNull(), "RUNNING").otherwise(F.col("final_status"))
     return counted.join(control.final_status(runs, files), "run_id").select(
@@ -274,12 +276,12 @@ def loadable_records(spark, sf_dir):
 def file_state_fold(spark, sf_dir):
     state = control.fold_files(feeds.file_events(spark, sf_dir))
     unset = ["staging_uri", "visitors_inserted", "visitors_updated", "validation_started_at",
-             "validation_finished_at", "load_started_at"]
+             "validation_finished_at", "load_started_at", "source_modified_at", "created_at"]
     return state.drop(*unset)
 
 
 def run_state_fold(spark, sf_dir):
-    return control.fold_runs(feeds.run_events(spark, sf_dir))
+    return control.fold_runs(feeds.run_events(spark, sf_dir)).drop("created_at", "updated_at")
 
 
 def run_metrics(spark, sf_dir):
@@ -303,6 +305,36 @@ def purge_candidates(spark, sf_dir):
     return control.purge_candidates(files, archive)
 
 
+def deletion_settlement(spark, sf_dir):
+    """Two thirds of the archived files that were not settled have gone from the folder."""
+    files = _files(spark, sf_dir)
+    present = files.filter("file_id % 3 = 0").select("file_name")
+    settled = control.settled_deletions(files, present)
+    at = F.lit(REFERENCE).cast("timestamp_ntz")
+    return control.deletion_events(settled, 20, at).select("file_id", "seq", "event", "at", "status")
+
+
+def run_report_files(spark, sf_dir):
+    """The files of the run with the greatest id, as the report by run shows them."""
+    return reports.run_files(_files(spark, sf_dir), feeds.newest_run(spark, sf_dir))
+
+
+def run_report_statuses(spark, sf_dir):
+    return reports.file_statuses(_files(spark, sf_dir), feeds.newest_run(spark, sf_dir))
+
+
+def run_report_summary(spark, sf_dir):
+    return reports.run_summary(_runs(spark, sf_dir), feeds.newest_run(spark, sf_dir))
+
+
+def run_report_acceptance(spark, sf_dir):
+    return reports.run_acceptance(_runs(spark, sf_dir), feeds.newest_run(spark, sf_dir))
+
+
+def run_report_alerts(spark, sf_dir):
+    return reports.run_alerts(_files(spark, sf_dir), feeds.newest_run(spark, sf_dir))
+
+
 # --- integrity ----------------------------------------------------------------------------
 
 def duplicate_key_check(spark, sf_dir):
@@ -366,7 +398,9 @@ def success_contract(spark, sf_dir):
 # --- reports --------------------------------------------------------------------------------
 
 def run_operational_summary(spark, sf_dir):
-    return reports.run_operational_summary(_runs(spark, sf_dir))
+    """Errors and times of a run are what its events fold to."""
+    folded = control.fold_runs(feeds.run_events(spark, sf_dir)).drop("status")
+    return reports.run_operational_summary(_runs(spark, sf_dir, folded))
 
 
 def file_operational_detail(spark, sf_dir):
@@ -440,7 +474,10 @@ def landing_glob_check(spark, sf_dir):
 
 
 def file_checksums(spark, sf_dir):
-    return landing.file_checksums(spark, feeds.write_landing(spark, sf_dir))
+    folder = feeds.write_landing(spark, sf_dir)
+    return landing.file_checksums(
+        landing.file_manifest(spark, folder), landing.file_contents(spark, folder)
+    )
 
 
 def scan_csv_reports(spark, sf_dir):
@@ -469,10 +506,9 @@ def staging_size_check(spark, sf_dir):
 def archive_verification(spark, sf_dir):
     """An archive that lost, emptied, changed and doubled some of its members."""
     folder = feeds.write_landing(spark, sf_dir)
-    manifest = landing.file_manifest(spark, folder)
-    chunks = landing.file_chunks(spark, folder)
+    manifest, contents = landing.file_manifest(spark, folder), landing.file_contents(spark, folder)
     path = f"{scratch_folder(spark, 'archive')}/members"
-    kept = written(archive.archive_rows(manifest, chunks, RUN_ID), path)
+    kept = written(archive.archive_rows(manifest, contents, RUN_ID), path)
     size = F.octet_length("content")
     damaged = kept.filter((size == 0) | (size % 7 != 0)).withColumn(
         "content",
@@ -484,7 +520,7 @@ def archive_verification(spark, sf_dir):
         F.array(F.lit(1))
     )
     members = damaged.withColumn("copy", F.explode(copies)).drop("copy")
-    verified = archive.verify_archive(manifest, chunks, members)
+    verified = archive.verify_archive(landing.file_checksums(manifest, contents), members)
     return verified.withColumn(
         "archive_name", status.archive_name(F.col("file_name"), F.lit(RUN_ID))
     )
@@ -519,7 +555,8 @@ QUERIES: dict[str, Query] = {
         reject_detail, batch_reconciliation, file_metrics, load_reconciliation,
         file_layout_validation, header_differences, already_processed_lookup, file_disposition,
         loadable_records, file_state_fold, run_state_fold, run_metrics, run_final_status,
-        purge_candidates, duplicate_key_check, append_without_duplicates, orphan_check,
+        purge_candidates, deletion_settlement, run_report_files, run_report_statuses,
+        run_report_summary, run_report_acceptance, run_report_alerts, duplicate_key_check, append_without_duplicates, orphan_check,
         constraint_violations, reconcile_files, reconcile_loads, success_without_backup,
         unsafe_deletions, success_contract, run_operational_summary, file_operational_detail,
         monthly_summary, monthly_report, latest_runs, files_of_run, file_statuses, failed_files,

@@ -6,7 +6,6 @@ manifest joins the names (which include them) to the scan's sizes and times.
 
 from __future__ import annotations
 
-import hashlib
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,18 +13,13 @@ from pyspark.sql import functions as F
 
 from .. import layout
 
-# Above this many bytes a file is read as a stream of chunks instead of one value.
-INLINE_BYTES = 64 * 1024 * 1024
-CHUNK_BYTES = 64 * 1024 * 1024
-_READ_BYTES = 1024 * 1024
-
 
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, r"[/\\]"), -1)
 
 
-def _scan(spark: SparkSession, folder: str, glob: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+def _scan(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
 
 
 def file_manifest(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
@@ -63,98 +57,25 @@ def matched_files(spark: SparkSession, folder: str, glob: str = layout.REPORT_GL
     return manifest
 
 
-def _stream_readers():
-    """Task-side readers of large files.
+def file_contents(spark: SparkSession, paths: str | list[str], glob: str = "*") -> DataFrame:
+    """(file_name, content): the bytes of every file that has any.
 
-    They are local functions, so that executors need no installed copy of this package.
+    A file is one value, whatever its size and file system; SHA-256 reads it in sequence
+    anyway. A value holds 2 GB, and Spark refuses a larger file by name.
     """
-    read_bytes, chunk_bytes = _READ_BYTES, CHUNK_BYTES
-
-    def open_stream(uri):
-        from pyarrow import fs
-
-        if "://" in uri:
-            system, path = fs.FileSystem.from_uri(uri)
-        else:
-            system, path = fs.LocalFileSystem(), uri.removeprefix("file:")
-        return system.open_input_stream(path)
-
-    def hashes(batches):
-        import hashlib
-
-        import pandas as pd
-
-        for batch in batches:
-            digests = []
-            for uri in batch["path"]:
-                digest = hashlib.sha256()
-                with open_stream(uri) as stream:
-                    while block := stream.read(read_bytes):
-                        digest.update(block)
-                digests.append(digest.hexdigest())
-            yield pd.DataFrame({"file_name": batch["file_name"], "checksum_sha256": digests})
-
-    def chunks(batches):
-        import pandas as pd
-
-        for batch in batches:
-            for name, uri in zip(batch["file_name"], batch["path"]):
-                with open_stream(uri) as stream:
-                    number = 0
-                    while block := stream.read(chunk_bytes):
-                        yield pd.DataFrame(
-                            {"file_name": [name], "chunk_no": [number], "content": [block]}
-                        )
-                        number += 1
-
-    return hashes, chunks
-
-
-def _large(scan: DataFrame, inline_bytes: int) -> DataFrame:
-    return scan.filter(F.col("length") > inline_bytes).select(
-        base_name(F.col("path")).alias("file_name"), "path"
-    )
+    return _scan(spark, paths, glob).select(base_name(F.col("path")).alias("file_name"), "content")
 
 
-def file_checksums(
-    spark: SparkSession, folder: str, glob: str = "*", inline_bytes: int = INLINE_BYTES
-) -> DataFrame:
-    """(file_name, size_bytes, checksum_sha256) of every file's bytes.
+def file_checksums(manifest: DataFrame, contents: DataFrame) -> DataFrame:
+    """(file_name, size_bytes, checksum_sha256) of the files of a manifest.
 
-    Files up to ``inline_bytes`` are hashed in the JVM; larger ones are streamed by their
-    task, so neither needs a file in memory beyond that size.
+    Digests are taken where the bytes are read; a file without bytes has that of none.
     """
-    scan = _scan(spark, folder, glob)
-    small = scan.filter(F.col("length") <= inline_bytes).select(
-        base_name(F.col("path")).alias("file_name"),
-        F.sha2("content", 256).alias("checksum_sha256"),
-    )
-    large = _large(scan, inline_bytes).mapInPandas(
-        _stream_readers()[0], "file_name string, checksum_sha256 string"
-    )
-    empty = hashlib.sha256(b"").hexdigest()
-    return (
-        file_manifest(spark, folder, glob)
-        .join(small.unionByName(large), "file_name", "left")
-        .select(
-            "file_name", "size_bytes",
-            F.coalesce("checksum_sha256", F.lit(empty)).alias("checksum_sha256"),
-        )
-    )
-
-
-def file_chunks(
-    spark: SparkSession, folder: str, glob: str = "*", inline_bytes: int = INLINE_BYTES
-) -> DataFrame:
-    """(file_name, chunk_no, content): whole file bytes, in chunks above ``inline_bytes``."""
-    scan = _scan(spark, folder, glob)
-    small = scan.filter(F.col("length") <= inline_bytes).select(
-        base_name(F.col("path")).alias("file_name"), F.lit(0).alias("chunk_no"), "content"
-    )
-    large = _large(scan, inline_bytes).mapInPandas(
-        _stream_readers()[1], "file_name string, chunk_no int, content binary"
+    digests = contents.select("file_name", F.sha2("content", 256).alias("checksum_sha256"))
+    empty = F.when(F.col("size_bytes") == 0, F.sha2(F.lit(b""), 256))
+    return manifest.join(digests, "file_name", "left").select(
+        "file_name", "size_bytes", F.coalesce("checksum_sha256", empty).alias("checksum_sha256")
     )
-    return small.unionByName(large)
 
 
 def staging_check(advertised: DataFrame, staged: DataFrame) -> DataFrame:

@@ -18,7 +18,9 @@ from ..session import scratch_folder
 SPLIT_KEYS = ["file_name", "split_start"]
 
 
-def positioned_lines(spark: SparkSession, folder: str, glob: str = layout.REPORT_GLOB) -> DataFrame:
+def positioned_lines(
+    spark: SparkSession, folder: str | list[str], glob: str = layout.REPORT_GLOB
+) -> DataFrame:
     """(file_name, split_start, position, raw_record); position grows along a split.
 
     Nothing may be filtered before the position is taken.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mailtrail import layout
 from mailtrail.functions.rules import RuleProfile
-from mailtrail.operators import control, reports, visitors
+from mailtrail.operators import checks, control, reports, visitors
 from mailtrail.plans import batch
 from mailtrail.plans.batch import run_batch
 from mailtrail.plans.publish import Warehouse, constraint_report
@@ -97,12 +97,12 @@ def test_failure_publishes_nothing(spark, place, monkeypatch):
     assert go("run1") == "SUCCESS"
     put(inbox, "report_2.txt", visit("z@example.com"))
 
-    def lose_rows(*_):
-        raise batch.ReconciliationError("RECONCILIATION_ERROR: test")
+    def fail(*_):
+        raise OSError("test")
 
     with monkeypatch.context() as patch:
-        patch.setattr(batch, "_check_tables", lose_rows)
-        with pytest.raises(batch.ReconciliationError):
+        patch.setattr(batch, "_archive_and_settle", fail)
+        with pytest.raises(OSError):
             go("run2", minute=10)
     assert house.table("estadistica").count() == 1
     assert [r.email for r in house.visitors().collect()] == ["a@example.com"]
@@ -112,22 +112,80 @@ def test_failure_publishes_nothing(spark, place, monkeypatch):
     assert house.table("estadistica").count() == 2
 
 
-def test_tables_that_lost_rows_are_refused(spark, place):
+def test_a_broken_file_fails_alone(spark, place, monkeypatch):
     inbox, house, go = place
-    put(inbox, "report_1.txt", visit("a@example.com"), visit("b@example.com"))
-    go("run1")
-    counted = spark.createDataFrame(
-        [(1, "PREPARED", 2, 2, 0)],
-        "file_id bigint, status string, records_read bigint, records_valid bigint, "
-        "records_invalid bigint",
+    put(inbox, "report_1.txt", visit("a@example.com"), visit("bad"))
+    put(inbox, "report_2.txt", visit("b@example.com", "08/03/2013 18:30"), visit("lost@example.com"))
+    put(inbox, "report_3.txt", visit("c@example.com").replace(",,,,", f",{'j' * 300},,,", 1))
+    real = batch.records.visits
+    with monkeypatch.context() as patch:
+        patch.setattr(
+            batch.records, "visits", lambda rows: real(rows).filter("email <> 'lost@example.com'")
+        )
+        assert go("run1") == "FAILED"
+    files = {r.file_name: r for r in house.files().collect()}
+    assert {n: (r.status, r.error_code) for n, r in files.items()} == {
+        "report_1.txt": ("BACKED_UP", None),
+        "report_2.txt": ("FAILED", "RECONCILIATION_ERROR"),
+        "report_3.txt": ("FAILED", "DataError"),
+    }
+    assert [r.email for r in house.table("estadistica").collect()] == ["a@example.com"]
+    assert [r.email for r in house.visitors().collect()] == ["a@example.com"]
+    assert house.table("reconciliation").count() == 2
+    # the failed files are tried again
+    assert go("run2", minute=1) == "FAILED"
+    assert sorted(r.email for r in house.table("estadistica").collect()) == [
+        "a@example.com", "b@example.com", "lost@example.com"]
+
+
+def test_known_files_are_not_read_again(spark, place, monkeypatch):
+    inbox, house, go = place
+    put(inbox, "report_1.txt", visit("a@example.com"))
+    put(inbox, "report_[2].txt", visit("d@example.com"))
+    assert go("run1") == "SUCCESS"
+    put(inbox, "report_2.txt", visit("b@example.com"))
+    read = []
+    real = batch.landing.file_contents
+    monkeypatch.setattr(
+        batch.landing, "file_contents", lambda s, paths: read.append(paths) or real(s, paths)
     )
-    stats = house.table("estadistica")
-    errors = spark.createDataFrame([], "file_id bigint, line_number bigint")
-    batch._check_tables(house, "check", counted, stats, errors)
-    with pytest.raises(batch.ReconciliationError):
-        batch._check_tables(house, "check", counted, stats.filter("email = 'a@example.com'"), errors)
-    with pytest.raises(batch.ReconciliationError):
-        batch._check_tables(house, "check", counted.limit(0), stats.unionByName(stats), errors)
+    assert go("run2", minute=1) == "SUCCESS"
+    assert [[p.rsplit("/", 1)[-1] for p in paths] for paths in read] == [["report_2.txt"]] * 2
+    assert {r.file_name: r.status for r in house.files().filter("run_id = 'run2'").collect()} == {
+        "report_1.txt": "SKIPPED_ALREADY_PROCESSED", "report_2.txt": "BACKED_UP"}
+
+
+def test_a_source_replaced_during_the_run_is_not_archived(spark, place, monkeypatch):
+    inbox, house, go = place
+    put(inbox, "report_1.txt", visit("a@example.com"))
+    real = batch._archive_and_settle
+
+    def replace_first(*given):
+        put(inbox, "report_1.txt", visit("x@example.com"))
+        return real(*given)
+
+    monkeypatch.setattr(batch, "_archive_and_settle", replace_first)
+    assert go("run1") == "FAILED"
+    (row,) = house.files().collect()
+    assert (row.status, row.error_code) == ("PENDING_BACKUP", "BACKUP_ERROR")
+    assert row.error_message == "Archive check failed: CHECKSUM_MISMATCH"
+
+
+def test_deleted_sources_are_settled(spark, place):
+    inbox, house, go = place
+    put(inbox, "report_1.txt", visit("a@example.com"))
+    put(inbox, "report_2.txt", visit("b@example.com"))
+    go("run1")
+    (inbox / "report_1.txt").unlink()
+    go("run2", minute=1)
+    files = {(r.run_id, r.file_name): r for r in house.files().collect()}
+    gone = files["run1", "report_1.txt"]
+    assert (gone.status, files["run1", "report_2.txt"].status) == ("SUCCESS", "BACKED_UP")
+    assert gone.source_deleted_at > gone.backup_at > gone.load_finished_at > gone.load_started_at
+    assert checks.broken_success(house.files()).isEmpty()
+    assert {r.run_id: r.files_success for r in house.runs().collect()} == {"run1": 1, "run2": 0}
+    go("run3", minute=2)  # settled once
+    assert house.files().filter("status = 'SUCCESS'").count() == 1
 
 
 def test_lenient_run_takes_other_names_and_headers(spark, place):

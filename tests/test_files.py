@@ -54,14 +54,12 @@ def test_manifest_and_checksums(spark, tmp_path):
     assert [r.file_name for r in landing.candidate_files(manifest).collect()] == [
         "report_10.txt", "report_2.txt"
     ]
-    # a small limit sends the larger files through the streaming path
-    for limit in (landing.INLINE_BYTES, 100):
-        sums = landing.file_checksums(spark, folder, inline_bytes=limit).collect()
-        assert {r.file_name: r.checksum_sha256 for r in sums} == {
-            f"{n}.txt": hashlib.sha256(c).hexdigest()
-            for n, c in {"report_2": b"abc\n", "report_10": b"", "other": b"x" * 5000,
-                         "report_x": b"y"}.items()
-        }
+    sums = landing.file_checksums(manifest, landing.file_contents(spark, folder)).collect()
+    assert {r.file_name: r.checksum_sha256 for r in sums} == {
+        f"{n}.txt": hashlib.sha256(c).hexdigest()
+        for n, c in {"report_2": b"abc\n", "report_10": b"", "other": b"x" * 5000,
+                     "report_x": b"y"}.items()
+    }
 
 
 def test_no_match_is_an_error(spark, tmp_path):
@@ -97,10 +95,10 @@ def test_archive_states(spark, tmp_path):
     contents["report_9"] = b""
     folder = put(tmp_path, **contents)
     manifest = landing.file_manifest(spark, folder)
-    for limit in (landing.INLINE_BYTES, 3):
-        chunks = landing.file_chunks(spark, folder, inline_bytes=limit)
-        rows = archive.archive_rows(manifest, chunks, "run1")
-        assert {r.archive_state for r in archive.verify_archive(manifest, chunks, rows).collect()} == {"OK"}
+    contents = landing.file_contents(spark, folder)
+    registered = landing.file_checksums(manifest, contents)
+    rows = archive.archive_rows(manifest, contents, "run1")
+    assert {r.archive_state for r in archive.verify_archive(registered, rows).collect()} == {"OK"}
     name = F.col("file_name")
     damaged = rows.filter(name != "report_1.txt").withColumn(
         "content",
@@ -108,7 +106,7 @@ def test_archive_states(spark, tmp_path):
         .otherwise(F.col("content")),
     )
     damaged = damaged.unionByName(rows.filter(name == "report_4.txt"))
-    got = {r.file_name: r.archive_state for r in archive.verify_archive(manifest, chunks, damaged).collect()}
+    got = {r.file_name: r.archive_state for r in archive.verify_archive(registered, damaged).collect()}
     assert got == {
         "report_0.txt": "OK", "report_1.txt": "MISSING", "report_2.txt": "EMPTY",
         "report_3.txt": "CHECKSUM_MISMATCH", "report_4.txt": "DUPLICATE_MEMBER",
