@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailtrail.llm import jaccard_forest, language_crf, packing, suffix_dedup, winnowing
-from mailtrail.llm.queries import is_held_out, tokenizer_files
+from mailtrail.llm.queries import added_tokens, is_held_out, tokenizer_files
 from mailtrail.llm.shared import restored, scratch_scope, table, with_rest
 from mailtrail.session import scratch_folder
 
@@ -58,7 +58,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 @_stage
 def packs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of tokens."""
-    return packing.pack(docs, *tokenizer_files())
+    return packing.pack(docs, *tokenizer_files(), added=added_tokens())
 
 
 STAGES = [

@@ -33,22 +33,23 @@ CLOSING = 0
 
 
 @lru_cache(maxsize=2)
-def encoding(vocabulary: str, pattern: str) -> tiktoken.Encoding:
-    """Byte-level BPE from a file of ranks; strings of special tokens are ordinary text."""
+def encoding(vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...] = ()) -> tiktoken.Encoding:
+    """Byte-level BPE from a file of ranks; ``added`` strings are one id wherever they stand in a text."""
     with open(vocabulary, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
-def _piece_rows(vocabulary: str, pattern: str, size: int, keep_ids: bool):
+def _piece_rows(vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...], size: int, keep_ids: bool):
     def run(batches):
-        bpe = encoding(vocabulary, pattern)
+        bpe = encoding(vocabulary, pattern, added)
         part = TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
         for batch in batches:
             rows, ids = [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                tokens = np.append(bpe.encode_to_numpy(text.as_py() or ""), np.uint32(CLOSING))
+                tokens = bpe.encode_to_numpy(text.as_py() or "", allowed_special="all")
+                tokens = np.append(tokens, np.uint32(CLOSING))
                 tokens = tokens.astype("<u4")
                 for start in range(0, len(tokens), size):
                     piece = tokens[start : start + size]
@@ -116,18 +117,20 @@ def slots(patterns: Iterable[tuple[int, tuple[int, ...]]]) -> list[tuple[int, in
 
 
 def pack(
-    documents: DataFrame, vocabulary: str, pattern: str, size: int = SIZE, keep_ids: bool = False
+    documents: DataFrame, vocabulary: str, pattern: str, size: int = SIZE, keep_ids: bool = False,
+    added: tuple[tuple[str, int], ...] = (),
 ) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
-    ``vocabulary`` is a file of ranks on every executor, ``pattern`` splits text before merges.
+    ``vocabulary`` is a file of ranks on every executor, ``pattern`` splits text before merges, ``added``
+    are the strings that the tokenizer matches before it splits, with their ids.
     """
     spark = documents.sparkSession
     numbers = "part bigint, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, " \
         "doc_tokens bigint, nth bigint"
     pieces = kept(
         documents.select("doc_id", "text").mapInArrow(
-            _piece_rows(vocabulary, pattern, size, keep_ids),
+            _piece_rows(vocabulary, pattern, added, size, keep_ids),
             numbers + (", ids array<int>" if keep_ids else ""),
         ),
         "pack-pieces",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +27,17 @@ def tokenizer_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def added_tokens() -> tuple[tuple[str, int], ...]:
+    """The added tokens of the same vocabulary, which its tokenizer matches in texts too."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as told:
+        return tuple((t["content"], t["id"]) for t in json.load(told)["added_tokens"])
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of 1024 ids."""
-    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files())
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files(), added=added_tokens())
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,6 +103,25 @@ def test_packing(spark, odd, nothing):
     assert packing.pack(nothing, *files).count() == 0
 
 
+def test_packing_matches_added_tokens(spark, monkeypatch):
+    """The ids of the contract's own call, where texts hold the added token, whole or in part."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"{end} hi", f"a  {end}  b", end * 3, f"word{end}word", end[:-1], f"{end[:5]}{end}", "plain", f" {end}\n" * 700]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    monkeypatch.setattr(queries, "table", lambda *_: frame)
+    wanted = {}
+    for k, text in enumerate(texts):
+        ids = np.array([*bpe.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        for start in range(0, len(ids), 1024):
+            wanted[k, start] = (len(ids), zlib.crc32(ids[start : start + 1024].tobytes()))
+    for rows in (queries.op1_packing(spark, ""), corpus_pipeline.packs(spark, frame, "")):
+        assert {(r.doc_id, r.start): (r.doc_tokens, r.ids_crc32) for r in rows.collect()} == wanted
+
+
 def test_patterns_use_every_length():
     rng = random.Random(1)
     for top in (1024, 60, 3):
