@@ -25,8 +25,8 @@ from .shared import lists, pieces
 from .words import U, lowered, mix, span_hashes, split_words
 
 SLOTS, STEMS = 1 << 20, (4, 5, 6)
-#: A term of the model is in so many rows of the sample, and in this share of them at most.
-LEAST_ROWS, MOST_SHARE = 3, 0.25
+#: A term of the model is in so many rows of the sample at least; a frequent one is left to the penalty.
+LEAST_ROWS = 3
 FACTORS, SAMPLE = 6, 2500
 #: The L1 penalty is for each square root of the sample's rows, as chance gradients grow.
 EPOCHS, BATCH, RATE, L1, L2, FACTOR_RATE, FACTOR_PENALTY = 10, 64, 0.5, 0.2, 0.0, 0.05, 0.02
@@ -115,7 +115,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def _train(slots: np.ndarray, first: np.ndarray, label: np.ndarray) -> Model:
     random = np.random.default_rng(5)
     known, at, rows = np.unique(slots, return_inverse=True, return_counts=True)
-    often = (rows >= LEAST_ROWS) & (rows <= MOST_SHARE * len(label))
+    often = rows >= LEAST_ROWS
     penalty = L1 * np.sqrt(len(label))
     place = np.cumsum(often) - 1
     keep = often[at]

@@ -242,6 +242,22 @@ def test_toxicity_pairs_and_odd_rows(spark, odd, nothing):
     assert toxicity_fm.score(nothing, model, ["doc_id"]).count() == 0
 
 
+def test_toxicity_of_frequent_terms(spark):
+    """One slur in most toxic texts: half the sample's rows are toxic, so over a quarter hold it."""
+    rng = random.Random(11)
+    filler = [f"word{k}" for k in range(300)]
+    rows = []
+    for i in range(4000):
+        toxic = i % 2
+        slur = rng.random() < (0.9 if toxic else 0.02)
+        rows.append((i, " ".join(["they", *rng.sample(filler, 12), *["slur"] * slur]), toxic))
+    frame = spark.createDataFrame(rows, "key bigint, text string, label int")
+    learned = frame.filter("key < 3000")
+    model = toxicity_fm.fit(learned.select("key", "text"), learned.select("key", "label"))
+    scored = toxicity_fm.score(frame.filter("key >= 3000"), model, ["key", "label"]).collect()
+    assert np.mean([(r.score >= 0.5) == r.label for r in scored]) > 0.9
+
+
 def test_language(spark, odd, nothing):
     got = queries.op8_language(spark, MEDIUM)
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "lang")
