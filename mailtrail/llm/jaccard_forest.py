@@ -2,10 +2,10 @@
 
 Texts become sets of hashes of ``NGRAM`` words (of all their words, if fewer), and equal sets
 one member with a number of copies. A member has a label of ``DEPTH`` MinHash values in each of
-``TREES`` sorted prefix tries. Members below a common prefix of the full length are compared
-first; then prefixes are shortened, a value a round, until the estimated recall reaches
-``RECALL``: a pair of similarity s is met at depth d with probability 1 - (1 - s**d)**TREES, so
-each pair met stands for the inverse of that.
+``TREES`` sorted prefix tries. A pair of similarity s shares a prefix of d values with probability
+1 - (1 - s**d)**TREES. Members below a common prefix are compared, the longest with which that
+reaches ``RECALL`` for a pair at the threshold; so it does for every closer pair, whatever else is
+in the table. Pairs with longer common prefixes are among these.
 
 No pairs of a common prefix leave a task: members are compared in blocks, and a task returns
 the links as counts and as stars. Members that full labels show as possibly similar form groups;
@@ -152,12 +152,8 @@ def _sides(side: np.ndarray, start: int, end: int, one: bool) -> tuple[np.ndarra
     return (places, places) if one else (places[side[start:end] == 0], places[side[start:end] == 1])
 
 
-def _possible_rows(depth: int, before: int):
-    """Stars of members that may be similar, and how many new pairs agree in so many values.
-
-    A pair is new at the first tree where it shares a prefix of ``depth``, if it shares none of
-    ``before`` values. A count has the member -1 - (values in common).
-    """
+def _possible_rows(depth: int):
+    """Stars of members that may be similar; a pair counts at the first tree where it shares a prefix."""
 
     def run(batches):
         for rows, starts in whole_groups(batches, ["node", "p", "q"], CHUNK):
@@ -166,8 +162,7 @@ def _possible_rows(depth: int, before: int):
             side, tree = rows.column("side").to_numpy(), rows.column("tree").to_numpy()
             member = rows.column("member").to_numpy()
             one = rows.column("p").to_numpy() == rows.column("q").to_numpy()
-            a, b = [], []
-            counts = np.zeros(TREES * DEPTH + 1, np.int64)
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(member)]):
                 left, right = _sides(side, start, end, one[start])
                 if not len(left) or not len(right) or end - start < 2:
@@ -179,65 +174,45 @@ def _possible_rows(depth: int, before: int):
                     agree = same.sum(axis=(2, 3))
                     shares = same[..., :depth].all(-1)
                     new = ~shares[..., : tree[start]].any(-1)
-                    if before <= DEPTH:
-                        new &= ~(same[..., :before].all(-1)).any(-1)
                     if one[start]:
                         new &= member[left[k : k + step]][:, None] < member[right][None]
-                    counts += np.bincount(agree[new], minlength=len(counts))
                     linked[k : k + step] = new & (agree >= POSSIBLE * TREES * DEPTH)
                 if linked.any():
                     root = _roots(linked, left - start, right - start, member[start:end])
                     more = root != member[start:end]
                     a.append(member[start:end][more])
                     b.append(root[more])
-            level = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([*a, -1 - level])), pa.array(np.concatenate([*b, counts[level]]))],
-                names=["a", "b"],
+                [pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"]
             )
 
     return run
 
 
 def recall_of(met: dict[int, int], depth: int) -> float:
-    """Estimated share of the pairs above the threshold that tries met down to ``depth``.
+    """Least share of the pairs that tries meet at ``depth``, over the similarities at and above the threshold.
 
-    One pair at the threshold is added: where few were met, the bound for such a pair decides.
+    ``met`` counts pairs by values in common. It may add similarities; one at the threshold is
+    always among them, so that no number of closer pairs can stand for it.
     """
-    chance = lambda s: 1 - (1 - s**depth) ** TREES
-    values = TREES * DEPTH
-    kept_pairs = {k / values: n for k, n in met.items() if k >= THRESHOLD * values}
-    found = chance(THRESHOLD) + sum(kept_pairs.values())
-    return found / (1 + sum(n / chance(s) for s, n in kept_pairs.items()))
+    at_least = {THRESHOLD, *(k / (TREES * DEPTH) for k, n in met.items() if n and k >= THRESHOLD * TREES * DEPTH)}
+    return min(1 - (1 - s**depth) ** TREES for s in at_least)
 
 
 def possible_links(members: DataFrame) -> DataFrame:
     """Edges (a, b) whose components hold every pair that the tries meet and labels allow."""
-    met: dict[int, int] = {}
-    rounds, before = [], DEPTH + 1
-    for depth in range(DEPTH, 0, -1):
-        nodes = members.select("member", "label").mapInArrow(
-            _node_rows(depth), "node bigint, tree int, member bigint"
-        )
-        busy = nodes.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-        below = kept(nodes.join(busy, "node"), "forest-nodes")
-        told = kept(
-            _blocks(below.join(members.select("member", "label"), "member"), "size", "member")
-            .repartition("node", "p", "q").sortWithinPartitions("node", "p", "q")
-            .mapInArrow(_possible_rows(depth, before), "a bigint, b bigint"),
-            "forest-links",
-        )
-        # A row per number of common values: TREES x DEPTH at most.
-        for r in told.filter("a < 0").groupBy("a").agg(F.sum("b").alias("n")).collect():
-            met[-1 - r["a"]] = met.get(-1 - r["a"], 0) + r["n"]
-        rounds.append(told.filter("a >= 0"))
-        before = depth
-        if recall_of(met, depth) >= RECALL:
-            break
-    links = rounds[0]
-    for more in rounds[1:]:
-        links = links.unionByName(more)
-    return links
+    depth = max((d for d in range(1, DEPTH + 1) if recall_of({}, d) >= RECALL), default=1)
+    nodes = members.select("member", "label").mapInArrow(
+        _node_rows(depth), "node bigint, tree int, member bigint"
+    )
+    busy = nodes.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
+    below = kept(nodes.join(busy, "node"), "forest-nodes")
+    return kept(
+        _blocks(below.join(members.select("member", "label"), "member"), "size", "member")
+        .repartition("node", "p", "q").sortWithinPartitions("node", "p", "q")
+        .mapInArrow(_possible_rows(depth), "a bigint, b bigint"),
+        "forest-links",
+    )
 
 
 # --- exact verification --------------------------------------------------------------------

@@ -194,6 +194,22 @@ def test_blocks_and_recall(spark, monkeypatch):
     assert jaccard_forest.recall_of({}, 6) < jaccard_forest.RECALL < jaccard_forest.recall_of({}, 4)
 
 
+def test_close_copies_do_not_end_the_search_for_others(spark):
+    """Eight equal labels, and a pair that agrees in 100 of 120 values and shares four at most from the front."""
+    trees, depth = jaccard_forest.TREES, jaccard_forest.DEPTH
+    rng = np.random.default_rng(1)
+    hot, one = rng.integers(0, 1 << 32, (2, trees, depth), dtype=np.uint32)
+    other = one.copy()
+    other[:, 0] ^= 1
+    other[0] = one[0]
+    other[0, 4] ^= 1
+    rows = [(k, bytearray(hot.tobytes())) for k in range(8)]
+    rows += [(100, bytearray(one.tobytes())), (101, bytearray(other.tobytes()))]
+    links = jaccard_forest.possible_links(spark.createDataFrame(rows, "member bigint, label binary"))
+    assert (101, 100) in {(r.a, r.b) for r in links.collect()}
+    assert jaccard_forest.recall_of({114: 400_000}, 6) < jaccard_forest.RECALL
+
+
 # --- 3 -----------------------------------------------------------------------------------
 
 def test_decontamination(spark, odd, nothing):
