@@ -1,9 +1,9 @@
 """Main text of web pages by consensus of each host's pages.
 
-Each page's containers are scored by the text that stands in them outside links and boilerplate. The
-best container's path (tags and classes, digits left out) is the page's vote; votes are summed
+Each page's containers are scored by the text that stands in them outside links and boilerplate; the
+lowest with nearly all of it is the best. The best container's path (tags and classes, digits left out) is the page's vote; votes are summed
 per host in Spark, and each page is read again with the winning paths of its host, the strongest
-that it has. A page with none of them, or without a host, keeps to its own best container.
+that gives a fair share of its own best container's text. A page with none of them, or without a host, keeps to its own best container.
 
 Text is that of the container without menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and comments; character references are decoded, white space inside a block is
@@ -25,6 +25,9 @@ from .shared import kept
 
 #: Paths of a host that its pages are tried with, and parts into which a hot host's pages are dealt.
 PATHS, SALTS = 8, 16
+#: An article's container holds this share of its page's text; a host's path is taken on a page where it
+#: gives this share of the text of the page's own best container.
+NEARLY_ALL, LEAST_SHARE = 0.9, 0.1
 
 # HTML's elements by how they break text, and words that name what is no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -198,10 +201,11 @@ def parse(html: str, by_words: bool = True) -> Page:
 
 
 def best_container(page: Page) -> int:
-    """The container with most text of its own, that of its parts counting half a level up.
+    """The lowest container with nearly all of the page's text outside links and boilerplate.
 
-    Inside an article or main element that element is meant; a parent that adds no more than
-    a heading is taken with it.
+    Where the container with most text of its own, that of its parts counting half a level up, is
+    inside an article or main element, that element is meant. A parent that adds no more than a
+    heading is taken with a container.
     """
     own = [0.0] * len(page.paths)
     whole = [0] * len(page.paths)
@@ -210,8 +214,10 @@ def best_container(page: Page) -> int:
         own[block.container] += max(0, len(block.text) - 2 * block.linked)
         whole[block.container] += len(block.text)
         headed[block.container] |= block.heading
+    full = list(own)
     for k in range(len(own) - 1, 0, -1):
         own[page.parents[k]] += own[k] / 2
+        full[page.parents[k]] += full[k]
         whole[page.parents[k]] += whole[k]
     best = max(range(len(own)), key=lambda k: (own[k], -k))
     for name in ("article", "main"):
@@ -220,6 +226,8 @@ def best_container(page: Page) -> int:
             if page.tags[at] == name:
                 return at
             at = page.parents[at]
+    # Containers that hold more than half of the text lie in each other; the last one is the lowest.
+    best = max((k for k in range(len(full)) if full[k] >= NEARLY_ALL * full[0]), default=0) if full[0] else best
     while best > 0 and headed[page.parents[best]] and whole[page.parents[best]] <= 1.2 * whole[best]:
         best = page.parents[best]
     return best
@@ -240,13 +248,15 @@ def _read(html: str | None) -> Page:
 
 
 def extract(html: str | None, paths: list[str]) -> str:
-    """Main text by the first of ``paths`` that gives some, else by the page's own best container."""
+    """Main text by the first of ``paths`` that gives a fair share, else by the page's own best container."""
     page = _read(html)
+    own = text_of(page, {best_container(page)})
     for path in paths:
         if chosen := {k for k, p in enumerate(page.paths) if p == path}:
-            if text := text_of(page, chosen):
+            text = text_of(page, chosen)
+            if text and len(text) >= LEAST_SHARE * len(own):
                 return text
-    return text_of(page, {best_container(page)})
+    return own
 
 
 def host(url: Column) -> Column:

@@ -399,6 +399,19 @@ def test_main_text(spark):
     assert html_consensus.main_text(frame.limit(0)).count() == 0
 
 
+def test_main_text_in_several_containers(spark):
+    """Siblings of an article that differ in size, and a small box on the path that the host's pages vote for."""
+    lead, body = " ".join(["lead"] * 40), " ".join(["body"] * 60)
+    post = f'<div class=post><div class=lead><p>{lead}</div><div class=body><p>{body}</div></div>'
+    box = f'<div class=content><p>box</div><div class=story><p>{body}</div>'
+    pages = [(i, f"http://a.example/{i}", post) for i in range(3)]
+    pages += [(i, f"http://b.example/{i}", f"<div class=content><p>{body}</div>") for i in range(3, 6)]
+    pages.append((6, "http://b.example/6", box))
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = [r.text for r in html_consensus.main_text(frame).orderBy("page_id").collect()]
+    assert got == [f"{lead}\n{body}"] * 3 + [body] * 4
+
+
 def test_main_text_of_articles(spark):
     for r in queries.op6_main_text(spark, SMALL).join(
         spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "html"), "page_id"
