@@ -30,9 +30,15 @@ def _stage(work):
 
 @_stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose words have a language: those that language ID finds none in go."""
+    """Documents whose words have a language: those that language ID finds none in go.
+
+    Where no row can teach, only texts without a letter go.
+    """
     learned = docs.filter(~is_held_out(3, 1)).select(F.col("doc_id").alias("key"), "text", "lang")
-    told = language_crf.predict(with_rest(docs), language_crf.fit(learned), ["text", "rest"])
+    model = language_crf.fit(learned)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    told = language_crf.predict(with_rest(docs), model, ["text", "rest"])
     return restored(told.filter(F.col("lang_pred") != language_crf.UNKNOWN), docs)
 
 

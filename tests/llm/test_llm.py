@@ -498,6 +498,15 @@ def test_pipeline_stages(spark, odd, nothing, tmp_path):
         assert bool(docs.count()) == (n == 0)
 
 
+def test_language_stage_without_labels(spark, odd):
+    """Missing labels reject no text that has letters."""
+    bare = odd.withColumn("lang", F.lit(None).cast("string"))
+    left = corpus_pipeline.language(spark, bare, SMALL)
+    assert left.columns == odd.columns
+    wanted = [tuple(r) for r in bare.collect() if any(c.isalpha() for c in r.text or "")]
+    assert wanted and ordered(tuple(r) for r in left.collect()) == ordered(wanted)
+
+
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert rows and {"doc_id", "sequence_id", "offset"} <= set(rows[0].asDict())
