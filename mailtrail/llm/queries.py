@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    html_consensus, jaccard_forest, language_crf, packing, projection_search, quality_weak, suffix_dedup, toxicity_fm,
+    bpe_transducer, html_consensus, jaccard_forest, language_crf, packing, projection_search, quality_weak, suffix_dedup, toxicity_fm,
     warc_seekable, winnowing,
 )
 from .shared import table
@@ -123,6 +123,12 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_search.nearest(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its ids by the rank file, and the bytes that they decode to, as digests."""
+    encoded = bpe_transducer.encode(table(spark, sf_dir, "documents"), *tokenizer_files())
+    return bpe_transducer.digests(bpe_transducer.decode(encoded, *tokenizer_files()))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -134,4 +140,5 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_nearest": op10_nearest,
+    "op12_byte_bpe": op12_byte_bpe,
 }
