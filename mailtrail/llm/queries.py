@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe_transducer, html_consensus, jaccard_forest, language_crf, packing, projection_search, quality_weak, suffix_dedup, toxicity_fm,
-    warc_seekable, winnowing,
+    bpe_transducer, html_consensus, jaccard_forest, language_crf, packing, projection_search, quality_weak, suffix_dedup,
+    token_alignment, toxicity_fm, warc_seekable, winnowing,
 )
 from .shared import table
 
@@ -123,6 +123,17 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_search.nearest(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its tokens in two vocabularies, their groups, and how common their links are."""
+    import public_tokenizers
+
+    digest = lambda told: F.when(told == "", "").otherwise(F.sha2(told, 256))
+    return token_alignment.link_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"), shown=digest,
+    ).withColumnRenamed("told", "groups_sha256")
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its ids by the rank file, and the bytes that they decode to, as digests."""
     encoded = bpe_transducer.encode(table(spark, sf_dir, "documents"), *tokenizer_files())
@@ -140,5 +151,6 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_nearest": op10_nearest,
+    "op11_token_alignment": op11_token_alignment,
     "op12_byte_bpe": op12_byte_bpe,
 }
