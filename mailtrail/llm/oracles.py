@@ -66,5 +66,43 @@ counts AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GRO
 SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
 FROM d LEFT JOIN counts USING (r) LEFT JOIN kept USING (r)
+""",
+    "op13_level_audit": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+occurrences AS (SELECT r, lang, source, unnest(w) AS term FROM docs),
+terms AS (
+  SELECT lang, term, count(*) AS n FROM occurrences GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+counts AS (
+  SELECT o.lang, o.source, o.term, count(*) AS n
+  FROM occurrences o JOIN terms t ON t.lang = o.lang AND t.term = o.term GROUP BY 1, 2, 3),
+sizes AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM terms GROUP BY lang),
+group_sizes AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY 1, 2),
+groups AS (
+  SELECT d.lang, d.source, coalesce(g.total, 0::HUGEINT) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) d LEFT JOIN group_sizes g USING (lang, source)),
+shares AS (
+  SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (g.total + 2 * s.v) AS p,
+         1 + 1000000000::HUGEINT * (t.n + 2) // (s.total + 2 * s.v) AS q
+  FROM groups g JOIN terms t USING (lang) JOIN sizes s USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term),
+priced AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source
+  GROUP BY 1, 2, 3),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source != b.source
+  LEFT JOIN priced p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
 """,
 }

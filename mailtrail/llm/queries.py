@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe_transducer, html_consensus, jaccard_forest, language_crf, packing, projection_search, quality_weak, suffix_dedup,
-    token_alignment, toxicity_fm, warc_seekable, winnowing,
+    bpe_transducer, html_consensus, jaccard_forest, language_crf, level_audit, packing, projection_search, quality_weak,
+    suffix_dedup, token_alignment, toxicity_fm, warc_seekable, winnowing,
 )
 from .shared import table
 
@@ -140,6 +140,11 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.digests(bpe_transducer.decode(encoded, *tokenizer_files()))
 
 
+def op13_level_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language and source: how far the other sources lie, and the terms that stand out."""
+    return level_audit.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -153,4 +158,5 @@ QUERIES = {
     "op10_nearest": op10_nearest,
     "op11_token_alignment": op11_token_alignment,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_level_audit": op13_level_audit,
 }
