@@ -3,10 +3,11 @@
 A BPE result is a chain of tokens in which no merge ever crosses a border, and whether one
 does depends on the two tokens at the border alone. So each prefix of a piece of text has
 exactly one chain that ends with it. The nondeterministic transducer follows all chains whose
-next token the text may still complete: a thread is the chain so far and the bytes read of its
-next token. A state of the deterministic one is the set of threads; it is made when first
-met, as is each of its edges. What all threads of a state have in common is emitted at once,
-so the lookahead is bounded by the tokens that the vocabulary can still complete.
+next token the text may still complete: a thread is the last token of such a chain and the
+trie node of the bytes read since. A state of the deterministic one is the set of threads; it
+is made when first met, as is each of its edges. An edge tells which token ends with its byte,
+on the chain of that prefix. Where the chains of all threads meet, the tokens before are
+certain and are emitted: the lookahead is bounded by what the vocabulary can still complete.
 
 Caches are emptied when they are full: memory is bounded, results do not depend on them. A
 piece of any length (a run of a million blanks) takes one step per byte and no stack.
@@ -33,16 +34,20 @@ from pyspark.sql import functions as F
 
 from .shared import lists, pieces
 
-#: States, and twice as many pieces, that are kept; full caches take some 150 MB of a worker.
-STATES = 80_000
-PIECES = 250_000
+#: States, and twice as many pieces, that are kept; full caches take some 200 MB of a worker.
+STATES = 200_000
+PIECES = 300_000
 #: Longer pieces are not kept.
 PIECE_CHARS = 48
 #: A longer text is split before blanks between two words, where pieces always end.
 PART_CHARS = 1 << 20
 #: A border of pieces for every pattern in which a blank can only begin a piece of other characters.
 _BORDER = regex.compile(r"(?<=\S) (?=\S)")
-_START = -1
+#: Bytes of a long piece between two looks for tokens that are certain.
+CHUNK = 4096
+#: An edge is a state and a token in one number; the greatest token stands for none.
+_BITS = 24
+_MASK = _START = (1 << _BITS) - 1
 
 
 def rank_file(path: str) -> dict[bytes, int]:
@@ -56,27 +61,29 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int], states: int = STATES):
         self.ranks = ranks
+        if min(ranks.values()) < 0 or max(ranks.values()) >= _START:
+            raise ValueError("ranks must be from 0 to 2**24 - 2")
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.length = {rank: len(token) for token, rank in ranks.items()}
         #: The trie of all tokens: next nodes by byte, and the token that ends in a node.
         self.next: list[dict[int, int]] = [{}]
         self.ends: list[int | None] = [None]
+        self.depth = [0]
         for token, rank in ranks.items():
             self.ends[self._node(token)] = rank
         self.most = states
         self._splits: dict[int, tuple[int, int] | None] = {}
         self._edges: dict[tuple[int, int], list[int]] = {}
         self._growing: dict[int, bool] = {}
-        self.follow: dict[tuple[int, int], bool] = {}
+        self.follow: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
         """Drop all states but the first, which is number 0."""
-        self.threads: list[tuple[int, tuple]] = []  # by state: the last certain token, and its threads
-        self.numbers: dict[tuple[int, tuple], int] = {}
-        self.edges: dict[int, int] = {}  # state and byte to state and number of what is certain then
-        self.certain: list[tuple[int, ...]] = [()]
-        self.outputs: dict[tuple[int, ...], int] = {(): 0}
-        self._state(_START, (((), 0),))
+        self.keys: list[tuple[int, ...]] = []  # by state: last token and trie node of each thread
+        self.numbers: dict[tuple[int, ...], int] = {}
+        self.edges: dict[int, int] = {}  # state and byte to next state and ended token
+        self._state((_START, 0))
 
     def _node(self, token: bytes) -> int:
         node = 0
@@ -85,6 +92,7 @@ class Transducer:
                 self.next[node][byte] = len(self.next)
                 self.next.append({})
                 self.ends.append(None)
+                self.depth.append(self.depth[node] + 1)
             node = self.next[node][byte]
         return node
 
@@ -162,84 +170,88 @@ class Transducer:
                 j += 1
 
     def may_follow(self, first: int, second: int) -> bool:
-        key = (first, second)
+        key = first << _BITS | second
         known = self.follow.get(key)
         if known is None:
-            if len(self.follow) >= 4 * self.most:
+            if len(self.follow) >= 2 * self.most:
                 self.follow.clear()
             known = self.follow[key] = self._may_follow(first, second)
         return known
 
     # States
 
-    def _state(self, before: int, threads: tuple) -> int:
-        if all(chain for chain, _ in threads):
-            before = _START  # every chain names its last token itself
-        key = (before, threads)
+    def _state(self, key: tuple[int, ...]) -> int:
         number = self.numbers.get(key)
         if number is None:
-            number = self.numbers[key] = len(self.threads)
-            self.threads.append(key)
+            number = self.numbers[key] = len(self.keys)
+            self.keys.append(key)
         return number
 
     def _edge(self, state: int, byte: int) -> int:
-        """The next state, and the number of the ids that are certain then."""
-        before, threads = self.threads[state]
-        ended, after = None, []
-        for chain, node in threads:
+        """The next state, and the token that ends with this byte."""
+        key, after, ended = self.keys[state], [], _START
+        for last, node in zip(key[::2], key[1::2]):
             node = self.next[node].get(byte)
             if node is None:
                 continue
-            token = self.ends[node]
-            if ended is None and token is not None and self.may_follow(chain[-1] if chain else before, token):
-                ended = (*chain, token)
+            if ended == _START and (token := self.ends[node]) is not None and self.may_follow(last, token):
+                ended = token
             if self.next[node]:
-                after.append((chain, node))
-        after.append((ended, 0))
-        certain = ended
-        for chain, _ in after:
-            while certain != chain[: len(certain)]:
-                certain = certain[:-1]
-        if n := len(certain):
-            before, after = certain[-1], [(chain[n:], node) for chain, node in after]
-        output = self.outputs.get(certain)
-        if output is None:
-            output = self.outputs[certain] = len(self.certain)
-            self.certain.append(certain)
-        edge = self._state(before, tuple(after)) << 32 | output
+                after += (last, node)
+        edge = self._state((*after, ended, 0)) << _BITS | ended
         self.edges[state << 8 | byte] = edge
         return edge
 
-    def _run(self, state: int, data: bytes, out: list[int]) -> int:
+    def _run(self, state: int, data: bytes, ended: list[int]) -> int:
+        """The state after these bytes; the token that ends with each goes to ``ended``."""
+        edges = self.edges
         for byte in data:
-            edge = self.edges.get(state << 8 | byte)
+            edge = edges.get(state << 8 | byte)
             if edge is None:
-                if len(self.threads) > self.most:
-                    kept = self.threads[state]
+                if len(self.keys) > self.most:
+                    kept = self.keys[state]
                     self._forget()
-                    state = self._state(*kept)
+                    state, edges = self._state(kept), self.edges
                 edge = self._edge(state, byte)
-            state = edge >> 32
-            if output := edge & 0xFFFFFFFF:
-                out += self.certain[output]
+            state = edge >> _BITS
+            ended.append(edge & _MASK)
         return state
 
+    def _chain(self, ended: list[int], at: int) -> list[int]:
+        """The tokens up to a border, back from the one that ends there."""
+        chain = []
+        while at:
+            chain.append(ended[at - 1])
+            at -= self.length[chain[-1]]
+        return chain[::-1]
+
     def stream(self, chunks: Iterable[bytes]) -> Iterator[list[int]]:
         """Ids of one piece that comes in chunks; after each chunk those that are certain."""
-        kept = self.threads[0]
+        kept, ended = self.keys[0], []
         for chunk in chunks:
             # Another piece may have emptied the cache meanwhile: its threads make a state again.
-            kept = self.threads[self._run(self._state(*kept), chunk, out := [])]
-            yield out
-        yield list(kept[1][-1][0])
+            kept = self.keys[self._run(self._state(kept), chunk, ended)]
+            # Back from where each thread began, the last first, until all have met.
+            open_ends = {len(ended) - self.depth[node] for node in kept[1::2]}
+            while len(open_ends) > 1:
+                last = max(open_ends)
+                open_ends.remove(last)
+                open_ends.add(last - self.length[ended[last - 1]])
+            met = open_ends.pop()
+            yield self._chain(ended, met)
+            del ended[:met]
+        yield self._chain(ended, len(ended))
 
     def piece(self, data: bytes) -> tuple[int, ...]:
         """Ids of one piece; a piece that is itself a token is that token."""
         whole = self.ranks.get(data)
         if whole is not None:
             return (whole,)
-        state = self._run(0, data, out := [])
-        return (*out, *self.threads[state][1][-1][0])
+        if len(data) > CHUNK:
+            chunks = (data[at : at + CHUNK] for at in range(0, len(data), CHUNK))
+            return tuple(i for ids in self.stream(chunks) for i in ids)
+        self._run(0, data, ended := [])
+        return tuple(self._chain(ended, len(data)))
 
 
 class Codec:
@@ -376,50 +388,60 @@ def plain_text(column: pa.Array) -> Iterator[str]:
         yield (value.as_py() or b"").decode("utf-8", "replace")
 
 
-def encode(documents: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """doc_id and ids (array of int) of every whole text.
+def _encoded(own: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, _, _ in pieces(batches, "text"):
+        found = [np.array(own.encode(text), np.int32) for text in plain_text(rows.column("text"))]
+        ids = lists(np.concatenate(found), np.array([len(x) for x in found]), pa.int32())
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), ids], names=["doc_id", "ids"])
+
+
+#: Ids decoded at once.
+FEED = 1 << 16
+
+
+def _decoded(own: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found, broken = [], []
+        for row in batch.column("ids"):
+            ids = row.values.to_numpy() if row.is_valid else np.zeros(0, np.int32)
+            stream = own.decoder()
+            got = [stream.feed(ids[at : at + FEED]) for at in range(0, len(ids), FEED)]
+            found.append(b"".join([*got, stream.finish()]))
+            broken.append(stream.broken)
+        told = [pa.array(found, pa.binary()), pa.array(broken, pa.int64())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("ids"), *told], names=["doc_id", "ids", "decoded", "n_broken"]
+        )
 
-    ``vocabulary`` is a file of ranks on every executor, ``pattern`` splits text into pieces.
-    """
-    kind = documents.schema["doc_id"].dataType.simpleString()
+
+def _mapped(frame: DataFrame, column: str, steps: list, columns: str, files: tuple[str, str]) -> DataFrame:
+    """One pass of tasks with the codec, and one set of its caches, for all steps."""
+    kind = frame.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        own = codec(vocabulary, pattern)
-        for batch in batches:
-            for rows, _, _ in pieces([batch], "text"):
-                found = [np.array(own.encode(text), np.int32) for text in plain_text(rows.column("text"))]
-                ids = lists(np.concatenate(found), np.array([len(x) for x in found]), pa.int32())
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), ids], names=["doc_id", "ids"])
+        for step in steps:
+            batches = step(codec(*files), batches)
+        return batches
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return frame.select("doc_id", column).mapInArrow(run, f"doc_id {kind}, ids array<int>{columns}")
 
 
-#: Ids decoded at once.
-FEED = 1 << 16
+def encode(documents: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
+    """doc_id and ids (array of int) of every whole text.
+
+    ``vocabulary`` is a file of ranks on every executor, ``pattern`` splits text into pieces.
+    """
+    return _mapped(documents, "text", [_encoded], "", (vocabulary, pattern))
 
 
 def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """The rows of ``encode`` with ``decoded`` (binary) and ``n_broken``, its breaches of UTF-8."""
-    kind = encoded.schema["doc_id"].dataType.simpleString()
+    return _mapped(encoded, "ids", [_decoded], ", decoded binary, n_broken bigint", (vocabulary, pattern))
 
-    def run(batches):
-        own = codec(vocabulary, pattern)
-        for batch in batches:
-            found, broken = [], []
-            for row in batch.column("ids"):
-                ids = row.values.to_numpy() if row.is_valid else np.zeros(0, np.int32)
-                stream = own.decoder()
-                got = [stream.feed(ids[at : at + FEED]) for at in range(0, len(ids), FEED)]
-                found.append(b"".join([*got, stream.finish()]))
-                broken.append(stream.broken)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("ids"), pa.array(found, pa.binary()), pa.array(broken, pa.int64())],
-                names=["doc_id", "ids", "decoded", "n_broken"],
-            )
-
-    return encoded.select("doc_id", "ids").mapInArrow(
-        run, f"doc_id {kind}, ids array<int>, decoded binary, n_broken bigint"
-    )
+
+def round_trip(documents: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
+    """``decode`` of ``encode`` in one pass."""
+    return _mapped(documents, "text", [_encoded, _decoded], ", decoded binary, n_broken bigint", (vocabulary, pattern))
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -136,8 +136,7 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its ids by the rank file, and the bytes that they decode to, as digests."""
-    encoded = bpe_transducer.encode(table(spark, sf_dir, "documents"), *tokenizer_files())
-    return bpe_transducer.digests(bpe_transducer.decode(encoded, *tokenizer_files()))
+    return bpe_transducer.digests(bpe_transducer.round_trip(table(spark, sf_dir, "documents"), *tokenizer_files()))
 
 
 def op13_level_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
