@@ -350,15 +350,13 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registered_runs(spark, sf_dir).select(F.inline(F.array_compact(F.array(*events))))
 
 
-def write_landing(spark: SparkSession, sf_dir: str) -> str:
-    """The landing folder as real text files named like the reports; returns its path.
+def _write_files(spark: SparkSession, rows: DataFrame, folder: str) -> str:
+    """Rows of file_name, source_line and raw_record as one text file per name; returns its folder.
 
     Spark writes one part per file name; the parts then get their report names.
     """
-    folder = scratch_folder(spark, "landing")
     (
-        landing_lines(spark, sf_dir)
-        .repartition("file_name")
+        rows.repartition("file_name")
         .sortWithinPartitions("file_name", "source_line")
         .select("raw_record", "file_name")
         .write.partitionBy("file_name").text(f"{folder}/parts")
@@ -370,5 +368,47 @@ def write_landing(spark: SparkSession, sf_dir: str) -> str:
     for part in fs.globStatus(path(f"{folder}/parts/*/part-*")):
         name = part.getPath().getParent().getName().split("=", 1)[1]
         fs.rename(part.getPath(), path(f"{folder}/in/{name}"))
-    fs.create(path(f"{folder}/in/{EMPTY_FILE}")).close()
     return f"{folder}/in"
+
+
+def write_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The landing folder as real text files named like the reports; returns its path."""
+    folder = _write_files(spark, landing_lines(spark, sf_dir), scratch_folder(spark, "landing"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{EMPTY_FILE}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path).close()
+    return folder
+
+
+def write_report_folders(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """All reports with right names and headers in two folders: even numbers, and odd ones."""
+    records = lines(spark, sf_dir).select(
+        "file_no", F.col("source_file").alias("file_name"), "source_line", "raw_record"
+    )
+    firsts = records.filter("source_line = 2").withColumn("source_line", F.lit(1).cast("bigint"))
+    rows = records.unionByName(firsts.withColumn("raw_record", F.lit(layout.REPORT_HEADER)))
+    folders = [
+        _write_files(spark, rows.filter(F.col("file_no") % 2 == parity).drop("file_no"), scratch_folder(spark, "reports"))
+        for parity in (0, 1)
+    ]
+    return folders[0], folders[1]
+
+
+def folder_listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What a folder held by its last listing, and what it holds now.
+
+    Of the files of even number those whose number leaves 0 by 3 are as they were, those that
+    leave 1 have new contents, the others are gone; every fifth path was not there before.
+    """
+    files = file_control(spark, sf_dir).filter("file_id % 2 = 0").select(
+        F.concat_ws("/", F.lit("/landing/even"), "file_id", "file_name").alias("file_path"),
+        F.col("file_size").alias("size_bytes"), F.col("detected_at").alias("modified_at"),
+        F.when(F.col("file_id") % 7 != 3, F.col("checksum_sha256")).alias("checksum_sha256"),
+        "file_id", F.expr("backup_at IS NOT NULL AND source_deleted_at IS NULL").alias("open"),
+    )
+    last = files.filter("file_id % 5 <> 0").withColumn("open_file_id", F.when(F.col("open"), F.col("file_id")))
+    replaced = F.col("file_id") % 3 == 1
+    present = files.filter("file_id % 3 <> 2").select(
+        "file_path", (F.col("size_bytes") + F.when(replaced, 1).otherwise(0)).alias("size_bytes"), "modified_at",
+        F.when(replaced, F.reverse("checksum_sha256")).otherwise(F.col("checksum_sha256")).alias("checksum_sha256"),
+    )
+    return last.drop("open", "file_id"), present

@@ -84,36 +84,77 @@ def fold_runs(events: DataFrame) -> DataFrame:
     )
 
 
-def fold_files(events: DataFrame) -> DataFrame:
-    """Current state of every file.
+FIRST_SET = ["run_id", "file_name", "source_path"]
+LAST_SET = [
+    "file_size", "checksum_sha256", "staging_uri", "backup_uri", "status", "records_read",
+    "records_valid", "records_invalid", "records_loaded", "visitors_inserted",
+    "visitors_updated", "source_modified_at",
+]
+
+
+def partial_files(events: DataFrame) -> DataFrame:
+    """What events tell of their files, to be finished or taken on by later events.
 
     A ``status`` event replaces code and message, with null when it gives none; the other
     events leave them alone. The folded texts need sorted input, so the events, a handful per
     file, are brought together and sorted once; the aggregation then streams over them.
     """
     events = events.repartition("file_id").sortWithinPartitions("file_id")
-    first_set = ["run_id", "file_name", "source_path"]
-    last_set = [
-        "file_size", "checksum_sha256", "staging_uri", "backup_uri", "status", "records_read",
-        "records_valid", "records_invalid", "records_loaded", "visitors_inserted",
-        "visitors_updated", "source_modified_at",
-    ]
     times = [
         F.max(F.when(F.col("event") == event, F.col("at"))).alias(column)
         for event, column in FILE_EVENT_TIMES.items()
     ]
-    state = events.groupBy("file_id").agg(
-        *[_first(c) for c in first_set], *[_last(c) for c in last_set],
+    return events.groupBy("file_id").agg(
+        *[_first(c) for c in FIRST_SET], *[_last(c) for c in LAST_SET],
         *[_last_of(c, ["status"]) for c in ("error_code", "error_message")],
         *times,
         F.min("at").alias("created_at"),
         F.max("at").alias("updated_at"),
         F.count_if(F.col("event") == "retried").alias("retry_count"),
+        F.coalesce(F.bool_or(F.col("event") == "status"), F.lit(False)).alias("has_status"),
     )
-    counters = [c for c in last_set if c.startswith(("records_", "visitors_"))]
-    return state.select(
-        *[F.coalesce(c, F.lit(0)).alias(c) if c in counters else c for c in state.columns]
+
+
+def updated_files(state: DataFrame, later: DataFrame) -> DataFrame:
+    """Partial state taken on by that of later events.
+
+    Later events of a file that the state knows never detect it: they are few, and the state
+    stays where it lies while they are small enough to be sent to it.
+    """
+    new = {c: F.col(f"_{c}") for c in state.columns}
+    updates = later.filter("detected_at IS NULL").select(
+        "file_id", *[F.col(c).alias(f"_{c}") for c in state.columns if c != "file_id"]
+    )
+    replaced = F.coalesce(new["has_status"], F.lit(False))
+    taken_on = {
+        **{c: F.coalesce(c, new[c]) for c in FIRST_SET},
+        **{c: F.coalesce(new[c], c) for c in (*LAST_SET, *FILE_EVENT_TIMES.values())},
+        **{c: F.when(replaced, new[c]).otherwise(F.col(c)) for c in ("error_code", "error_message")},
+        "created_at": F.least("created_at", new["created_at"]),
+        "updated_at": F.greatest("updated_at", new["updated_at"]),
+        "retry_count": F.col("retry_count") + F.coalesce(new["retry_count"], F.lit(0)),
+        "has_status": F.col("has_status") | replaced,
+    }
+    old = state.join(updates, "file_id", "left").select(
+        *[taken_on[c].alias(c) if c in taken_on else c for c in state.columns]
     )
+    return old.unionByName(later.filter("detected_at IS NOT NULL"))
+
+
+def finished_files(partial: DataFrame) -> DataFrame:
+    """Current state of files: counters that no event gave are zero."""
+    counters = [c for c in LAST_SET if c.startswith(("records_", "visitors_"))]
+    return partial.select(
+        *[
+            F.coalesce(c, F.lit(0)).alias(c) if c in counters else c
+            for c in partial.columns if c != "has_status"
+        ]
+    )
+
+
+def fold_files(events: DataFrame) -> DataFrame:
+    """Current state of every file from all of its events."""
+    return finished_files(partial_files(events))
 
 
 def register_files(
@@ -346,12 +387,34 @@ def loadable(records: DataFrame, dispositions: DataFrame, key: str = "source_fil
     return records.join(kept.select(F.col("file_name").alias(key)), key, "left_semi")
 
 
-def settled_deletions(files: DataFrame, present: DataFrame) -> DataFrame:
-    """Archived files whose source has gone from the manifest: (file_id, file_name)."""
-    return (
-        files.filter("backup_at IS NOT NULL AND source_deleted_at IS NULL")
-        .join(present.select("file_name").distinct(), "file_name", "left_anti")
-        .select("file_id", "file_name")
+def listing_changes(last: DataFrame, present: DataFrame) -> DataFrame:
+    """What became of every path between two listings of one folder: appeared, replaced, gone or same.
+
+    A path holds the same file while its contents do; where a listing does not know a checksum,
+    while size and time do. ``open_file_id``, the archived file that was seen last and is not
+    settled, comes from the last listing.
+    """
+    facts = ["checksum_sha256", "size_bytes", "modified_at"]
+    before = last.select("file_path", "open_file_id", *[F.col(c).alias(f"_{c}") for c in facts])
+    both = before.withColumn("_was", F.lit(True)).join(
+        present.select("file_path", *facts).withColumn("_is", F.lit(True)), "file_path", "full_outer"
+    )
+    known = F.col("checksum_sha256").isNotNull() & F.col("_checksum_sha256").isNotNull()
+    alike = F.when(known, F.col("checksum_sha256") == F.col("_checksum_sha256")).otherwise(
+        F.col("size_bytes").eqNullSafe(F.col("_size_bytes"))
+        & F.col("modified_at").eqNullSafe(F.col("_modified_at"))
+    )
+    return both.select(
+        "file_path", "open_file_id",
+        F.when(F.col("_was").isNull(), "appeared").when(F.col("_is").isNull(), "gone")
+        .when(alike, "same").otherwise("replaced").alias("change"),
+    )
+
+
+def settled_deletions(changes: DataFrame) -> DataFrame:
+    """Archived files whose source has gone from its folder, or has given way to another: file_id, file_path."""
+    return changes.filter("open_file_id IS NOT NULL AND change IN ('gone', 'replaced')").select(
+        F.col("open_file_id").alias("file_id"), "file_path"
     )
 
 

@@ -7,6 +7,7 @@ side and never travels as rows.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,13 @@ VISITOR_COLUMNS = [
     "visitas_anio_actual", "visitas_mes_actual",
 ]
 
+#: Monthly activity with the version of the last run that met the e-mail, and its reference day.
+ACTIVITY_SCHEMA = (
+    "email string, year int, month int, first_day date, last_day date, visits bigint, "
+    "version bigint, reference date"
+)
+ACTIVITY_COLUMNS = [part.strip().split(" ")[0] for part in ACTIVITY_SCHEMA.split(",")]
+
 
 def _in_period(year: Column, month: Column, reference: date) -> tuple[Column, Column]:
     same_year = year == reference.year
@@ -58,6 +66,40 @@ def visitors_from_activity(activity: DataFrame, reference: date) -> DataFrame:
     )
 
 
+def merged_activity(activity: DataFrame) -> DataFrame:
+    """One row per e-mail, year and month from those of any number of runs, in any order."""
+    newest = F.max(F.struct("version", "reference"))
+    return activity.groupBy("email", "year", "month").agg(
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"),
+        F.sum("visits").alias("visits"), newest.alias("newest"),
+    ).select(*ACTIVITY_COLUMNS[:-2], "newest.version", "newest.reference")
+
+
+def visitors_of_runs(activity: DataFrame) -> DataFrame:
+    """The metrics of ``visitors`` from activity of runs, each run with its own reference day.
+
+    An e-mail's year and month are those of the run that met it last, by version. Its months,
+    a handful a run, are looked at once that is known: one shuffle.
+    """
+    each = activity.groupBy("email").agg(
+        F.min("first_day").alias("fecha_primera_visita"),
+        F.max("last_day").alias("fecha_ultima_visita"),
+        F.sum("visits").alias("visitas_totales"),
+        F.max(F.struct("version", "reference")).alias("newest"),
+        F.collect_list(F.struct("year", "month", "visits")).alias("months"),
+    )
+    reference = F.col("newest.reference")
+
+    def visits(*parts) -> Column:
+        within = F.filter("months", lambda m: reduce(Column.__and__, [m[n] == f(reference) for n, f in parts]))
+        return F.aggregate(within, F.lit(0).cast("bigint"), lambda total, m: total + m["visits"])
+
+    return each.select(
+        *VISITOR_COLUMNS[:4], visits(("year", F.year)).alias("visitas_anio_actual"),
+        visits(("year", F.year), ("month", F.month)).alias("visitas_mes_actual"),
+    )
+
+
 def affected_emails(visits: DataFrame, *by: str) -> DataFrame:
     """The distinct e-mails of a batch, or of each group named in ``by``."""
     return visits.select(*by, "email").distinct()

@@ -465,11 +465,19 @@ ORACLES: dict[str, str] = {
            WHERE load_finished_at IS NOT NULL AND backup_at IS NOT NULL
              AND source_deleted_at IS NULL AND file_id % 13 NOT IN (2, 3)""",
     ),
+    "listing_changes": with_ctes(
+        "files",
+        """SELECT '/landing/even/' || CAST(file_id AS VARCHAR) || '/' || file_name AS file_path,
+             CASE WHEN file_id % 5 = 0 THEN 'appeared' WHEN file_id % 3 = 2 THEN 'gone'
+               WHEN file_id % 3 = 1 THEN 'replaced' ELSE 'same' END AS change
+           FROM files WHERE file_id % 2 = 0 AND NOT (file_id % 5 = 0 AND file_id % 3 = 2)""",
+    ),
     "deletion_settlement": with_ctes(
         "files",
         """SELECT file_id, CAST(20 AS BIGINT) AS seq, 'source_deleted' AS event,
              TIMESTAMP '2024-01-31 00:00:00' AS at, 'SUCCESS' AS status FROM files
-           WHERE backup_at IS NOT NULL AND source_deleted_at IS NULL AND file_id % 3 <> 0""",
+           WHERE backup_at IS NOT NULL AND source_deleted_at IS NULL AND file_id % 2 = 0
+             AND file_id % 5 <> 0 AND file_id % 3 <> 0""",
     ),
     "run_report_files": with_ctes(
         "files",
@@ -708,4 +716,18 @@ ORACLES |= {
     "roundtrip_estadistica": ORACLES["estadistica"],
     "roundtrip_errores": ORACLES["errores"],
     "roundtrip_visitante": ORACLES["visitors_rebuild"],
+    "file_state_checkpoint": ORACLES["file_state_fold"],
+    "batch_rerun_visits": with_ctes(
+        "visits",
+        """SELECT * EXCLUDE (ts, record_id, file_id) REPLACE (
+             CASE WHEN file_id % 2 = 1 THEN 'run_even' ELSE 'run_odd' END AS run_id) FROM visits""",
+    ),
+    # Who is in an even report was met last by the run with the earlier reference day.
+    "batch_rerun_visitors": with_ctes(
+        "visits",
+        f"""SELECT * FROM ({_metrics('visits', HISTORY_REFERENCE)}) AS met
+           WHERE email IN (SELECT email FROM visits WHERE file_id % 2 = 1)
+           UNION ALL SELECT * FROM ({_metrics('visits', REFERENCE)}) AS others
+           WHERE email NOT IN (SELECT email FROM visits WHERE file_id % 2 = 1)""",
+    ),
 }

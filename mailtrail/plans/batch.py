@@ -1,10 +1,11 @@
 """One run over a landing folder, from manifest to published tables.
 
 All files are handled together: each step is a job over the whole batch, and what a step
-decides about a file is a row, not a branch of a loop. The folder is listed once. A file of
-the name, size and time of one that a published run has seen keeps its checksum, and text and
-archive bytes are read of files with new contents only: a run costs what is new, not what lies
-in the folder. A file that fails is FAILED with its code; the others load.
+decides about a file is a row, not a branch of a loop. The folder is listed once. A file with
+the path, size and time that the folder's last published listing has keeps its checksum, and
+text and archive bytes are read of files with new contents only: a run costs what is new, not
+what lies in the folder, and reads neither the events nor the visits of earlier runs. A file
+that fails is FAILED with its code; the others load.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from ..operators import archive, checks, control, layout_gate, records, visitors
 from ..session import scratch_folder
 from ..sources import landing, lines
 from ..sources.lines import written
-from .publish import Warehouse
+from .commits import LostRace
+from .publish import COMPACT_AFTER, Warehouse
 
 
 # Comes after all events of the run that loaded a file.
@@ -49,25 +51,36 @@ def run_batch(
 
     A failure leaves the published tables as they were and the run recorded as FAILED. A run
     that is not published can be repeated under its id, from nothing; repeating a published one
-    changes nothing and returns its recorded status.
+    changes nothing and returns its recorded status. Runs may overlap: one whose files another
+    has published meanwhile fails with ``LostRace``, and its repeat skips them. ``now`` only
+    dates a run; what counts last is what is published last.
     """
     run_id = run_id or new_run_id()
     now = now or datetime.now()
     house = Warehouse(spark, warehouse_root)
-    scratch = scratch or scratch_folder(spark, "batch")
+    own_scratch = scratch or scratch_folder(spark, "batch")
     run = (house, run_id, dag_id, now)
     if house.is_published(run_id):
         return _published_status(*run)
     house.drop_run(run_id)
     _record_run(*run)
     try:
-        files = _load(spark, folder, house, run_id, reference, now, profile, scratch)
-        house.publish(run_id, int(now.timestamp() * 1_000_000))
+        folder, read_at = landing.full_path(spark, folder), house.log.version()
+        files = _load(spark, folder, house, run_id, reference, now, profile, own_scratch)
+        house.publish(run_id, read_at, folder, reference)
+        status = _final_status(house, run_id, files)
     except Exception as error:
         _record_run(*run, "FAILED", type(error).__name__, str(error))
         raise
-    status = _final_status(house, run_id, files)
+    finally:
+        if scratch is None:
+            landing.delete(spark, own_scratch)
     _record_run(*run, status)
+    if house.runs_since_compaction() >= COMPACT_AFTER:
+        try:
+            house.compact()
+        except LostRace:
+            pass  # another run has done it
     return status
 
 
@@ -81,7 +94,7 @@ def _published_status(house, run_id, dag_id, now) -> str:
     ended = house.run_rows("run_events", run_id).filter("event = 'finished'").first()
     if ended is not None:
         return ended["status"]
-    status = _final_status(house, run_id, house.files().filter(F.col("run_id") == run_id))
+    status = _final_status(house, run_id, house.run_files(run_id))
     _record_run(house, run_id, dag_id, now, status)
     return status
 
@@ -107,19 +120,16 @@ def _load(spark, folder, house, run_id, reference, now, profile, scratch) -> Dat
     )
     manifest = landing.candidate_files(listed) if profile.strict else listed
     clock.reached("detected")
-    previous = house.files()
-    last_id, published = 0, None
-    if previous is not None:
-        previous = written(previous, f"{scratch}/previous")
-        last_id, published = previous.agg(F.max("file_id")).first()[0], house.of_published(previous)
-    sums = _checksums(spark, folder, manifest, published)
+    last = house.last_listing(folder)
+    sums = written(_checksums(spark, folder, manifest, last), f"{scratch}/sums")
+    first_id = house.reserve_file_ids(run_id, manifest.count())
     registered = written(
-        control.register_files(manifest.join(sums, "file_name"), last_id or 0, run_id, scratch),
+        control.register_files(manifest.join(sums, "file_name"), first_id - 1, run_id, scratch),
         f"{scratch}/registered",
     )
     clock.reached("staged", "validation_started")
 
-    looked_up = written(_looked_up(registered, published), f"{scratch}/looked_up")
+    looked_up = written(_looked_up(registered, house.table("loaded")), f"{scratch}/looked_up")
     fresh = looked_up.filter("original_file_id IS NULL")
     staged, offsets = _stage_records(spark, folder, fresh, run_id, profile, scratch)
     numbered = lines.with_line_numbers(staged, offsets)
@@ -142,23 +152,49 @@ def _load(spark, folder, house, run_id, reference, now, profile, scratch) -> Dat
     loaded = written(
         control.file_disposition(prepared.join(checked, "file_id", "left")), f"{scratch}/loaded"
     )
-    results = _update_visitors(house, stats, errors, loaded, run_id, reference, scratch)
+    results = _update_visitors(house, stats, errors, loaded, run_id, scratch)
     clock.reached("load_finished")
 
     final = written(
         _archive_and_settle(spark, folder, house, loaded, run_id), f"{scratch}/final"
     )
     clock.reached("backed_up", "status")
+    house.write_run("loaded", final.filter("archive_state IS NOT NULL").select(
+        "file_id", "checksum_sha256", clock.at("load_finished").alias("load_finished_at")
+    ), run_id)
     events = _file_events(house, final.join(results, "file_id", "left"), run_id, clock)
-    if published is not None:
-        settled = control.settled_deletions(published, listed)
+    present = _with_checksums(listed, sums)
+    if last is not None:
+        changes = written(control.listing_changes(last, present), f"{scratch}/changes")
         events = events.unionByName(
-            control.deletion_events(settled, SETTLEMENT_SEQ, clock.at("detected"))
+            control.deletion_events(control.settled_deletions(changes), SETTLEMENT_SEQ, clock.at("detected"))
         )
+    else:
+        changes = None
+    house.write_run("listing", _listing(present, final, changes), run_id)
     house.write_run("file_events", written(events, f"{scratch}/events"), run_id)
     return final
 
 
+def _with_checksums(listed: DataFrame, sums: DataFrame) -> DataFrame:
+    """The listed files, with the checksums of those that are reports."""
+    return listed.join(sums, "file_name", "left").withColumn(
+        "modified_at", F.col("modified_at").cast("timestamp_ntz")
+    )
+
+
+def _listing(present: DataFrame, final: DataFrame, changes: DataFrame | None) -> DataFrame:
+    """What lies in the folder, each path with the archived file of its contents that is not settled."""
+    archived = final.filter("archive_state = 'OK'").select("file_path", F.col("file_id").alias("_archived"))
+    listing = present.join(archived, "file_path", "left")
+    if changes is None:
+        return listing.withColumnRenamed("_archived", "open_file_id")
+    kept = changes.filter("change = 'same'").select("file_path", F.col("open_file_id").alias("_open"))
+    return listing.join(kept, "file_path", "left").withColumn(
+        "open_file_id", F.coalesce("_archived", "_open")
+    ).drop("_archived", "_open")
+
+
 def _of_files(read, folder: str, files: DataFrame) -> DataFrame:
     """What ``read`` gives for these files of the folder, none of the others opened.
 
@@ -168,18 +204,15 @@ def _of_files(read, folder: str, files: DataFrame) -> DataFrame:
     return read(paths) if paths else read(folder).filter(F.lit(False))
 
 
-def _checksums(spark, folder, manifest, published) -> DataFrame:
-    """(file_name, checksum_sha256): known ones by name, size and time, the others from the bytes."""
-    unread = manifest
-    known = None
-    if published is not None:
-        seen = published.filter("checksum_sha256 IS NOT NULL AND source_modified_at IS NOT NULL")
-        newest = seen.groupBy(
-            "file_name", F.col("file_size").alias("size_bytes"),
-            F.col("source_modified_at").alias("modified_at"),
-        ).agg(F.max_by("checksum_sha256", "file_id").alias("checksum_sha256"))
+def _checksums(spark, folder, manifest, last) -> DataFrame:
+    """(file_name, checksum_sha256): as listed last by path, size and time, the others from the bytes."""
+    unread, known = manifest, None
+    if last is not None:
+        seen = last.filter("checksum_sha256 IS NOT NULL AND modified_at IS NOT NULL").select(
+            "file_path", "size_bytes", "modified_at", "checksum_sha256"
+        )
         dated = manifest.withColumn("modified_at", F.col("modified_at").cast("timestamp_ntz"))
-        known = dated.join(newest, ["file_name", "size_bytes", "modified_at"]).select(
+        known = dated.join(seen, ["file_path", "size_bytes", "modified_at"]).select(
             "file_name", "checksum_sha256"
         )
         unread = manifest.join(known, "file_name", "left_anti")
@@ -188,10 +221,10 @@ def _checksums(spark, folder, manifest, published) -> DataFrame:
     return sums if known is None else sums.unionByName(known)
 
 
-def _looked_up(registered: DataFrame, published: DataFrame | None) -> DataFrame:
+def _looked_up(registered: DataFrame, loaded: DataFrame | None) -> DataFrame:
     """Registered files with the loaded file of the same content, if there is one."""
-    if published is not None:
-        return control.already_processed(registered, published).drop("already_processed")
+    if loaded is not None:
+        return control.already_processed(registered, loaded).drop("already_processed")
     return registered.select(
         "*", F.lit(None).cast("bigint").alias("original_file_id"),
         F.lit(None).cast("string").alias("original_run_id"),
@@ -280,26 +313,16 @@ def _without_broken_files(house, run_id, prepared, stats, errors, scratch):
     return facts, *kept
 
 
-def _update_visitors(house, stats, errors, loaded, run_id, reference, scratch) -> DataFrame:
-    """Write the new visitor snapshot; returns the load numbers per file.
+def _update_visitors(house, stats, errors, loaded, run_id, scratch) -> DataFrame:
+    """Write what the run adds to its visitors' activity; returns the load numbers per file.
 
-    History is read as monthly activity rows, a small fraction of the visits.
+    No other visitor is read: of compacted activity only the buckets of the batch's e-mails.
     """
     batch = house.write_run("activity", visitors.monthly_activity(stats), run_id)
-    history = house.table("activity")
-    activity = batch if history is None else history.unionByName(batch)
-    snapshot = house.visitors()
-    affected = batch.select("email").distinct()
-    recomputed = visitors.visitors_from_activity(
-        activity.join(affected, "email", "left_semi"), reference
-    )
-    empty = recomputed.limit(0)
-    merged = visitors.merge_visitors(empty if snapshot is None else snapshot, recomputed)
-    house.write_run("visitante", merged, run_id)
+    known = house.known_visitors(batch.select("email").distinct())
     good = loaded.filter("status = 'LOADED'")
     return written(
-        visitors.load_results(good, stats, errors, empty if snapshot is None else snapshot),
-        f"{scratch}/results",
+        visitors.load_results(good, stats, errors, known), f"{scratch}/results"
     ).select("file_id", "visitors_inserted", "visitors_updated", "records_loaded")
 
 

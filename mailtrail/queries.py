@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from .functions import status, text
 from .functions.rules import RuleProfile
 from .operators import archive, checks, control, layout_gate, records, reports, visitors
 from .plans import publish
+from .plans.batch import run_batch
 from .session import scratch_folder
 from .sources import csv_reports, landing, lines
 from .sources.lines import written
@@ -274,7 +276,10 @@ def loadable_records(spark, sf_dir):
 
 
 def file_state_fold(spark, sf_dir):
-    state = control.fold_files(feeds.file_events(spark, sf_dir))
+    return _told_state(control.fold_files(feeds.file_events(spark, sf_dir)))
+
+
+def _told_state(state: DataFrame) -> DataFrame:
     unset = ["staging_uri", "visitors_inserted", "visitors_updated", "validation_started_at",
              "validation_finished_at", "load_started_at", "source_modified_at", "created_at"]
     return state.drop(*unset)
@@ -305,13 +310,26 @@ def purge_candidates(spark, sf_dir):
     return control.purge_candidates(files, archive)
 
 
+def listing_changes(spark, sf_dir):
+    return control.listing_changes(*feeds.folder_listings(spark, sf_dir)).select("file_path", "change")
+
+
 def deletion_settlement(spark, sf_dir):
-    """Two thirds of the archived files that were not settled have gone from the folder."""
-    files = _files(spark, sf_dir)
-    present = files.filter("file_id % 3 = 0").select("file_name")
-    settled = control.settled_deletions(files, present)
+    """Settles files of the listed folder only: those that are gone or have new contents."""
+    changes = control.listing_changes(*feeds.folder_listings(spark, sf_dir))
     at = F.lit(REFERENCE).cast("timestamp_ntz")
-    return control.deletion_events(settled, 20, at).select("file_id", "seq", "event", "at", "status")
+    events = control.deletion_events(control.settled_deletions(changes), 20, at)
+    return events.select("file_id", "seq", "event", "at", "status")
+
+
+def file_state_checkpoint(spark, sf_dir):
+    """The fold of half of the files up to a step, taken on by all later events."""
+    events = feeds.file_events(spark, sf_dir)
+    later = F.expr("file_id % 2 = 1 OR seq >= 9")
+    state = control.updated_files(
+        control.partial_files(events.filter(~later)), control.partial_files(events.filter(later))
+    )
+    return _told_state(control.finished_files(state))
 
 
 def run_report_files(spark, sf_dir):
@@ -544,6 +562,27 @@ def roundtrip_visitante(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# --- whole runs: late, repeated, compacted ---------------------------------------------------------
+
+def _rerun_house(spark: SparkSession, sf_dir: str) -> publish.Warehouse:
+    """Odd reports are loaded and compacted; even ones come late, under an earlier time, and again."""
+    even, odd = feeds.write_report_folders(spark, sf_dir)
+    house = publish.Warehouse(spark, scratch_folder(spark, "warehouse"))
+    run_batch(spark, odd, house.root, REFERENCE, "run_odd", datetime(2024, 1, 31, 6, 30))
+    house.compact()
+    for _ in range(2):
+        run_batch(spark, even, house.root, HISTORY_REFERENCE, "run_even", datetime(2024, 1, 31, 6, 5))
+    return house
+
+
+def batch_rerun_visits(spark, sf_dir):
+    return _rerun_house(spark, sf_dir).table("estadistica").drop("record_id", "file_id")
+
+
+def batch_rerun_visitors(spark, sf_dir):
+    return _rerun_house(spark, sf_dir).visitors()
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -563,6 +602,7 @@ QUERIES: dict[str, Query] = {
         rejected_files, run_summary, run_acceptance, classify_incidents, run_alerts,
         alert_messages, file_manifest, candidate_files, landing_glob_check, file_checksums,
         scan_csv_reports, scan_lines_numbered, staging_size_check, archive_verification,
-        roundtrip_estadistica, roundtrip_errores, roundtrip_visitante,
+        roundtrip_estadistica, roundtrip_errores, roundtrip_visitante, listing_changes,
+        file_state_checkpoint, batch_rerun_visits, batch_rerun_visitors,
     )
 }

@@ -18,6 +18,17 @@ def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, r"[/\\]"), -1)
 
 
+def full_path(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system: one name however it is given."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _scan(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
 
