@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import heapq
 import itertools
+import re
 import zlib
 from collections.abc import Iterable
 from functools import lru_cache
@@ -25,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import bpe_transducer
 from .shared import kept, lists
 
 SIZE = 1024
@@ -32,6 +34,11 @@ SIZE = 1024
 CLOSING = 0
 
 
+#: Longer texts go through the transducer of ``bpe_transducer``, which takes one step a byte: the pattern
+#: engine of the library runs out of stack on a million blanks in a row. The ids are the same.
+LONG_CHARS = 100_000
+
+
 @lru_cache(maxsize=2)
 def encoding(vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...] = ()) -> tiktoken.Encoding:
     """Byte-level BPE from a file of ranks; ``added`` strings are one id wherever they stand in a text."""
@@ -40,15 +47,35 @@ def encoding(vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...] =
     return tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
+@lru_cache(maxsize=2)
+def _added_pattern(added: tuple[tuple[str, int], ...]) -> re.Pattern:
+    longest_first = sorted((text for text, _ in added), key=len, reverse=True)
+    return re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
+
+
+def token_ids(text: str, vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...] = ()) -> np.ndarray:
+    """Ids of a text of any length and any runs."""
+    if len(text) <= LONG_CHARS:
+        return encoding(vocabulary, pattern, added).encode_to_numpy(text, allowed_special="all")
+    bpe = bpe_transducer.codec(vocabulary, pattern)
+    if not added:
+        return bpe.encode(text).astype(np.uint32)
+    ids = dict(added)
+    parts = [
+        np.array([ids[part]], np.int32) if part in ids else bpe.encode(part)
+        for part in _added_pattern(added).split(text)
+    ]
+    return np.concatenate(parts).astype(np.uint32)
+
+
 def _piece_rows(vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...], size: int, keep_ids: bool):
     def run(batches):
-        bpe = encoding(vocabulary, pattern, added)
         part = TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
         for batch in batches:
             rows, ids = [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                tokens = bpe.encode_to_numpy(text.as_py() or "", allowed_special="all")
+                tokens = token_ids(text.as_py() or "", vocabulary, pattern, added)
                 tokens = np.append(tokens, np.uint32(CLOSING))
                 tokens = tokens.astype("<u4")
                 for start in range(0, len(tokens), size):
