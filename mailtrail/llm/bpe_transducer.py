@@ -23,6 +23,7 @@ Bytes that are no UTF-8 count as U+FFFD. An empty table gives no rows.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -254,15 +255,32 @@ class Transducer:
         return tuple(self._chain(ended, len(data)))
 
 
+class Memo:
+    """Values met lately, and those met before these: what is met again stays, memory is bounded."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.new.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> bytes:
+        if len(self.new) >= self.most:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+        return value
+
+
 class Codec:
     """Texts to ids and back: pieces by a pattern, each through the transducer."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = regex.compile(pattern)
         self.transducer = Transducer(ranks)
-        #: Pieces met lately, and those met before these: what is met again stays.
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.known = Memo(PIECES)
         size = max(ranks.values(), default=-1) + 1
         self.bytes_of = [b""] * size
         for token, rank in ranks.items():
@@ -270,20 +288,17 @@ class Codec:
         #: Tokens of whole characters.
         self.whole = np.array([advance(0, token) == (0, 0) for token in self.bytes_of], bool)
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.older.get(piece) or self.transducer.piece(piece.encode())
-        if len(piece) <= PIECE_CHARS:
-            if len(self.known) >= PIECES:
-                self.known, self.older = {}, self.known
-            self.known[piece] = ids
-        return ids
+    def _piece(self, piece: str) -> bytes:
+        ids = array("i", self.transducer.piece(piece.encode())).tobytes()
+        return self.known.put(piece, ids) if len(piece) <= PIECE_CHARS else ids
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+    def encode(self, text: str) -> np.ndarray:
+        known, found = self.known, []
         for part in parts_of(text):
-            for piece in self.pattern.findall(part):
-                ids += self.known.get(piece) or self._piece(piece)
-        return ids
+            found += [
+                known.new.get(piece) or known.get(piece) or self._piece(piece) for piece in self.pattern.findall(part)
+            ]
+        return np.frombuffer(b"".join(found), np.int32)
 
     def decoder(self) -> Decoder:
         return Decoder(self)
@@ -390,7 +405,7 @@ def plain_text(column: pa.Array) -> Iterator[str]:
 
 def _encoded(own: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, _, _ in pieces(batches, "text"):
-        found = [np.array(own.encode(text), np.int32) for text in plain_text(rows.column("text"))]
+        found = [own.encode(text) for text in plain_text(rows.column("text"))]
         ids = lists(np.concatenate(found), np.array([len(x) for x in found]), pa.int32())
         yield pa.RecordBatch.from_arrays([rows.column("doc_id"), ids], names=["doc_id", "ids"])
 

@@ -9,7 +9,7 @@ with at least one in ``SHARE`` of these links, so no more than ``SHARE``, go to
 well; documents meet the counts of the others in a join without hot keys.
 
 Texts are encoded once; what the documents hold of links is written as arrays of ids and times.
-Memory follows a slice of about 2 MB, or one text. A text that is null or empty, or whose
+Memory follows a slice of some hundred KB, or one text. A text that is null or empty, or whose
 tokens' bytes are not a blank and the text, has no tokens: zeros. Repeated and null ids of
 documents are rows like any other; extra columns stay out. An empty table gives no rows.
 """
@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -28,13 +29,17 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_transducer import Codec, plain_text
+from .bpe_transducer import Codec, Memo, plain_text
 from .shared import RowNumbers, kept, lists, pieces
 
 SHARE = 1 << 16
-#: A longer text is split for B before blanks between visible ASCII characters.
-PART_CHARS = 1 << 18
-_BORDER = re.compile(r"(?<=[!-~]) (?=[!-~])")
+#: Bytes of texts that are aligned at once; a longer text is aligned alone.
+SLICE_BYTES = 1 << 18
+#: Runs of blanks with a word that are remembered, twice as many at most, and the longest such.
+UNITS, UNIT_CHARS = 150_000, 48
+_UNIT = re.compile(" *[^ ]+| +")
+#: What a model's file says of a normaliser that leaves texts as they are: its name, and no table.
+_IDENTITY = b"\n\x08identity\x12\x00"
 _BLANK = "▁"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -68,12 +73,19 @@ class ByteBpe:
         self.codec = Codec(ranks, pattern)
         self.bytes_of = self.codec.bytes_of + [b""] * (len(vocabulary) - len(self.codec.bytes_of))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [self.codec.encode(text) for text in texts]
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
+        found = [self.codec.encode(text) for text in texts]
+        return np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(x) for x in found], np.int64)
 
 
 class Pieces:
-    """B: a sentencepiece model that adds a blank before the text."""
+    """B: a sentencepiece model that adds a blank before the text.
+
+    Where blanks only begin its pieces, no piece goes on across a blank after another
+    character, and where it does not normalise texts, each run of blanks with the word after it
+    is encoded alike alone. Common ones are remembered.
+    """
 
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -82,23 +94,46 @@ class Pieces:
             bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(name)) else name.replace(_BLANK, " ").encode()
             for name in names
         ]
-        #: Whether blanks only begin pieces, so that none goes on across a blank after a word.
-        self.apart = not any(_BLANK in name.lstrip(_BLANK) for name in names)
-
-    def _parts(self, text: str) -> Iterator[str]:
-        """Parts that are encoded alike alone; the blank between two is the one that the model adds."""
-        at = 0
-        while self.apart and len(text) - at > PART_CHARS and (border := _BORDER.search(text, at + PART_CHARS)):
-            yield text[at : border.start()]
-            at = border.end()
-        yield text[at:]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [
-            [i for part in self._parts(text) for i in self.model.encode(part)] if len(text) > PART_CHARS
-            else self.model.encode(text)
-            for text in texts
-        ]
+        plain = _IDENTITY in self.model.serialized_model_proto()
+        self.apart = plain and not any(_BLANK in name.lstrip(_BLANK) for name in names)
+        self.blank = array("i", [self.model.piece_to_id(_BLANK)]).tobytes()
+        self.known = Memo(UNITS)
+
+    def _units(self, text: str) -> list[bytes]:
+        # The blank before a unit is the one that the model adds.
+        known = self.known
+        units = _UNIT.findall(" " + text) if self.apart else [" " + text]
+        found = [known.new.get(unit) or known.get(unit) for unit in units]
+        missing = {unit[1:]: unit for unit, ids in zip(units, found) if ids is None}
+        if not missing:
+            return found
+        told = {" ": self.blank}  # nothing is left of it for the model
+        missing.pop("", None)
+        for unit, ids in zip(missing.values(), self.model.encode(list(missing))):
+            told[unit] = array("i", ids).tobytes()
+            if len(unit) <= UNIT_CHARS:
+                self.known.put(unit, told[unit])
+        return [told[unit] if ids is None else ids for unit, ids in zip(units, found)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has; those of an empty text are none."""
+        found = [b"".join(self._units(text)) if text else b"" for text in texts]
+        return np.frombuffer(b"".join(found), np.int32), np.array([len(x) // 4 for x in found], np.int64)
+
+
+class Strings:
+    """Byte strings by number, put together for many numbers at once."""
+
+    def __init__(self, strings: list[bytes]):
+        self.length = np.array([len(x) for x in strings], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        length = self.length[numbers]
+        ends = np.cumsum(length)
+        at = np.arange(ends[-1] if len(ends) else 0)
+        return self.data[at + np.repeat(self.start[numbers] - (ends - length), length)]
 
 
 class Aligner:
@@ -108,13 +143,12 @@ class Aligner:
         self.a, self.b = ByteBpe(first, pattern), Pieces(second)
         self.n_a, self.n_b = len(self.a.bytes_of), len(self.b.bytes_of)
         self.same = identity(self.a.bytes_of, self.b.bytes_of)
-        self.len_a = np.array([len(x) for x in self.a.bytes_of], np.int64)
-        self.len_b = np.array([len(x) for x in self.b.bytes_of], np.int64)
+        self.bytes_a, self.bytes_b = Strings(self.a.bytes_of), Strings(self.b.bytes_of)
         #: Ids with what follows them: within a side, at the end of A's side, at the end of a group.
-        self.names = [
-            *(f"{i}," for i in range(self.n_a)), *(f"{i}|" for i in range(self.n_a)),
-            *(f"{i}," for i in range(self.n_b)), *(f"{i};" for i in range(self.n_b)),
-        ]
+        self.names = Strings([
+            f"{i}{mark}".encode() for size, marks in ((self.n_a, ",|"), (self.n_b, ",;")) for mark in marks
+            for i in range(size)
+        ])
 
 
 def identity(first: list[bytes], second: list[bytes]) -> np.ndarray:
@@ -137,7 +171,7 @@ class Links(NamedTuple):
     n_a: np.ndarray
     n_b: np.ndarray
     n_groups: np.ndarray
-    told: list[str]
+    told: pa.Array
     #: Row and id of each link of a group of equal bytes.
     exact_row: np.ndarray
     exact: np.ndarray
@@ -146,41 +180,32 @@ class Links(NamedTuple):
     pair: np.ndarray
 
 
-def _joined(ids: np.ndarray, bytes_of: list[bytes], lengths: np.ndarray, counts: np.ndarray, wanted: list[bytes]):
+def _are(strings: Strings, ids: np.ndarray, counts: np.ndarray, wanted: list[bytes]) -> np.ndarray:
     """Whether each row's tokens are these bytes."""
-    whole = b"".join([bytes_of[i] for i in ids.tolist()])
-    ends = np.concatenate([[0], np.cumsum(lengths[ids])])[np.concatenate([[0], np.cumsum(counts)])]
-    return [whole[ends[k] : ends[k + 1]] == want for k, want in enumerate(wanted)]
-
-
-def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.array([len(x) for x in found], np.int64)
-    return np.array([i for x in found for i in x], np.int64), counts
+    ends = np.concatenate([[0], np.cumsum(strings.length[ids])])[np.concatenate([[0], np.cumsum(counts)])]
+    data = strings.joined(ids).tobytes()
+    return np.array([data[ends[k] : ends[k + 1]] == want for k, want in enumerate(wanted)], bool)
 
 
 def links(own: Aligner, texts: list[str]) -> Links:
     """The groups and links of texts, all at once."""
     wanted = [b" " + text.encode() if text else b"" for text in texts]
-    found_a = own.a.encode([" " + text if text else "" for text in texts])
-    found_b = [ids if text else [] for ids, text in zip(own.b.encode(texts), texts)]
-    a, count_a = _flat(found_a)
-    b, count_b = _flat(found_b)
-    equal = np.array(_joined(a, own.a.bytes_of, own.len_a, count_a, wanted), bool) & np.array(
-        _joined(b, own.b.bytes_of, own.len_b, count_b, wanted), bool
-    )
-    a, b = a[np.repeat(equal, count_a)], b[np.repeat(equal, count_b)]
+    a, count_a = own.a.encode([" " + text if text else "" for text in texts])
+    b, count_b = own.b.encode(texts)
+    equal = _are(own.bytes_a, a, count_a, wanted) & _are(own.bytes_b, b, count_b, wanted)
+    a, b = a[np.repeat(equal, count_a)].astype(np.int64), b[np.repeat(equal, count_b)].astype(np.int64)
     count_a, count_b = np.where(equal, count_a, 0), np.where(equal, count_b, 0)
-    end_a, end_b = np.cumsum(own.len_a[a]), np.cumsum(own.len_b[b])
+    end_a, end_b = np.cumsum(own.bytes_a.length[a]), np.cumsum(own.bytes_b.length[b])
     # Texts end where both end, so no group goes beyond one.
-    cuts = np.intersect1d(end_a, end_b, assume_unique=True)
-    last_a, last_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
+    ends_a, ends_b = (np.zeros(end_a[-1] + 1 if len(a) else 1, bool) for _ in range(2))
+    ends_a[end_a], ends_b[end_b] = True, True
+    last_a, last_b = np.flatnonzero(ends_b[end_a]), np.flatnonzero(ends_a[end_b])
     size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
-    row_a = np.repeat(np.arange(len(texts)), count_a)
-    row = row_a[last_a]
+    row = np.repeat(np.arange(len(texts)), count_a)[last_a]
     alone = (size_a == 1) & (size_b == 1) & (own.same[a[last_a]] == b[last_b])
     # A group is its A ids, then its B ids: place all ids in this order.
-    group_a = np.repeat(np.arange(len(cuts)), size_a)
-    group_b = np.repeat(np.arange(len(cuts)), size_b)
+    group_a = np.repeat(np.arange(len(last_a)), size_a)
+    group_b = np.repeat(np.arange(len(last_a)), size_b)
     before_a, before_b = np.cumsum(size_a) - size_a, np.cumsum(size_b)
     names = np.empty(len(a) + len(b), np.int64)
     code_a, code_b = a.copy(), b + 2 * own.n_a
@@ -188,26 +213,20 @@ def links(own: Aligner, texts: list[str]) -> Links:
     code_b[last_b] += own.n_b
     names[np.arange(len(a)) + (before_b - size_b)[group_a]] = code_a
     names[np.arange(len(b)) + (before_a + size_a)[group_b]] = code_b
-    ends = np.concatenate([[0], np.cumsum(count_a + count_b)])
-    parts = [own.names[i] for i in names.tolist()]
-    told = ["".join(parts[ends[k] : ends[k + 1]])[:-1] for k in range(len(texts))]
+    ends = np.concatenate([[0], np.cumsum(own.names.length[names])])[np.concatenate([[0], np.cumsum(count_a + count_b)])]
+    told = own.names.joined(names).tobytes().decode()
     return Links(
-        count_a, count_b, np.bincount(row, minlength=len(texts)), told, row[alone], a[last_a][alone],
-        row[~alone], (a[last_a] * own.n_b + b[last_b])[~alone],
+        count_a, count_b, np.bincount(row, minlength=len(texts)),
+        pa.array([told[ends[k] : max(ends[k], ends[k + 1] - 1)] for k in range(len(texts))], pa.string()),
+        row[alone], a[last_a][alone], row[~alone], (a[last_a] * own.n_b + b[last_b])[~alone],
     )
 
 
-def _per_row(rows: np.ndarray, values: np.ndarray, n: int, span: int) -> tuple[pa.Array, pa.Array]:
-    """Per row its different values and how often it has each."""
-    order = np.lexsort((values, rows))
-    rows, values = rows[order], values[order]
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows[1:] != rows[:-1]) | (values[1:] != values[:-1])
-    first = np.flatnonzero(new)
-    times = np.diff(first, append=len(rows))
-    counts = np.bincount(rows[first], minlength=n)
-    kind = pa.int32() if span < 2**31 else pa.int64()
-    return lists(values[first], counts, kind), lists(times, counts, pa.int32())
+def _per_row(rows: np.ndarray, values: np.ndarray, n: int, span: int, kind: pa.DataType) -> tuple[pa.Array, pa.Array]:
+    """Per row its different values, all below ``span``, and how often it has each."""
+    keys, times = np.unique(rows * span + values, return_counts=True)
+    counts = np.bincount(keys // span, minlength=n)
+    return lists(keys % span, counts, kind), lists(times, counts, pa.int32())
 
 
 _COLUMNS = (
@@ -231,16 +250,16 @@ def aligned(documents: DataFrame, first: str, pattern: str, second: str) -> Data
         schema, names = None, ["doc_id", *[c.split()[0] for c in _COLUMNS.split(", ")]]
         for batch in batches:
             schema = batch.schema.field("doc_id").type
-            for rows, _, _ in pieces([batch], "text"):
+            for rows, _, _ in pieces([batch], "text", SLICE_BYTES):
                 found = links(own, list(plain_text(rows.column("text"))))
                 vector += np.bincount(found.exact, minlength=own.n_a)
                 n = rows.num_rows
-                exact = _per_row(found.exact_row, found.exact, n, own.n_a)
-                pairs = _per_row(found.pair_row, found.pair, n, 1 << 62)
+                exact = _per_row(found.exact_row, found.exact, n, own.n_a, pa.int32())
+                pairs = _per_row(found.pair_row, found.pair, n, own.n_a * own.n_b, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("doc_id"), pa.array(numbers.take(n)), pa.array(found.n_a), pa.array(found.n_b),
-                        pa.array(found.n_groups), pa.array(found.n_groups), pa.array(found.told, pa.string()),
+                        pa.array(found.n_groups), pa.array(found.n_groups), found.told,
                         *exact, *pairs, pa.nulls(n, pa.list_(pa.int64())),
                     ],
                     names=names,

@@ -10,9 +10,10 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from mailtrail.llm import bpe_transducer, level_audit, queries, token_alignment
+from mailtrail.llm import bpe_transducer, level_audit, packing, queries, token_alignment
 from mailtrail.llm.oracles import ORACLES
 
 SMALL = "/root/testdata/sf0.001"
@@ -68,7 +69,7 @@ def test_transducer_equals_the_library(codec, library):
     letters = "abeinrst' hT1.\n -=ü日́\U0001f600"
     for _ in range(3000):
         text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 60)))
-        assert codec.encode(text) == library.encode_ordinary(text)
+        assert codec.encode(text).tolist() == library.encode_ordinary(text)
 
 
 def test_any_bytes_in_any_chunks(codec, library):
@@ -93,7 +94,7 @@ def test_small_caches_change_nothing(library, monkeypatch):
     small = bpe_transducer.Codec(bpe_transducer.rank_file(RANKS), PATTERN)
     small.transducer.most = 7
     text = open(bpe_transducer.__file__, encoding="utf-8").read()
-    assert small.encode(text) == library.encode_ordinary(text)
+    assert small.encode(text).tolist() == library.encode_ordinary(text)
 
 
 @pytest.mark.parametrize("ranks", [
@@ -120,7 +121,7 @@ def test_parts_end_where_pieces_end(codec, library):
 def test_long_runs(codec):
     """A million blanks take one step each; the library's pattern fails on them."""
     for text in (" " * 1_500_000, "\n" * 1_500_000, "a" * 1_500_000, " x" * 700_000):
-        ids = np.array(codec.encode(text), np.int32)
+        ids = codec.encode(text)
         stream = codec.decoder()
         decoded = b"".join(stream.feed(ids[at : at + 999]) for at in range(0, len(ids), 999)) + stream.finish()
         assert decoded == text.encode() and not stream.broken
@@ -167,6 +168,25 @@ def test_op12_odd_rows(odd, nothing, library):
     assert bpe_transducer.digests(bpe_transducer.decode(bpe_transducer.encode(nothing, *files), *files)).collect() == []
 
 
+@pytest.mark.parametrize("text", [
+    " " * 1_200_000 + "x", "\n" * 1_000_000, "a" * 1_000_000,
+    " a" * 80_000 + "<|endoftext|>  b<|endoftext|><|endoftext|>" + "q" * 120_000 + " <|endoftext|>",
+])
+def test_packing_takes_long_texts(text):
+    """Texts that the packing operator gives to the transducer have the ids of the contract's tokenizer."""
+    wanted = Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids
+    got = packing.token_ids(text, *queries.tokenizer_files(), queries.added_tokens())
+    assert got.tolist() == wanted
+
+
+def test_packing_of_five_million_blanks(spark):
+    rows = [(1, " " * 5_000_000), (2, "\n" * 5_000_000), (3, "b" * 5_000_000)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string"), *queries.tokenizer_files())
+    totals = {r["doc_id"]: (r["n"], r["t"]) for r in pieces.groupBy("doc_id").agg(
+        F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()}
+    assert all(n == t for n, t in totals.values()) and totals[1][0] == 5_000_001
+
+
 # Alignment
 
 
@@ -246,12 +266,21 @@ def test_identity_is_of_equal_bytes():
     assert own.a.codec.transducer.ranks == codes  # the two files hold one vocabulary
 
 
-def test_long_text_in_parts_for_both(monkeypatch):
+def test_words_alone_are_encoded_alike(spark):
+    """With what was met before, what is new, and nothing remembered."""
     own = token_alignment.aligner(JSON, PATTERN, PIECES)
-    text = "One two  three\n four, five ▁ six é seven " * 200
-    whole = sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(text)
-    monkeypatch.setattr(token_alignment, "PART_CHARS", 50)
-    assert own.b.apart and own.b.encode([text]) == [whole]
+    texts = [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    texts += ["One two  three\n four, five ▁ six é seven " * 50, "  ", " a", "a ", "   a   b", "日本 語", "\u2581", " " * 500 + "x"]
+    whole = sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(texts)
+    assert own.b.apart
+    for _ in range(2):
+        ids, counts = own.b.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == whole
+    own.b.apart = False
+    try:
+        assert own.b.encode(texts)[0].tolist() == ids.tolist()
+    finally:
+        own.b.apart = True
 
 
 # Source audit
