@@ -149,6 +149,10 @@ FILE_CONTROL = """
 SELECT file_id, run_id, file_name, '/landing/' || file_name AS source_path,
   records_read * 180 AS file_size, content_key, detected_at,
   CASE WHEN status <> 'DETECTED' THEN detected_at + INTERVAL 1 MINUTE END AS staged_at,
+  CASE WHEN checked THEN detected_at + INTERVAL 2 MINUTE END AS validation_started_at,
+  CASE WHEN checked AND status <> 'REJECTED_LAYOUT' THEN detected_at + INTERVAL 3 MINUTE END
+    AS validation_finished_at,
+  CASE WHEN loaded OR status = 'LOADING' THEN detected_at + INTERVAL 3 MINUTE END AS load_started_at,
   CASE WHEN loaded THEN detected_at + INTERVAL 4 MINUTE END AS load_finished_at,
   CASE WHEN backed_up AND file_id % 61 <> 4 THEN detected_at + INTERVAL 5 MINUTE END AS backup_at,
   CASE WHEN status = 'SUCCESS' AND file_id % 71 <> 8 THEN detected_at
@@ -157,6 +161,10 @@ SELECT file_id, run_id, file_name, '/landing/' || file_name AS source_path,
   status, records_read, records_valid, records_read - bad AS records_clean, bad AS records_invalid,
   CASE WHEN loaded THEN records_valid - CASE WHEN file_id % 53 = 9 THEN 1 ELSE 0 END
     ELSE 0 END AS records_loaded,
+  CASE WHEN loaded THEN file_id % 5 ELSE 0 END AS visitors_inserted,
+  CASE WHEN loaded THEN file_id % 3 ELSE 0 END AS visitors_updated,
+  CASE WHEN status <> 'DETECTED' THEN '/staging/' || file_name END AS staging_uri,
+  CASE WHEN file_id % 5 = 0 THEN 1 ELSE 0 END AS retry_count,
   CASE WHEN backed_up AND file_id % 59 <> 2 THEN '/archive/' || file_name || '.zip' END AS backup_uri,
   CASE WHEN status = 'FAILED' AND file_id % 2 = 0 THEN 'RECONCILIATION_ERROR'
     WHEN status = 'FAILED' THEN 'RuntimeError'
@@ -165,10 +173,11 @@ SELECT file_id, run_id, file_name, '/landing/' || file_name AS source_path,
     WHEN status = 'PENDING_SOURCE_DELETE' THEN 'SFTP_DELETE_ERROR'
     WHEN status = 'SKIPPED_ALREADY_PROCESSED' THEN 'ALREADY_PROCESSED' END AS error_code,
   CASE WHEN status IN ('FAILED', 'REJECTED_LAYOUT') THEN 'see ' || file_name END AS error_message,
-  detected_at + INTERVAL 1 MINUTE * (file_id % 1000) AS updated_at
+  detected_at AS created_at, detected_at + INTERVAL 1 MINUTE * (file_id % 1000) AS updated_at
 FROM (
   SELECT *, status IN ('LOADED', 'BACKED_UP', 'PENDING_BACKUP', 'PENDING_SOURCE_DELETE', 'SUCCESS')
       AS loaded,
+    status NOT IN ('DETECTED', 'STAGED', 'SKIPPED_ALREADY_PROCESSED') AS checked,
     status IN ('BACKED_UP', 'PENDING_SOURCE_DELETE', 'SUCCESS') AS backed_up
   FROM (
     SELECT o_orderkey AS file_id, 'run_' || CAST(o_custkey AS STRING) AS run_id,
@@ -251,8 +260,12 @@ def _derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """source_file, source_line, raw_record (and ts, which dates the batch)."""
-    return _derived(spark, sf_dir, LINES).drop("event_id")
+    """source_file, source_line, raw_record (and ts, which dates the batch).
+
+    The given table is one row group, which one task reads: the lines made of it are dealt out,
+    as files of their own would be.
+    """
+    return _derived(spark, sf_dir, LINES).drop("event_id").hint("rebalance")
 
 
 def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,12 +416,13 @@ def folder_listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         F.concat_ws("/", F.lit("/landing/even"), "file_id", "file_name").alias("file_path"),
         F.col("file_size").alias("size_bytes"), F.col("detected_at").alias("modified_at"),
         F.when(F.col("file_id") % 7 != 3, F.col("checksum_sha256")).alias("checksum_sha256"),
-        "file_id", F.expr("backup_at IS NOT NULL AND source_deleted_at IS NULL").alias("open"),
+        "file_id", "run_id", F.expr("backup_at IS NOT NULL AND source_deleted_at IS NULL").alias("open"),
     )
     last = files.filter("file_id % 5 <> 0").withColumn("open_file_id", F.when(F.col("open"), F.col("file_id")))
+    last = last.withColumn("open_run_id", F.when(F.col("open"), F.col("run_id")))
     replaced = F.col("file_id") % 3 == 1
     present = files.filter("file_id % 3 <> 2").select(
         "file_path", (F.col("size_bytes") + F.when(replaced, 1).otherwise(0)).alias("size_bytes"), "modified_at",
         F.when(replaced, F.reverse("checksum_sha256")).otherwise(F.col("checksum_sha256")).alias("checksum_sha256"),
     )
-    return last.drop("open", "file_id"), present
+    return last.drop("open", "file_id", "run_id"), present

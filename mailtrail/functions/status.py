@@ -27,34 +27,31 @@ def operational_category(status: Column) -> Column:
 
 
 # Ordered incident rules (statuses, severity, category).
-_BY_STATUS = [
-    (["SUCCESS"], "INFO", "NONE"),
-    (["SKIPPED_ALREADY_PROCESSED"], "INFO", "IDEMPOTENCY"),
-    (["REJECTED_LAYOUT"], "WARNING", "DATA_QUALITY"),
-    (layout.PENDING_STATUSES, "ERROR", "OPERATIONAL"),
-]
-
-
-def _incident(status: Column, code: Column, slot: int) -> Column:
-    chain = F
-    for rule in _BY_STATUS:
-        chain = chain.when(status.isin(rule[0]), F.lit(rule[slot]))
-    integrity = ("CRITICAL", "INTEGRITY")[slot - 1]
-    failed = ("ERROR", "TECHNICAL")[slot - 1]
-    other = ("WARNING", "TECHNICAL")[slot - 1]
-    return (
-        chain.when(code == "RECONCILIATION_ERROR", F.lit(integrity))
-        .when(status == "FAILED", F.lit(failed))
-        .otherwise(F.lit(other))
-    )
+def _incidents(status: Column, code: Column) -> list[tuple[Column, str, str]]:
+    """What holds for a file first gives its severity and category."""
+    return [
+        (status == "SUCCESS", "INFO", "NONE"),
+        (status == "SKIPPED_ALREADY_PROCESSED", "INFO", "IDEMPOTENCY"),
+        (status == "REJECTED_LAYOUT", "WARNING", "DATA_QUALITY"),
+        (status.isin(layout.PENDING_STATUSES), "ERROR", "OPERATIONAL"),
+        (code == "RECONCILIATION_ERROR", "CRITICAL", "INTEGRITY"),
+        (status == "FAILED", "ERROR", "TECHNICAL"),
+        (F.lit(True), "WARNING", "TECHNICAL"),
+    ]
 
 
 def incident_severity(status: Column, error_code: Column) -> Column:
-    return _incident(status, error_code, 1)
+    chain = F
+    for holds, severity, _ in _incidents(status, error_code):
+        chain = chain.when(holds, F.lit(severity))
+    return chain
 
 
 def incident_category(status: Column, error_code: Column) -> Column:
-    return _incident(status, error_code, 2)
+    chain = F
+    for holds, _, category in _incidents(status, error_code):
+        chain = chain.when(holds, F.lit(category))
+    return chain
 
 
 # The names in an alert line, in order.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import layout
@@ -32,13 +32,8 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return referenced.join(parent.select(key), key, "left_anti")
 
 
-def constraint_violations(
-    frame: DataFrame,
-    key: list[str],
-    widths: dict[str, int] | None = None,
-    not_null: list[str] | None = None,
-) -> DataFrame:
-    """One row per violated width or NOT NULL rule, in one pass over the rows."""
+def _violations(frame: DataFrame, widths: dict[str, int] | None, not_null: list[str] | None) -> Column:
+    """The violated width and NOT NULL rules of a row, as an array."""
     found = [
         F.when(
             F.char_length(F.col(c)) > limit,
@@ -58,7 +53,17 @@ def constraint_violations(
         )
         for c in not_null or [] if c in frame.columns
     ]
-    return frame.select(*key, F.inline(F.array_compact(F.array(*found))))
+    return F.array_compact(F.array(*found))
+
+
+def constraint_violations(
+    frame: DataFrame,
+    key: list[str],
+    widths: dict[str, int] | None = None,
+    not_null: list[str] | None = None,
+) -> DataFrame:
+    """One row per violated width or NOT NULL rule, in one pass over the rows."""
+    return frame.select(*key, F.inline(_violations(frame, widths, not_null)))
 
 
 def table_violations(frame: DataFrame, name: str) -> DataFrame:
@@ -71,23 +76,60 @@ def table_violations(frame: DataFrame, name: str) -> DataFrame:
 def load_reconciliation(
     expected: DataFrame, statistics: DataFrame, errors: DataFrame, key: str = "file_id"
 ) -> DataFrame:
-    """Per file the counted records against the rows in the two tables."""
-    stats = statistics.groupBy(key).agg(F.count(F.lit(1)).alias("statistics_rows"))
-    refused = errors.groupBy(key).agg(F.count(F.lit(1)).alias("errors_rows"))
-    joined = reduce(lambda left, right: left.join(right, key, "left"), [stats, refused], expected)
-    rows = joined.select(
-        *expected.columns,
-        F.coalesce("statistics_rows", F.lit(0)).alias("statistics_rows"),
-        F.coalesce("errors_rows", F.lit(0)).alias("errors_rows"),
+    """Per file the counted records against the rows in the two tables, counted in one grouping."""
+    rows = statistics.select(key, F.lit(True).alias("is_visit")).unionByName(
+        errors.select(key, F.lit(False).alias("is_visit"))
+    )
+    counted = rows.groupBy(key).agg(
+        F.count_if("is_visit").alias("statistics_rows"), F.count_if(~F.col("is_visit")).alias("errors_rows")
+    )
+    return _reconciled(expected, counted, key)
+
+
+def _reconciled(expected: DataFrame, counted: DataFrame, key: str) -> DataFrame:
+    """Expected counts and those of the tables, none being zero, with the code of a difference."""
+    joined = expected.join(counted, key, "left").withColumns(
+        {c: F.coalesce(c, F.lit(0)) for c in ("statistics_rows", "errors_rows")}
     )
     balanced = (
         (F.col("statistics_rows") == F.col("records_valid"))
         & (F.col("errors_rows") == F.col("records_invalid"))
         & (F.col("records_read") == F.col("statistics_rows") + F.col("errors_rows"))
     )
-    return rows.withColumn(
-        "error_code", F.when(~balanced, F.lit("RECONCILIATION_ERROR"))
+    return joined.select(
+        *expected.columns, *[c for c in joined.columns if c not in expected.columns],
+        F.when(~balanced, F.lit("RECONCILIATION_ERROR")).alias("error_code"),
+    )
+
+
+def load_verdicts(expected: DataFrame, tables: dict[str, DataFrame], key: str = "file_id") -> DataFrame:
+    """What is wrong with each file's rows, from the rows that are to be written.
+
+    ``tables`` are ``estadistica`` and ``errores`` to be. Besides the counts of
+    ``load_reconciliation``: ``duplicate_lines``, keys that repeat, and ``refused_values``, those
+    that break a width or NOT NULL rule; null where there are none. Only keys and numbers are
+    shuffled, by the whole key, so a file of any size is spread.
+    """
+    def narrow(name: str) -> DataFrame:
+        frame = tables[name]
+        refused = F.size(_violations(frame, layout.WIDTHS[name], layout.NOT_NULL[name]))
+        line = next(c for c in layout.UNIQUE_KEYS[name] if c != key)
+        return frame.select(
+            key, F.lit(name == "estadistica").alias("is_visit"), F.col(line).alias("line"), refused.alias("refused")
+        )
+
+    rows = reduce(DataFrame.unionByName, [narrow(name) for name in tables])
+    each = rows.groupBy(key, "is_visit", "line").agg(
+        F.count(F.lit(1)).alias("copies"), F.sum("refused").alias("refused")
+    )
+    copies = F.col("copies")
+    counted = each.groupBy(key).agg(
+        F.sum(F.when(F.col("is_visit"), copies).otherwise(0)).alias("statistics_rows"),
+        F.sum(F.when(F.col("is_visit"), 0).otherwise(copies)).alias("errors_rows"),
+        F.nullif(F.count_if(copies > 1), F.lit(0)).alias("duplicate_lines"),
+        F.nullif(F.sum("refused"), F.lit(0)).alias("refused_values"),
     )
+    return _reconciled(expected, counted, key)
 
 
 def unreconciled_files(files: DataFrame) -> DataFrame:

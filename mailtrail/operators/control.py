@@ -197,6 +197,18 @@ def run_metrics(files: DataFrame) -> DataFrame:
     )
 
 
+def merged_counters(parts: DataFrame, by: str = "of_run") -> DataFrame:
+    """Counters of every run from partial rows: each run's own, and what later runs settled of its files."""
+    return parts.groupBy(F.col(by).alias("run_id")).agg(*[F.sum(c).alias(c) for c in RUN_COUNTERS])
+
+
+def settled_counters(changes: DataFrame) -> DataFrame:
+    """Partial counters of the runs whose files ``settled_deletions`` settles: successes, processed before."""
+    zeros = [F.lit(0).cast("bigint").alias(c) for c in RUN_COUNTERS if c != "files_success"]
+    settled = changes.filter(_SETTLED).groupBy(F.col("open_run_id").alias("of_run"))
+    return settled.agg(F.count(F.lit(1)).alias("files_success"), *zeros).select("of_run", *RUN_COUNTERS)
+
+
 def update_runs(runs: DataFrame, metrics: DataFrame) -> DataFrame:
     """Runs with fresh counters; a run without files keeps the counters it had, or zeros."""
     fresh = metrics.select("run_id", *[F.col(c).alias(f"_{c}") for c in RUN_COUNTERS])
@@ -392,10 +404,11 @@ def listing_changes(last: DataFrame, present: DataFrame) -> DataFrame:
 
     A path holds the same file while its contents do; where a listing does not know a checksum,
     while size and time do. ``open_file_id``, the archived file that was seen last and is not
-    settled, comes from the last listing.
+    settled, and ``open_run_id``, its run, come from the last listing.
     """
     facts = ["checksum_sha256", "size_bytes", "modified_at"]
-    before = last.select("file_path", "open_file_id", *[F.col(c).alias(f"_{c}") for c in facts])
+    opened = ["open_file_id", "open_run_id"]
+    before = last.select("file_path", *opened, *[F.col(c).alias(f"_{c}") for c in facts])
     both = before.withColumn("_was", F.lit(True)).join(
         present.select("file_path", *facts).withColumn("_is", F.lit(True)), "file_path", "full_outer"
     )
@@ -405,15 +418,18 @@ def listing_changes(last: DataFrame, present: DataFrame) -> DataFrame:
         & F.col("modified_at").eqNullSafe(F.col("_modified_at"))
     )
     return both.select(
-        "file_path", "open_file_id",
+        "file_path", *opened,
         F.when(F.col("_was").isNull(), "appeared").when(F.col("_is").isNull(), "gone")
         .when(alike, "same").otherwise("replaced").alias("change"),
     )
 
 
+_SETTLED = "open_file_id IS NOT NULL AND change IN ('gone', 'replaced')"
+
+
 def settled_deletions(changes: DataFrame) -> DataFrame:
     """Archived files whose source has gone from its folder, or has given way to another: file_id, file_path."""
-    return changes.filter("open_file_id IS NOT NULL AND change IN ('gone', 'replaced')").select(
+    return changes.filter(_SETTLED).select(
         F.col("open_file_id").alias("file_id"), "file_path"
     )
 

@@ -340,6 +340,27 @@ ORACLES: dict[str, str] = {
             count(*) FILTER (NOT is_valid AND error_code <> 'INVALID_INTEGER') AS errors_rows
           FROM strict GROUP BY file_id) AS c""",
     ),
+    "load_verdicts": with_ctes(
+        "strict rejects",
+        """, counted AS (SELECT file_id, count(*) AS records_read,
+             count(*) FILTER (is_valid) AS records_valid, count(*) FILTER (NOT is_valid) AS records_invalid,
+             count(*) FILTER (is_valid AND coalesce(plataformas, '') <> 'Android') AS statistics_rows,
+             count(*) FILTER (is_valid AND coalesce(plataformas, '') <> 'Android'
+               AND length(coalesce(links, baja)) > 20) AS wide_visits FROM strict GROUP BY file_id),
+           refused AS (SELECT file_id, count(*) AS n,
+             count(*) FILTER (error_code = 'INVALID_INTEGER') AS twice,
+             sum((length(coalesce(email, '')) > 320)::INT + (length(error_description) > 1000)::INT) AS wide,
+             sum(CASE WHEN error_code = 'INVALID_INTEGER' THEN (length(coalesce(email, '')) > 320)::INT
+               + (length(error_description) > 1000)::INT ELSE 0 END) AS wide_twice
+             FROM rejects GROUP BY file_id),
+           told AS (SELECT c.file_id, records_read, records_valid, records_invalid, statistics_rows,
+             coalesce(n + twice, 0) AS errors_rows,
+             CASE WHEN twice > 0 THEN twice END AS duplicate_lines,
+             CAST(nullif(wide_visits + coalesce(wide + wide_twice, 0), 0) AS BIGINT) AS refused_values
+             FROM counted AS c LEFT JOIN refused AS r ON r.file_id = c.file_id)
+           SELECT *, CASE WHEN statistics_rows <> records_valid OR errors_rows <> records_invalid
+             THEN 'RECONCILIATION_ERROR' END AS error_code FROM told""",
+    ),
     "file_layout_validation": with_ctes(
         "headers",
         f""", diffs AS ({_HEADER_DIFF}),
@@ -456,8 +477,11 @@ ORACLES: dict[str, str] = {
     ),
     "run_metrics": with_ctes(
         "registered metrics",
-        f"SELECT r.*, {_ZEROED} FROM registered AS r LEFT JOIN metrics AS m ON m.run_id = r.run_id",
+        "SELECT r.*, "
+        + ", ".join(f"coalesce(m.{c}, length(r.run_id) + {i}) AS {c}" for i, c in enumerate(_COUNTERS))
+        + " FROM registered AS r LEFT JOIN metrics AS m ON m.run_id = r.run_id",
     ),
+    "run_counters_merged": with_ctes("metrics", "SELECT * FROM metrics"),
     "run_final_status": with_ctes("final", "SELECT run_id, final_status FROM final"),
     "purge_candidates": with_ctes(
         "files",

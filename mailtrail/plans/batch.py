@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 import uuid
 from datetime import date, datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,9 +145,7 @@ def _load(spark, folder, house, run_id, reference, now, profile, scratch) -> Dat
         *[c for c in staged.columns if c not in ("file_name", "is_blank", *lines.SPLIT_KEYS, "position")],
     )
     accepted = control.loadable(records_only, prepared).join(ids, "source_file")
-    stats = house.write_run("estadistica", records.visits(accepted), run_id)
-    errors = house.write_run("errores", records.rejects(accepted, profile), run_id)
-    checked, stats, errors = _without_broken_files(house, run_id, prepared, stats, errors, scratch)
+    checked, stats, errors = _judged_tables(house, run_id, prepared, accepted, profile, scratch)
     loaded = written(
         control.file_disposition(prepared.join(checked, "file_id", "left")), f"{scratch}/loaded"
     )
@@ -162,16 +159,20 @@ def _load(spark, folder, house, run_id, reference, now, profile, scratch) -> Dat
     house.write_run("loaded", final.filter("archive_state IS NOT NULL").select(
         "file_id", "checksum_sha256", clock.at("load_finished").alias("load_finished_at")
     ), run_id)
-    events = _file_events(house, final.join(results, "file_id", "left"), run_id, clock)
+    told = final.join(results, "file_id", "left")
+    events = _file_events(house, told, run_id, clock)
+    counters = control.run_metrics(told).withColumnRenamed("run_id", "of_run")
     present = _with_checksums(listed, sums)
     if last is not None:
         changes = written(control.listing_changes(last, present), f"{scratch}/changes")
         events = events.unionByName(
             control.deletion_events(control.settled_deletions(changes), SETTLEMENT_SEQ, clock.at("detected"))
         )
+        counters = counters.unionByName(control.settled_counters(changes))
     else:
         changes = None
-    house.write_run("listing", _listing(present, final, changes), run_id)
+    house.write_run("run_counters", counters, run_id)
+    house.write_run("listing", _listing(present, final, changes, run_id), run_id)
     house.write_run("file_events", written(events, f"{scratch}/events"), run_id)
     return final
 
@@ -183,16 +184,16 @@ def _with_checksums(listed: DataFrame, sums: DataFrame) -> DataFrame:
     )
 
 
-def _listing(present: DataFrame, final: DataFrame, changes: DataFrame | None) -> DataFrame:
+def _listing(present: DataFrame, final: DataFrame, changes: DataFrame | None, run_id: str) -> DataFrame:
     """What lies in the folder, each path with the archived file of its contents that is not settled."""
-    archived = final.filter("archive_state = 'OK'").select("file_path", F.col("file_id").alias("_archived"))
-    listing = present.join(archived, "file_path", "left")
-    if changes is None:
-        return listing.withColumnRenamed("_archived", "open_file_id")
-    kept = changes.filter("change = 'same'").select("file_path", F.col("open_file_id").alias("_open"))
-    return listing.join(kept, "file_path", "left").withColumn(
-        "open_file_id", F.coalesce("_archived", "_open")
-    ).drop("_archived", "_open")
+    opened = final.filter("archive_state = 'OK'").select(
+        "file_path", F.col("file_id").alias("open_file_id"), F.lit(run_id).alias("open_run_id")
+    )
+    if changes is not None:
+        # A path that holds what it held is not archived again.
+        kept = changes.filter("change = 'same' AND open_file_id IS NOT NULL")
+        opened = opened.unionByName(kept.select(*opened.columns))
+    return present.join(opened, "file_path", "left")
 
 
 def _of_files(read, folder: str, files: DataFrame) -> DataFrame:
@@ -272,45 +273,36 @@ def _facts(looked_up, numbered, profile) -> DataFrame:
     )
 
 
-def _without_broken_files(house, run_id, prepared, stats, errors, scratch):
-    """Checks of what was written, per file, and the two tables without the files that fail.
+def _judged_tables(house, run_id, prepared, accepted, profile, scratch):
+    """Verdicts on the staged rows of each file, and the two tables of the files that pass, as written.
 
     A file fails if its rows are not those that were counted, repeat a key, or break a width
-    or NOT NULL rule; its row goes to the table ``reconciliation``, its records out of the run.
+    or NOT NULL rule, its control row included; its verdict goes to the table
+    ``reconciliation``, and none of its rows is written.
     """
-    counted = prepared.filter("status = 'PREPARED'").select(
-        "file_id", "records_read", "records_valid", "records_invalid"
-    )
-    tables = {"estadistica": stats, "errores": errors}
-
-    def per_file(found: list[DataFrame], name: str) -> DataFrame:
-        together = reduce(DataFrame.unionByName, [f.select("file_id") for f in found])
-        return together.groupBy("file_id").agg(F.count(F.lit(1)).alias(name))
-
-    repeated = [checks.duplicate_keys(t, *layout.UNIQUE_KEYS[n]) for n, t in tables.items()]
-    refused = [checks.table_violations(t, n) for n, t in tables.items()]
+    tables = {"estadistica": records.visits(accepted), "errores": records.rejects(accepted, profile)}
+    ready = prepared.filter("status = 'PREPARED'")
+    counted = ready.select("file_id", "records_read", "records_valid", "records_invalid")
+    own = checks.table_violations(ready.withColumnRenamed("file_path", "source_path"), "file_control")
+    own = own.groupBy("file_id").agg(F.count(F.lit(1)).alias("own_values"))
+    refused = F.coalesce(F.col("refused_values") + F.col("own_values"), "refused_values", "own_values")
     checked = written(
-        checks.load_reconciliation(counted, stats, errors)
-        .join(per_file(repeated, "duplicate_lines"), "file_id", "left")
-        .join(per_file(refused, "refused_values"), "file_id", "left"),
+        checks.load_verdicts(counted, tables).join(own, "file_id", "left")
+        .withColumn("refused_values", refused).drop("own_values"),
         f"{scratch}/checked",
     )
-    broken = checked.filter(
-        "error_code IS NOT NULL OR duplicate_lines IS NOT NULL OR refused_values IS NOT NULL"
-    )
+    is_broken = "error_code IS NOT NULL OR duplicate_lines IS NOT NULL OR refused_values IS NOT NULL"
+    broken = house.write_run("reconciliation", checked.filter(is_broken), run_id).select("file_id")
+    good = [
+        house.write_run(name, rows.join(broken, "file_id", "left_anti"), run_id) for name, rows in tables.items()
+    ]
+    judged = checked.filter(f"NOT ({is_broken})").agg(F.sum("statistics_rows"), F.sum("errors_rows")).first()
+    if [n or 0 for n in judged] != [rows.count() for rows in good]:
+        raise RuntimeError("rows that were written are not those that were judged")
     facts = checked.select(
         "file_id", "statistics_rows", "errors_rows", "duplicate_lines", "refused_values"
     )
-    if house.write_run("reconciliation", broken, run_id).isEmpty():
-        return facts, stats, errors
-    kept = []
-    for name, rows in tables.items():
-        good = written(
-            rows.join(broken.select("file_id"), "file_id", "left_anti"), f"{scratch}/good_{name}"
-        )
-        house.drop_run(run_id, name)
-        kept.append(house.write_run(name, good, run_id))
-    return facts, *kept
+    return facts, *good
 
 
 def _update_visitors(house, stats, errors, loaded, run_id, scratch) -> DataFrame:

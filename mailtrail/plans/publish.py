@@ -152,17 +152,20 @@ class Warehouse:
         """Make a run visible: its log entry is its last write. Returns its version.
 
         ``read_at`` is the log's version when the run began to read. A run that was published
-        since and has loaded one of the same contents makes this one fail; it can be repeated.
+        since and has loaded one of the same contents, or settled one of the same files, makes
+        this one fail; it can be repeated.
         """
         def unless_overtaken() -> dict:
             published = self.log.entries("publish")
             if run_id in [e["run_id"] for e in published]:
                 raise LostRace(f"run {run_id} is published")
             newer = [e["run_id"] for e in published if e["version"] > read_at]
-            theirs, ours = self._read("loaded", newer), self.run_rows("loaded", run_id)
-            if theirs is not None and ours is not None:
-                if not ours.join(theirs, "checksum_sha256", "left_semi").isEmpty():
-                    raise LostRace(f"files of run {run_id} were published by {', '.join(newer)}")
+            settled = F.col("event") == "source_deleted"
+            for table, key, which in (("loaded", "checksum_sha256", F.lit(True)), ("file_events", "file_id", settled)):
+                theirs, ours = self._read(table, newer), self.run_rows(table, run_id)
+                if theirs is not None and ours is not None:
+                    if not ours.filter(which).join(theirs.filter(which), key, "left_semi").isEmpty():
+                        raise LostRace(f"files of run {run_id} were published by {', '.join(newer)}")
             return {}
 
         return self.log.append("publish", unless_overtaken, run_id=run_id, folder=folder, reference=reference)
@@ -259,14 +262,14 @@ class Warehouse:
         return control.fold_files(_unpartitioned(events)).filter("detected_at IS NOT NULL")
 
     def runs(self) -> DataFrame | None:
-        """Current run control state with counters from the files."""
-        events, files = self._read("run_events"), self.files()
+        """Current run control state, counters added up from the rows that runs left: no file is looked at."""
+        events, counters = self._read("run_events"), self.table("run_counters")
         if events is None:
             return None
         folded = control.fold_runs(events)
-        if files is None:
+        if counters is None:
             return folded
-        return control.update_runs(folded, control.run_metrics(files))
+        return control.update_runs(folded, control.merged_counters(counters))
 
     # Compaction
 

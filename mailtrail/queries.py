@@ -290,9 +290,34 @@ def run_state_fold(spark, sf_dir):
 
 
 def run_metrics(spark, sf_dir):
-    return control.update_runs(
-        feeds.registered_runs(spark, sf_dir), control.run_metrics(_files(spark, sf_dir))
+    """Runs come with older counters, which those without files keep."""
+    older = {c: F.length("run_id").cast("bigint") + i for i, c in enumerate(control.RUN_COUNTERS)}
+    runs = feeds.registered_runs(spark, sf_dir).withColumns(older)
+    return control.update_runs(runs, control.run_metrics(_files(spark, sf_dir)))
+
+
+def run_counters_merged(spark, sf_dir):
+    """Each run's counters as it left them, and what was settled of its files since."""
+    files = _files(spark, sf_dir)
+    late = F.expr("status = 'SUCCESS' AND file_id % 2 = 0")
+    first = files.withColumn("status", F.when(late, "BACKED_UP").otherwise(F.col("status")))
+    changes = files.filter(late).select(
+        F.col("file_id").alias("open_file_id"), F.col("run_id").alias("open_run_id"), F.lit("gone").alias("change")
     )
+    own = control.run_metrics(first).withColumnRenamed("run_id", "of_run")
+    return control.merged_counters(own.unionByName(control.settled_counters(changes)))
+
+
+def load_verdicts(spark, sf_dir):
+    """Visits lose what one platform sent, rejects are there twice, and links are too long for a width."""
+    validated = _staged(spark, sf_dir)
+    visits = records.visits(validated).filter("coalesce(plataformas, '') <> 'Android'")
+    rejects = records.rejects(validated)
+    tables = {
+        "estadistica": visits.withColumn("baja", F.coalesce("links", "baja")),
+        "errores": rejects.unionByName(rejects.filter("error_code = 'INVALID_INTEGER'")),
+    }
+    return checks.load_verdicts(records.file_metrics(validated, "file_id"), tables)
 
 
 def run_final_status(spark, sf_dir):
@@ -602,7 +627,7 @@ QUERIES: dict[str, Query] = {
         rejected_files, run_summary, run_acceptance, classify_incidents, run_alerts,
         alert_messages, file_manifest, candidate_files, landing_glob_check, file_checksums,
         scan_csv_reports, scan_lines_numbered, staging_size_check, archive_verification,
-        roundtrip_estadistica, roundtrip_errores, roundtrip_visitante, listing_changes,
+        roundtrip_estadistica, roundtrip_errores, roundtrip_visitante, listing_changes, run_counters_merged, load_verdicts,
         file_state_checkpoint, batch_rerun_visits, batch_rerun_visitors,
     )
 }

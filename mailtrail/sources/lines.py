@@ -3,8 +3,9 @@
 A line's number is its position inside its file split plus the lines of the splits before
 it. Positions come from one pass over the text, which is written to the scratch folder, so
 that numbers never depend on two scans being split alike. What is joined back is one row
-per split; Spark broadcasts it only while its written size is below the session threshold,
-and otherwise joins on (file, split), whose groups are no larger than a split.
+per split: up to ``MAX_SPLITS`` of them, 100 TB or more of text, go to all tasks, so that no
+line is moved; beyond that lines are joined on (file, split), whose groups are no larger than
+a split.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from .. import layout
 from ..session import scratch_folder
 
 SPLIT_KEYS = ["file_name", "split_start"]
+#: Splits whose offsets, some 50 bytes each, are sent to all tasks.
+MAX_SPLITS = 1_000_000
 
 
 def positioned_lines(
@@ -49,7 +52,9 @@ def split_offsets(positioned: DataFrame) -> DataFrame:
 
 
 def with_line_numbers(positioned: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Replace split and position by the 1-based physical line number."""
+    """Replace split and position by the 1-based physical line number; ``offsets`` is a written table."""
+    if offsets.count() <= MAX_SPLITS:
+        offsets = F.broadcast(offsets)
     return positioned.join(offsets, SPLIT_KEYS).select(
         (F.col("lines_before") + F.col("position") - F.col("first_position") + 1)
         .cast("bigint").alias("line_number"),
@@ -60,7 +65,7 @@ def with_line_numbers(positioned: DataFrame, offsets: DataFrame) -> DataFrame:
 def written(frame: DataFrame, path: str) -> DataFrame:
     """Write as Parquet and read back: lineage ends, sizes are known."""
     frame.write.mode("overwrite").parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def numbered_lines(
