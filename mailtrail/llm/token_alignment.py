@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -29,15 +29,15 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_transducer import Codec, Memo, plain_text
+from .bpe_transducer import Codec, plain_text
 from .shared import RowNumbers, kept, lists, pieces
 
 SHARE = 1 << 16
 #: Bytes of texts that are aligned at once; a longer text is aligned alone.
 SLICE_BYTES = 1 << 18
-#: Runs of blanks with a word that are remembered, twice as many at most, and the longest such.
-UNITS, UNIT_CHARS = 150_000, 48
-_UNIT = re.compile(" *[^ ]+| +")
+#: A longer text is split for B before blanks between other characters.
+PART_CHARS = 1 << 18
+_BORDER = re.compile(r"(?<=[^ ]) (?=[^ ])")
 #: What a model's file says of a normaliser that leaves texts as they are: its name, and no table.
 _IDENTITY = b"\n\x08identity\x12\x00"
 _BLANK = "▁"
@@ -82,9 +82,8 @@ class ByteBpe:
 class Pieces:
     """B: a sentencepiece model that adds a blank before the text.
 
-    Where blanks only begin its pieces, no piece goes on across a blank after another
-    character, and where it does not normalise texts, each run of blanks with the word after it
-    is encoded alike alone. Common ones are remembered.
+    Where blanks only begin its pieces and it does not normalise texts, no piece goes on across
+    a blank after another character: a long text is then encoded in parts.
     """
 
     def __init__(self, path: str):
@@ -96,29 +95,24 @@ class Pieces:
         ]
         plain = _IDENTITY in self.model.serialized_model_proto()
         self.apart = plain and not any(_BLANK in name.lstrip(_BLANK) for name in names)
-        self.blank = array("i", [self.model.piece_to_id(_BLANK)]).tobytes()
-        self.known = Memo(UNITS)
-
-    def _units(self, text: str) -> list[bytes]:
-        # The blank before a unit is the one that the model adds.
-        known = self.known
-        units = _UNIT.findall(" " + text) if self.apart else [" " + text]
-        found = [known.new.get(unit) or known.get(unit) for unit in units]
-        missing = {unit[1:]: unit for unit, ids in zip(units, found) if ids is None}
-        if not missing:
-            return found
-        told = {" ": self.blank}  # nothing is left of it for the model
-        missing.pop("", None)
-        for unit, ids in zip(missing.values(), self.model.encode(list(missing))):
-            told[unit] = array("i", ids).tobytes()
-            if len(unit) <= UNIT_CHARS:
-                self.known.put(unit, told[unit])
-        return [told[unit] if ids is None else ids for unit, ids in zip(units, found)]
+
+    def _parts(self, text: str) -> Iterator[str]:
+        """Parts that are encoded alike alone; the blank between two is the one that the model adds."""
+        at = 0
+        while self.apart and len(text) - at > PART_CHARS and (border := _BORDER.search(text, at + PART_CHARS)):
+            yield text[at : border.start()]
+            at = border.end()
+        yield text[at:]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and how many each has; those of an empty text are none."""
-        found = [b"".join(self._units(text)) if text else b"" for text in texts]
-        return np.frombuffer(b"".join(found), np.int32), np.array([len(x) // 4 for x in found], np.int64)
+        found, counts = array("i"), []
+        for text in texts:
+            before = len(found)
+            for part in self._parts(text) if text else ():
+                found.extend(self.model.encode(part))
+            counts.append(len(found) - before)
+        return np.frombuffer(found, np.int32) if found else np.zeros(0, np.int32), np.array(counts, np.int64)
 
 
 class Strings:

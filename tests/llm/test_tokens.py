@@ -266,21 +266,16 @@ def test_identity_is_of_equal_bytes():
     assert own.a.codec.transducer.ranks == codes  # the two files hold one vocabulary
 
 
-def test_words_alone_are_encoded_alike(spark):
-    """With what was met before, what is new, and nothing remembered."""
+@pytest.mark.parametrize("most", [1, 7, 100])
+def test_parts_of_long_texts_are_encoded_alike(spark, monkeypatch, most):
     own = token_alignment.aligner(JSON, PATTERN, PIECES)
     texts = [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
-    texts += ["One two  three\n four, five ▁ six é seven " * 50, "  ", " a", "a ", "   a   b", "日本 語", "\u2581", " " * 500 + "x"]
+    texts += ["One two  three\n four, five ▁ six é seven " * 50, "  ", " a", "a ", "   a   b", "日本 語", "\u2581", " " * 500 + "x",
+              "tab\tend ", "\n \n"]
     whole = sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(texts)
-    assert own.b.apart
-    for _ in range(2):
-        ids, counts = own.b.encode(texts)
-        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == whole
-    own.b.apart = False
-    try:
-        assert own.b.encode(texts)[0].tolist() == ids.tolist()
-    finally:
-        own.b.apart = True
+    monkeypatch.setattr(token_alignment, "PART_CHARS", most)
+    ids, counts = own.b.encode(texts)
+    assert own.b.apart and [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == whole
 
 
 # Source audit
