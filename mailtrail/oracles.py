@@ -754,4 +754,23 @@ ORACLES |= {
            UNION ALL SELECT * FROM ({_metrics('visits', REFERENCE)}) AS others
            WHERE email NOT IN (SELECT email FROM visits WHERE file_id % 2 = 1)""",
     ),
+    # Ids go by name within a run, odd reports first; a visitor is new in the first file that has it.
+    "batch_rerun_files": with_ctes(
+        "strict",
+        """, placed AS (SELECT file_id AS number, source_file, count(*) AS records_read,
+             count(*) FILTER (is_valid) AS records_valid, count(*) FILTER (NOT is_valid) AS records_invalid,
+             row_number() OVER (ORDER BY file_id % 2, source_file) AS file_id
+             FROM strict GROUP BY strict.file_id, source_file),
+           met AS (SELECT DISTINCT p.file_id, email FROM strict AS s JOIN placed AS p ON p.number = s.file_id
+             WHERE is_valid),
+           firsts AS (SELECT email, min(file_id) AS file_id FROM met GROUP BY email),
+           brought AS (SELECT m.file_id, count(*) AS affected,
+             count(*) FILTER (f.file_id = m.file_id) AS inserted
+             FROM met AS m JOIN firsts AS f ON f.email = m.email GROUP BY m.file_id)
+           SELECT p.file_id, CASE WHEN number % 2 = 1 THEN 'run_even' ELSE 'run_odd' END AS run_id,
+             source_file AS file_name, 'BACKED_UP' AS status, records_read, records_valid, records_invalid,
+             records_valid AS records_loaded, coalesce(inserted, 0) AS visitors_inserted,
+             coalesce(affected - inserted, 0) AS visitors_updated, CAST(0 AS BIGINT) AS retry_count
+           FROM placed AS p LEFT JOIN brought AS b ON b.file_id = p.file_id""",
+    ),
 }

@@ -608,6 +608,14 @@ def batch_rerun_visitors(spark, sf_dir):
     return _rerun_house(spark, sf_dir).visitors()
 
 
+def batch_rerun_files(spark, sf_dir):
+    """What the runs tell of each file: its id, its records, and the visitors it brought."""
+    return _rerun_house(spark, sf_dir).files().select(
+        "file_id", "run_id", "file_name", "status", *control.RECORD_COUNTERS, "visitors_inserted",
+        "visitors_updated", "retry_count",
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -628,6 +636,6 @@ QUERIES: dict[str, Query] = {
         alert_messages, file_manifest, candidate_files, landing_glob_check, file_checksums,
         scan_csv_reports, scan_lines_numbered, staging_size_check, archive_verification,
         roundtrip_estadistica, roundtrip_errores, roundtrip_visitante, listing_changes, run_counters_merged, load_verdicts,
-        file_state_checkpoint, batch_rerun_visits, batch_rerun_visitors,
+        file_state_checkpoint, batch_rerun_visits, batch_rerun_visitors, batch_rerun_files,
     )
 }
