@@ -28,8 +28,10 @@ SLOTS, STEMS = 1 << 20, (4, 5, 6)
 #: A term of the model is in so many rows of the sample at least; a frequent one is left to the penalty.
 LEAST_ROWS = 3
 FACTORS, SAMPLE = 6, 2500
+#: Terms in this share of the sample's rows have factors whatever their weight; others once they have a weight.
+COMMON = 0.05
 #: The L1 penalty is for each square root of the sample's rows, as chance gradients grow.
-EPOCHS, BATCH, RATE, L1, L2, FACTOR_RATE, FACTOR_PENALTY = 10, 64, 0.5, 0.2, 0.0, 0.05, 0.02
+EPOCHS, BATCH, RATE, L1, L2, FACTOR_RATE, FACTOR_PENALTY, START = 10, 64, 0.5, 0.2, 0.0, 0.05, 0.02, 0.05
 
 
 class Model(NamedTuple):
@@ -97,9 +99,11 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     order = F.xxhash64("key")
     cut = F.when(F.col("label") == 1, sample / counts[1]).otherwise(sample / counts[0]) * (1 << 20)
     drawn = labels.filter(F.pmod(order, F.lit(1 << 20)) < cut).orderBy(order, "key").limit(3 * sample)
+    # 3 * sample rows at most; of several texts of one key the one whose digest comes first.
+    matching = documents.join(F.broadcast(drawn), "key").select("key", "label", F.coalesce("text", F.lit("")).alias("text"))
     told = (
-        documents.join(F.broadcast(drawn), "key")  # 3 * sample rows at most
-        .select("label", F.coalesce("text", F.lit("")).alias("text"))
+        matching.groupBy("key").agg(F.min_by(F.struct("label", "text"), F.sha2("text", 256)).alias("row"))
+        .select("row.label", "row.text")
         .mapInArrow(_sample_rows, "label int, slots array<int>").toArrow()
     )
     lists_ = told.column("slots").combine_chunks()
@@ -121,10 +125,11 @@ def _train(slots: np.ndarray, first: np.ndarray, label: np.ndarray) -> Model:
     keep = often[at]
     first = np.concatenate([[0], np.cumsum(keep)])[first]
     at, known = place[at[keep]], known[often]
+    # A pair can tell what neither of its words does, if both are common enough for their pair to be met often.
+    common = rows[often] >= COMMON * len(label)
     n = len(known)
     z, square, weights = np.zeros(n), np.zeros(n), np.zeros(n)
-    start = random.normal(0, 0.05, (n, FACTORS))
-    factors, factor_square = start.copy(), np.ones((n, FACTORS))
+    factors, factor_square = random.normal(0, START, (n, FACTORS)), np.ones((n, FACTORS))
     bias, bias_square = 0.0, 1.0
     for _ in range(EPOCHS):
         order = random.permutation(len(label))
@@ -133,7 +138,7 @@ def _train(slots: np.ndarray, first: np.ndarray, label: np.ndarray) -> Model:
             many = first[rows + 1] - first[rows]
             begin = np.concatenate([[0], np.cumsum(many)])
             spot = at[np.repeat(first[rows] - begin[:-1], many) + np.arange(begin[-1])]
-            active = weights[spot] != 0
+            active = common[spot] | (weights[spot] != 0)
             own = factors[spot] * active[:, None]
             total = _sums(own, begin)
             margin = bias + _sums(weights[spot], begin) + (total**2 - _sums(own**2, begin)).sum(axis=1) / 2
@@ -159,7 +164,7 @@ def _train(slots: np.ndarray, first: np.ndarray, label: np.ndarray) -> Model:
                     factors[used, f] -= FACTOR_RATE * g / np.sqrt(factor_square[used, f])
             bias_square += error.sum() ** 2
             bias -= RATE * error.sum() / np.sqrt(bias_square)
-    live = weights != 0
+    live = common | (weights != 0)
     return Model(float(bias), known[live], weights[live], factors[live])
 
 

@@ -258,6 +258,24 @@ def test_toxicity_pairs_and_odd_rows(spark, odd, nothing):
     assert toxicity_fm.score(nothing, model, ["doc_id"]).count() == 0
 
 
+def test_toxicity_of_pairs_with_equal_single_rates(spark):
+    """Both words are as common in toxic texts as in others; only both or neither is toxic. One key has many texts."""
+    rng = random.Random(5)
+    filler = [f"word{k}" for k in range(300)]
+    rows = []
+    for i in range(6000):
+        a = rng.random() < 0.5
+        b = a if i % 2 else not a
+        rows.append((i, " ".join(rng.sample(filler, 12) + ["insult"] * a + ["group"] * b), i % 2))
+    frame = spark.createDataFrame(rows, "key bigint, text string, label int")
+    learned = frame.filter("key < 5000")
+    texts = learned.select("key", "text")
+    repeated = texts.unionByName(texts.filter("key = 7").withColumn("text", F.explode(F.array_repeat("text", 50))))
+    model = toxicity_fm.fit(repeated, learned.select("key", "label"))
+    scored = toxicity_fm.score(frame.filter("key >= 5000"), model, ["key", "label"]).collect()
+    assert np.mean([(r.score >= 0.5) == r.label for r in scored]) > 0.9
+
+
 def test_toxicity_of_frequent_terms(spark):
     """One slur in most toxic texts: half the sample's rows are toxic, so over a quarter hold it."""
     rng = random.Random(11)
