@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from hashlib import sha256
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -29,6 +30,9 @@ PATHS, SALTS = 8, 16
 #: gives this share of the text of the page's own best container.
 NEARLY_ALL, LEAST_SHARE = 0.9, 0.1
 
+#: A longer path of tags and classes is written as a digest.
+PATH_CHARS = 4000
+
 # HTML's elements by how they break text, and words that name what is no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math object".split())
@@ -56,13 +60,8 @@ CLOSES_ITSELF = {
     "th": ("td", "th"), "option": ("option",),
 }
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?/][^>]*>",
-    re.S,
-)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_QUOTE_OR_END = re.compile("[\"'>]")
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
@@ -83,6 +82,56 @@ class Page(NamedTuple):
     blocks: list[Block]
 
 
+class Markup(NamedTuple):
+    start: int
+    end: int
+    closes: bool
+    #: Lower-case name, empty for comments and declarations.
+    tag: str
+    attributes: str
+
+
+class _Scanner:
+    """Markup of a page in its order, in time that follows the page's length.
+
+    A ``>`` in quotes ends no tag. From the first tag whose quotes never close on, quotes are
+    characters like others; from the first ``<`` that no ``>`` follows on, all is text.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.quotes, self.last = html, True, html.rfind(">")
+
+    def _end(self, at: int) -> int:
+        """Place of the ``>`` of a tag whose attributes start here, or -1."""
+        place = at
+        while self.quotes and (found := _QUOTE_OR_END.search(self.html, place)):
+            if found[0] == ">":
+                return found.start()
+            place = self.html.find(found[0], found.end()) + 1
+            if not place:
+                break
+        self.quotes = False
+        return self.html.find(">", at)
+
+    def next(self, at: int) -> Markup | None:
+        html = self.html
+        while (start := html.find("<", at)) >= 0:
+            if html.startswith("<!--", start):
+                end = html.find("-->", start + 4)
+                return Markup(start, end + 3 if end >= 0 else len(html), False, "", "")
+            if start > self.last:
+                return None
+            if name := _NAME.match(html, start):
+                end = self._end(name.end())
+                return Markup(start, end + 1, bool(name[1]), name[2].lower(), html[name.end() : end])
+            if html[start + 1 : start + 2] in ("!", "?", "/"):
+                end = html.find(">", start + 2)
+                if end >= 0:
+                    return Markup(start, end + 1, False, "", "")
+            at = start + 1
+        return None
+
+
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): references.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)}
 
@@ -142,9 +191,10 @@ def parse(html: str, by_words: bool = True) -> Page:
         return 0
 
     end = len(html)
+    scanner = _Scanner(html)
     while at < end:
-        found = _TOKEN.search(html, at)
-        stop = found.start() if found else end
+        found = scanner.next(at)
+        stop = found.start if found else end
         if stop > at and not stack[-1][2]:
             part = html[at:stop]
             text.append(part)
@@ -152,18 +202,15 @@ def parse(html: str, by_words: bool = True) -> Page:
                 linked += len(part.strip())
         if not found:
             break
-        at = found.end()
-        tag = found[2] or found[5]
+        at, tag, attributes = found.end, found.tag, found.attributes
         if not tag:
             continue
-        tag = tag.lower()
-        if found[1] or found[4]:
+        if found.closes:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == tag:
                     close(depth)
                     break
             continue
-        attributes = found[3] or found[6] or ""
         if tag in RAW:
             closing = re.compile(rf"</{re.escape(tag)}[^>]*>|\Z", re.I).search(html, at)
             at = closing.end() if not attributes.endswith("/") else at
@@ -176,7 +223,8 @@ def parse(html: str, by_words: bool = True) -> Page:
                 close(depth)
             flush()
         if tag in VOID:
-            text.append(" ")
+            if tag == "br":  # the others stand inside words
+                text.append(" ")
             continue
         if tag in ("html", "body"):  # the root, written or not
             continue
@@ -188,7 +236,9 @@ def parse(html: str, by_words: bool = True) -> Page:
             name = ".".join([tag, *sorted(set(_DIGITS.sub("", told.get("class", "")).lower().split()))])
             page.parents.append(container)
             page.tags.append(tag)
-            page.paths.append(f"{page.paths[container]}>{name}")
+            path = f"{page.paths[container]}>{name}"
+            # The path of a very deep container goes on from a digest: equal paths stay equal.
+            page.paths.append(path if len(path) <= PATH_CHARS else "#" + sha256(path.encode()).hexdigest())
             container = len(page.paths) - 1
         if tag == "a":
             links += 1

@@ -3,13 +3,15 @@
 The terms of a text are its distinct words and the words' stems (first bytes), hashed into ``SLOTS``
 places. Each has a weight, and ``FACTORS`` numbers whose products are the weights of pairs, so that
 two terms can mean together what neither means alone. Weights are learned by FTRL with an L1
-penalty, which leaves most of them 0; a term's factors are learned only while its weight is not.
+penalty, which leaves most of them 0. A term has factors if it is common, since a pair may tell
+what neither of its words does, or while it has a weight.
 
 The model is fitted on the driver, on a sample bounded by ``SAMPLE`` rows a class; the intercept
 then makes up for the classes' shares in the sample. Every word of every text counts in a score.
 
 A null or empty text has the score of no terms. Without labels of both classes the score is
-the share of toxic labels, 0 without any. A key that recurs among the documents is learned as often. Repeated rows are scored alike, row by row.
+the share of toxic labels, 0 without any. Of several texts of one key one is learned,
+that of the least digest. Repeated rows are scored alike, row by row.
 """
 
 from __future__ import annotations

@@ -501,6 +501,25 @@ def test_nearest(spark, monkeypatch):
 
 # --- pipeline --------------------------------------------------------------------------------
 
+@pytest.mark.parametrize("part", [
+    "<a ", '<a "', '<a ">" ', "<a '> \" ", "</ ", "<!-", "<", "<!--", "<script>", "<p>a", "<a href=x>", "<div>", "<td class=a>",
+    "<p>x<a href='>'>y</a>",
+])
+def test_pages_of_broken_markup(part):
+    """Half a megabyte of it takes time in proportion, not in its square."""
+    import time
+    begun = time.process_time()
+    html_consensus.extract(part * (500_000 // len(part)), [])
+    assert time.process_time() - begun < 20
+
+
+def test_markup_in_words():
+    page = "<article><p>super<wbr>cali x<img src='a>b'>y a<br>b <i>c</i>d</p><p title='x>y'>e &lt;f&gt;</p></article>"
+    assert html_consensus.extract(page, []) == "supercali xy a b cd\ne <f>"
+    # Quotes that never close hide no end of a tag.
+    assert html_consensus.extract("<article><p class=\"a>one</p><p>two</p></article>", []).split() == ["one", "two"]
+
+
 def test_pipeline_stages(spark, odd, nothing, tmp_path):
     for n, docs in enumerate((odd, nothing)):
         columns = docs.columns
