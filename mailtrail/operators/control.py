@@ -182,19 +182,35 @@ def register_files(
     )
 
 
-def run_metrics(files: DataFrame) -> DataFrame:
-    """Counters of every run from its files."""
+def _counted() -> list[Column]:
     def having(*statuses: str) -> Column:
         return F.count_if(F.col("status").isin(*statuses))
 
-    return files.groupBy("run_id").agg(
+    return [
         F.count(F.lit(1)).alias("files_detected"),
         having(*layout.PROCESSED_STATUSES).alias("files_processed"),
         having("SUCCESS").alias("files_success"),
         having("REJECTED_LAYOUT").alias("files_rejected"),
         having("FAILED").alias("files_failed"),
         *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in RECORD_COUNTERS],
-    )
+    ]
+
+
+def _ended() -> Column:
+    """The status that its files give a run."""
+    failed = F.bool_or(F.col("status").isin(layout.RUN_FAILING_STATUSES))
+    rejected = F.bool_or(F.col("status") == "REJECTED_LAYOUT")
+    return F.when(failed, "FAILED").when(rejected, "PARTIAL_SUCCESS").otherwise("SUCCESS").alias("final_status")
+
+
+def run_metrics(files: DataFrame) -> DataFrame:
+    """Counters of every run from its files."""
+    return files.groupBy("run_id").agg(*_counted())
+
+
+def run_outcomes(files: DataFrame) -> DataFrame:
+    """Counters and final status of every run that has files, from one grouping."""
+    return files.groupBy("run_id").agg(*_counted(), _ended())
 
 
 def merged_counters(parts: DataFrame, by: str = "of_run") -> DataFrame:
@@ -210,27 +226,28 @@ def settled_counters(changes: DataFrame) -> DataFrame:
 
 
 def update_runs(runs: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Runs with fresh counters; a run without files keeps the counters it had, or zeros."""
-    fresh = metrics.select("run_id", *[F.col(c).alias(f"_{c}") for c in RUN_COUNTERS])
+    """Runs with fresh counters; a run without files keeps the counters it had, or zeros.
+
+    With ``run_outcomes`` as metrics also with ``final_status``, SUCCESS for a run without files.
+    """
+    told = [c for c in metrics.columns if c == "final_status"]
+    fresh = metrics.select("run_id", *[F.col(c).alias(f"_{c}") for c in (*RUN_COUNTERS, *told)])
     joined = runs.join(fresh, "run_id", "left")
     kept = [c for c in runs.columns if c not in RUN_COUNTERS]
     counters = [
         F.coalesce(F.col(f"_{c}"), *([F.col(c)] if c in runs.columns else []), F.lit(0)).alias(c)
         for c in RUN_COUNTERS
     ]
-    return joined.select(*kept, *counters)
+    return joined.select(
+        *kept, *counters, *[F.coalesce(f"_{c}", F.lit("SUCCESS")).alias(c) for c in told]
+    )
 
 
 def final_status(runs: DataFrame, files: DataFrame) -> DataFrame:
     """(run_id, final_status) from the statuses of the run's files."""
-    flags = files.groupBy("run_id").agg(
-        F.bool_or(F.col("status").isin(layout.RUN_FAILING_STATUSES)).alias("_failed"),
-        F.bool_or(F.col("status") == "REJECTED_LAYOUT").alias("_rejected"),
-    )
-    return runs.select("run_id").join(flags, "run_id", "left").select(
-        "run_id",
-        F.when(F.col("_failed"), "FAILED").when(F.col("_rejected"), "PARTIAL_SUCCESS")
-        .otherwise("SUCCESS").alias("final_status"),
+    ended = files.groupBy("run_id").agg(_ended())
+    return runs.select("run_id").join(ended, "run_id", "left").select(
+        "run_id", F.coalesce("final_status", F.lit("SUCCESS")).alias("final_status")
     )
 
 

@@ -47,7 +47,11 @@ def _staged(spark: SparkSession, sf_dir: str, profile: RuleProfile = STRICT) ->
 
 
 def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.visits(_staged(spark, sf_dir))
+    return records.visits(_validated(spark, sf_dir))
+
+
+def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.rejects(_validated(spark, sf_dir))
 
 
 def _history_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -68,11 +72,9 @@ def _runs(
     """Registered runs with the counters and final status their files give them."""
     files = _files(spark, sf_dir)
     runs = feeds.registered_runs(spark, sf_dir) if registered is None else registered
-    counted = control.update_runs(runs, control.run_metrics(files))
+    counted = control.update_runs(runs, control.run_outcomes(files))
     current = F.when(F.col("end_time").isNull(), "RUNNING").otherwise(F.col("final_status"))
-    return counted.join(control.final_status(runs, files), "run_id").select(
-        *counted.columns, current.alias("status")
-    )
+    return counted.withColumn("status", current).drop("final_status")
 
 
 # --- text, dates and rules over the report fields ------------------------------------
@@ -134,7 +136,7 @@ def error_descriptions(spark, sf_dir):
 # --- visits, rejects, visitors ---------------------------------------------------------
 
 def estadistica(spark, sf_dir):
-    return records.visits(_validated(spark, sf_dir))
+    return _visits(spark, sf_dir)
 
 
 def estadistica_lenient(spark, sf_dir):
@@ -142,7 +144,7 @@ def estadistica_lenient(spark, sf_dir):
 
 
 def errores(spark, sf_dir):
-    return records.rejects(_validated(spark, sf_dir))
+    return _rejects(spark, sf_dir)
 
 
 def errores_lenient(spark, sf_dir):
@@ -186,11 +188,11 @@ def visitor_upsert_counts(spark, sf_dir):
 
 
 def error_distribution(spark, sf_dir):
-    return records.error_distribution(records.rejects(_staged(spark, sf_dir)))
+    return records.error_distribution(_rejects(spark, sf_dir))
 
 
 def reject_detail(spark, sf_dir):
-    return reports.reject_detail(records.rejects(_staged(spark, sf_dir)))
+    return reports.reject_detail(_rejects(spark, sf_dir))
 
 
 def batch_reconciliation(spark, sf_dir):
@@ -577,7 +579,7 @@ def roundtrip_estadistica(spark, sf_dir):
 
 def roundtrip_errores(spark, sf_dir):
     path = f"{scratch_folder(spark, 'tables')}/errores"
-    publish.write_table(records.rejects(_staged(spark, sf_dir)), path)
+    publish.write_table(_rejects(spark, sf_dir), path)
     return spark.read.parquet(path)
 
 
