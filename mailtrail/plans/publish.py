@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import layout
-from ..operators import control, visitors
+from ..operators import control, reports, visitors
 from .commits import CommitLog, LostRace
 
 PARTITIONS = {"estadistica": ["event_year", "event_month"]}
@@ -271,6 +271,16 @@ class Warehouse:
             return folded
         return control.update_runs(folded, control.merged_counters(counters))
 
+    def register_views(self) -> list[str]:
+        """The reporting views by name in the session's SQL; none before there is a run with files."""
+        files, runs = self.files(), self.runs()
+        if files is None or runs is None:
+            return []
+        views = reports.report_views(files, runs)
+        for name, view in views.items():
+            view.createOrReplaceTempView(name)
+        return sorted(views)
+
     # Compaction
 
     def runs_since_compaction(self) -> int:

@@ -109,6 +109,10 @@ def test_a_late_run_keeps_its_visitors(place):
     assert go("r1", "old", minute=50) == "SUCCESS" and go("r2", "new", minute=55) == "SUCCESS"
     assert rows(house.visitors()) == wanted and house.table("estadistica").count() == 4
     assert [r["run_id"] for r in house.published().orderBy("version").collect()] == ["r2", "r1"]
+    assert house.register_views() == ["file_operational_detail", "monthly_summary", "run_operational_summary"]
+    told = house.spark.sql("SELECT total_runs, files_detected, records_loaded FROM monthly_summary").collect()
+    assert [tuple(r) for r in told] == [(2, 2, 4)]
+    assert house.spark.sql("SELECT DISTINCT operational_category FROM file_operational_detail").collect()[0][0] == "IN_PROGRESS"
 
 
 def test_two_runs_at_once(place, monkeypatch):

@@ -5,8 +5,8 @@ import hashlib
 from pyspark.sql import functions as F
 
 from mailtrail import layout
-from mailtrail.operators import archive, layout_gate
-from mailtrail.sources import landing, lines
+from mailtrail.operators import archive, layout_gate, records
+from mailtrail.sources import csv_reports, landing, lines
 
 HEADER = layout.REPORT_HEADER
 
@@ -113,3 +113,19 @@ def test_archive_states(spark, tmp_path):
         "report_5.txt": "OK", "report_9.txt": "OK",
     }
     assert rows.filter(name == "report_0.txt").first().archive_name == "report_0_run1.zip"
+
+
+def test_csv_scan_is_validated(spark, tmp_path):
+    """The permissive scan under the lenient rules: quoted fields, short lines, blank lines."""
+    lines = [
+        "a@example.com,,,,08/02/2013 18:30,-,1,0,-,2,0,\"x,y\",-,-,-", "no-at-sign,,,,08/02/2013 18:30,-,0,0,-,0,0,-,-,-,-",
+        "", "b@example.com,,,,99/99/2013 18:30,-,ABC,0,-,0,0,-,-,-,-", "c@example.com,,,,08/02/2013 18:30",
+    ]
+    folder = put(tmp_path, report_1="\n".join([HEADER, *lines, ""]).encode())
+    found = records.validate_csv(csv_reports.scan_csv(spark, folder), "r").collect()
+    assert {r.email: (r.is_valid, r.error_codes, r.links) for r in found} == {
+        "a@example.com": (True, [], "x,y"), "no-at-sign": (False, ["INVALID_EMAIL"], None),
+        "b@example.com": (False, ["INVALID_FECHA_ENVIO", "INVALID_INTEGER"], None),
+        "c@example.com": (True, [], None),
+    }
+    assert records.visits(records.validate_csv(csv_reports.scan_csv(spark, folder), "r")).count() == 2
