@@ -8,8 +8,13 @@ arithmetic on ids, for every row of the table.
 
 from __future__ import annotations
 
+import os
 from datetime import date
+from itertools import groupby
+from operator import itemgetter
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,6 +148,8 @@ FROM (
 ) AS copies WHERE file_no % 10 = 7
 """
 EMPTY_FILE = "report_000.txt"
+# Spark's name for a null in a path; files of such names are hidden from its scans.
+_NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 
 # One control row per order; statuses get milder from one third of the runs to the next.
 FILE_CONTROL = """
@@ -363,21 +370,54 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registered_runs(spark, sf_dir).select(F.inline(F.array_compact(F.array(*events))))
 
 
+def _named_files(folder: str):
+    """Writes rows of file_name and raw_record, those of a name together, as files of a shared folder.
+
+    A file appears under its name when it is whole; a repeated task writes the same one.
+    """
+
+    def run(batches):
+        name, draft, out = None, None, None
+        for batch in batches:
+            lines = zip(batch.column("file_name").to_pylist(), batch.column("raw_record").to_pylist())
+            for following, group in groupby(lines, key=itemgetter(0)):
+                if following != name:
+                    if out is not None:
+                        out.close()
+                        os.replace(draft, f"{folder}/{name}")
+                    name, draft = following, f"{folder}/.{following}.{TaskContext.get().taskAttemptId()}"
+                    out = open(draft, "wb")
+                    yield pa.RecordBatch.from_arrays([pa.array([name])], names=["file_name"])
+                out.write(b"".join((text or b"") + b"\n" for _, text in group))
+        if out is not None:
+            out.close()
+            os.replace(draft, f"{folder}/{name}")
+
+    return run
+
+
 def _write_files(spark: SparkSession, rows: DataFrame, folder: str) -> str:
     """Rows of file_name, source_line and raw_record as one text file per name; returns its folder.
 
-    Spark writes one part per file name; the parts then get their report names.
+    On a shared disk the tasks write the files themselves. Elsewhere Spark's writer makes one part
+    per file name, in a folder each; the parts then get their report names.
     """
-    (
-        rows.repartition("file_name")
-        .sortWithinPartitions("file_name", "source_line")
-        .select("raw_record", "file_name")
-        .write.partitionBy("file_name").text(f"{folder}/parts")
-    )
     path = spark._jvm.org.apache.hadoop.fs.Path
     target = path(f"{folder}/in")
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(target)
+    together = (
+        rows.repartition("file_name")
+        .sortWithinPartitions("file_name", "source_line")
+        .select("raw_record", "file_name")
+    )
+    if fs.getUri().getScheme() == "file":
+        as_bytes = together.select(
+            F.col("raw_record").cast("binary"), F.coalesce("file_name", F.lit(_NO_NAME)).alias("file_name")
+        )
+        as_bytes.mapInArrow(_named_files(target.toUri().getPath()), "file_name string").count()
+        return f"{folder}/in"
+    together.write.partitionBy("file_name").text(f"{folder}/parts")
     for part in fs.globStatus(path(f"{folder}/parts/*/part-*")):
         name = part.getPath().getParent().getName().split("=", 1)[1]
         fs.rename(part.getPath(), path(f"{folder}/in/{name}"))

@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from mailtrail import layout
+from mailtrail import feeds, layout
 from mailtrail.operators import archive, layout_gate, records
 from mailtrail.sources import csv_reports, landing, lines
 
@@ -129,3 +129,25 @@ def test_csv_scan_is_validated(spark, tmp_path):
         "c@example.com": (True, [], None),
     }
     assert records.visits(records.validate_csv(csv_reports.scan_csv(spark, folder), "r")).count() == 2
+
+
+def test_report_files_are_written_by_tasks(spark, tmp_path):
+    rows = [
+        (f"report_{f}.txt", n, None if n == 3 else f"{f};{n};\u00f1\t\"x\"" if n != 4 else "")
+        for f in range(40) for n in range(1 + f % 7)
+    ]
+    rows.append((None, 0, "hidden from scans"))
+    frame = spark.createDataFrame(rows[::-1], "file_name string, source_line bigint, raw_record string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # files that go on in the next batch
+    try:
+        folder = feeds._write_files(spark, frame, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    wanted = {}
+    for name, _, text in rows:
+        wanted[name or "__HIVE_DEFAULT_PARTITION__"] = wanted.get(name or "__HIVE_DEFAULT_PARTITION__", b"") + (
+            (text or "").encode() + b"\n")
+    assert {p.name: p.read_bytes() for p in (tmp_path / "in").iterdir()} == wanted
+    assert not (tmp_path / "parts").exists()  # no folder per file, no rename per file by the driver
+    assert landing.file_manifest(spark, folder).count() == 40
