@@ -202,7 +202,10 @@ def _of_files(read, folder: str, files: DataFrame) -> DataFrame:
     Their paths go through the driver, as those of every file scan do.
     """
     paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r[0]) for r in files.select("file_path").collect()]
-    return read(paths) if paths else read(folder).filter(F.lit(False))
+    if not paths:
+        return read(folder).filter(F.lit(False))
+    with landing.listed_in_shares(files.sparkSession):
+        return read(paths)
 
 
 def _checksums(spark, folder, manifest, last) -> DataFrame:

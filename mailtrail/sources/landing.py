@@ -6,6 +6,8 @@ manifest joins the names (which include them) to the scan's sizes and times.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,22 @@ from pyspark.sql import functions as F
 
 from .. import layout
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def listed_in_shares(spark: SparkSession) -> Iterator[None]:
+    """Scans opened inside list their paths in a few tasks a core, not in a task for each path."""
+    before = spark.conf.get(LISTING_TASKS, None)
+    spark.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(LISTING_TASKS)
+        else:
+            spark.conf.set(LISTING_TASKS, before)
+
 
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, r"[/\\]"), -1)

@@ -155,6 +155,26 @@ def test_known_files_are_not_read_again(spark, place, monkeypatch):
         "report_1.txt": "SKIPPED_ALREADY_PROCESSED", "report_2.txt": "BACKED_UP"}
 
 
+def test_paths_are_listed_in_shares(spark, tmp_path):
+    names = [f"report_{n}.txt" for n in range(120)]
+    for name in names:
+        put(tmp_path, name, visit(f"{name}@example.com"))
+    files = spark.createDataFrame([(f"{tmp_path}/{n}",) for n in names], "file_path string")
+    before = spark.conf.get(batch.landing.LISTING_TASKS, None)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        read = batch._of_files(lambda paths: batch.landing.file_contents(spark, paths), str(tmp_path), files)
+        told = spark.sparkContext.statusTracker()
+        stages = [told.getStageInfo(s) for j in told.getJobIdsForGroup("listing") for s in told.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    most = max(s.numTasks for s in stages if s)
+    assert 1 < most <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(batch.landing.LISTING_TASKS, None) == before
+    assert sorted(r.file_name for r in read.collect()) == sorted(names)
+
+
 def test_a_source_replaced_during_the_run_is_not_archived(spark, place, monkeypatch):
     inbox, house, go = place
     put(inbox, "report_1.txt", visit("a@example.com"))
