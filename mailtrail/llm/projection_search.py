@@ -3,10 +3,9 @@
 Vectors of unit length are projected by a Gaussian (2-stable) matrix to ``M`` numbers: the squared
 projected distance of two vectors, over their squared distance, follows a chi-square law of M
 degrees. The projections are split into kd cells (fitted on a bounded sample; every vector is in
-one), a cell into blocks, and a block into kd leaves when it is searched. A query takes the
-leaves of its own cell by projected distance, and verifies vectors on their full length, until
-a vector as near as its k-th best would lie nearer in projection with probability ``SURE``; with
-the k-th best it then goes on to the other cells that pass the test.
+one), and a cell into blocks. A query meets all vectors of its own cell on their full length, many
+queries in one matrix product; with its k-th best it then goes on to the other cells, but for
+those where a vector as near would lie nearer in projection with probability ``SURE``.
 
 Vectors that are null, zero, or hold null or non-finite numbers take no part, nor do rows without
 vec_id; vectors of different lengths are not compared. Of equal vectors only the k + 1 smallest
@@ -28,7 +27,9 @@ from .shared import kept, text_bytes
 M, SURE = 8, 0.999
 #: Rows on which cells are fitted, per vector length.
 SAMPLE = 8192
-MAX_CELLS, CELL_ROWS, BLOCK_ROWS, LEAF_ROWS = 1024, 4096, 8192, 32
+MAX_CELLS, CELL_ROWS, BLOCK_ROWS = 1024, 4096, 8192
+#: Cosines that a task has in memory at once, and their rounding at most.
+PAIRS, SLACK = 1 << 20, 1e-9
 #: Partial groups of equal vectors, before they meet.
 SALTS = 64
 _ROW = "cell bigint, block int, kind int, id bigint, ids array<bigint>, bound double, vec binary"
@@ -166,54 +167,41 @@ def _in_cells(models: dict[int, Cells]):
 
 # --- searching -----------------------------------------------------------------------------
 
-class Leaves:
-    """A kd-tree's leaves over the vectors of a block, for verified search in projected order."""
-
-    def __init__(self, vectors: np.ndarray, ids: list, projected: np.ndarray):
-        order, parts = [], [np.arange(len(vectors))]
-        while parts:
-            part = parts.pop()
-            if len(part) <= LEAF_ROWS:
-                order.append(part)
-                continue
-            axis = int(np.argmax(np.ptp(projected[part], axis=0)))
-            half = len(part) // 2
-            part = part[np.argpartition(projected[part, axis], half)]
-            parts += [part[half:], part[:half]]
-        self.leaves = order
-        self.low = np.array([projected[x].min(axis=0) for x in order])
-        self.high = np.array([projected[x].max(axis=0) for x in order])
-        self.vectors, self.projected, self.ids = vectors, projected, ids
-        self.norms = np.linalg.norm(vectors, axis=1)
+class Block:
+    """The vectors of a block, searched by a batch of queries at once."""
 
-    def nearest(self, own: int, vector: np.ndarray, projected: np.ndarray, bound: float, k: int, limit: float):
-        """Up to k (score, id), the best first, among what can be nearer than ``bound``."""
-        gap = np.maximum(0, np.maximum(self.low - projected, projected - self.high))
-        far = (gap * gap).sum(axis=1)
-        norm, best = np.linalg.norm(vector), []
-        for leaf in np.argsort(far, kind="stable"):
-            if far[leaf] > limit * bound:
-                break
-            rows = self.leaves[leaf]
-            near = ((self.projected[rows] - projected) ** 2).sum(axis=1) <= limit * bound
-            rows = rows[near]
-            scores = self.vectors[rows] @ vector / (self.norms[rows] * norm)
-            for row, score in zip(rows.tolist(), scores.tolist()):
-                if len(best) < k or score >= best[-1][0]:
-                    best += [(score, x) for x in self.ids[row] if x != own]
-                    best.sort(key=lambda x: (-x[0], x[1]))
-                    del best[k:]
-            if len(best) == k:
-                # Of unit vectors the squared distance is 2 - 2 cos; rounding must not end ties.
-                bound = min(bound, max(0.0, 2 - 2 * best[-1][0]) + 1e-12)
-        return best
-
-
-def _search_rows(models: dict[int, Cells], k: int):
-    limit = chi_square_quantile(SURE, M)
+    def __init__(self, vectors: np.ndarray, ids: list):
+        self.vectors, self.ids = vectors, ids
+        self.norms = np.linalg.norm(vectors, axis=1)
 
+    def nearest(self, own: list, queries: np.ndarray, bounds: np.ndarray, k: int):
+        """Per query up to k (score, id), the best first, among what can be nearer than its bound."""
+        norms = np.linalg.norm(queries, axis=1)
+        step = max(1, PAIRS // len(self.vectors))
+        for start in range(0, len(queries), step):
+            part = slice(start, start + step)
+            cosines = (queries[part] / norms[part, None]) @ self.vectors.T / self.norms
+            cosines[np.isnan(cosines)] = -2  # a length that is 0 in double precision
+            # Products are rounded by their place in the matrix: what is within SLACK is scored by itself.
+            least = 1 - bounds[part] / 2
+            if len(self.vectors) > k + 1:  # the query's own vector can be one of them
+                top = np.argpartition(cosines, -(k + 1), axis=1)[:, -(k + 1):]
+                least = np.maximum(least, np.take_along_axis(cosines, top, axis=1).min(axis=1))
+            query, row = np.nonzero(cosines >= (least - SLACK)[:, None])
+            turn = np.searchsorted(query, np.arange(len(cosines) + 1))
+            for n in range(len(cosines)):
+                vector, rows = queries[start + n], row[turn[n]:turn[n + 1]]
+                scores = (self.vectors[rows] * vector).sum(axis=1) / (self.norms[rows] * norms[start + n])
+                best = [
+                    (score, x) for score, r in zip(scores.tolist(), rows.tolist())
+                    for x in self.ids[r] if x != own[start + n]
+                ]
+                yield sorted(best, key=lambda x: (-x[0], x[1]))[:k]
+
+
+def _search_rows(k: int):
     def run(batches):
-        key, rows, tree = None, [], None
+        key, rows, held = None, [], None
         for batch in batches:
             cells, blocks, kinds = (batch.column(c).to_numpy() for c in ("cell", "block", "kind"))
             turn = np.flatnonzero(np.diff(cells, prepend=-1) | np.diff(blocks, prepend=-1) | np.diff(kinds, prepend=-1))
@@ -221,24 +209,19 @@ def _search_rows(models: dict[int, Cells], k: int):
             for start, end in zip(turn.tolist(), [*turn[1:].tolist(), batch.num_rows]):
                 part = batch.slice(start, end - start)
                 if (now := (cells[start], blocks[start])) != key:
-                    key, rows, tree = now, [], None
+                    key, rows, held = now, [], None
                 if kinds[start] == 0:
                     rows.append(part)
                     continue
                 if not rows:
                     continue
-                queries = _matrix(part.column("vec"))
-                model = models[queries.shape[1]]
-                if tree is None:
+                if held is None:
                     vectors = np.concatenate([_matrix(x.column("vec")) for x in rows])
-                    ids = [i for x in rows for i in x.column("ids").to_pylist()]
-                    tree = Leaves(vectors, ids, model.project(vectors))
-                projected = model.project(queries)
-                for n, (query, own, bound) in enumerate(zip(
-                    part.column("id").to_pylist(), part.column("ids").to_pylist(), part.column("bound").to_pylist()
-                )):
-                    found = tree.nearest(own[0], queries[n], projected[n], bound, k, limit)
-                    out += [(query, own[0], score, i) for score, i in found]
+                    held = Block(vectors, [i for x in rows for i in x.column("ids").to_pylist()])
+                query, own = part.column("id").to_pylist(), [x[0] for x in part.column("ids").to_pylist()]
+                bounds = part.column("bound").to_numpy()
+                best = held.nearest(own, _matrix(part.column("vec")), bounds, k)
+                out += [(q, o, score, i) for q, o, found in zip(query, own, best) for score, i in found]
             columns = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
@@ -249,7 +232,7 @@ def _search_rows(models: dict[int, Cells], k: int):
     return run
 
 
-def _search(index: DataFrame, routed: DataFrame, models: dict[int, Cells], k: int) -> DataFrame:
+def _search(index: DataFrame, routed: DataFrame, k: int) -> DataFrame:
     """The k best of each block for the queries routed to its cell (query, vec_id, cell, bound, vec)."""
     blocks = index.select("cell", "blocks").distinct()
     sent = routed.join(blocks, "cell").select(
@@ -262,7 +245,7 @@ def _search(index: DataFrame, routed: DataFrame, models: dict[int, Cells], k: in
     )
     # A block's vectors come first, then its queries, of which a task holds a batch at a time.
     return held.unionByName(sent).repartition("cell", "block").sortWithinPartitions("cell", "block", "kind").mapInArrow(
-        _search_rows(models, k), "query bigint, query_id bigint, score double, vec_id bigint"
+        _search_rows(k), "query bigint, query_id bigint, score double, vec_id bigint"
     )
 
 
@@ -334,7 +317,7 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         "search-queries",
     )
     near = kept(
-        _best(_search(index, asked.withColumn("bound", F.lit(4.1)), models, k), k), "search-near"
+        _best(_search(index, asked.withColumn("bound", F.lit(4.1)), k), k), "search-near"
     )
     bounds = near.filter(F.col("rank") == k).select(
         "query", (F.greatest(2 - 2 * F.col("score"), F.lit(0.0)) + 1e-12).alias("bound")
@@ -345,5 +328,5 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
             _other_cells(models, boxes), "query bigint, vec_id bigint, bound double, vec binary, cell bigint"
         )
     )
-    found = near.drop("rank").unionByName(_search(index, more, models, k))
+    found = near.drop("rank").unionByName(_search(index, more, k))
     return _best(found, k).select("query_id", "rank", "vec_id", "score")

@@ -499,6 +499,30 @@ def test_nearest(spark, monkeypatch):
     assert projection_search.nearest(frame.limit(0), frame.limit(0), 5).count() == 0
 
 
+def test_nearest_in_a_block(monkeypatch):
+    """A batch of queries is one search: the same rows as by brute force, ties to smaller ids."""
+    monkeypatch.setattr(projection_search, "PAIRS", 5000)
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(2000, 16))
+    vectors[1000:1100] = 2 * vectors[:100]  # the same directions, and exactly so: ties
+    block = projection_search.Block(vectors, [[10 * i, 10 * i + 1] for i in range(2000)])
+    queries = vectors[:300] + 0.1 * rng.normal(size=(300, 16))
+    cosines = (queries @ vectors.T) / np.linalg.norm(vectors, axis=1) / np.linalg.norm(queries, axis=1)[:, None]
+    near = np.sort(np.round(cosines, 12), axis=1)[:, -3]
+    for bounds in (np.full(300, 4.1), 2 - 2 * near + 1e-11):
+        found = list(block.nearest([10 * n for n in range(300)], queries, bounds, 5))
+        for n, best in enumerate(found):
+            wanted = sorted(
+                (-round(c, 12), i) for r, c in enumerate(cosines[n]) for i in (10 * r, 10 * r + 1) if i != 10 * n
+            )[:5]
+            least = 5 if bounds[n] > 4 else 3
+            assert [i for _, i in best[:least]] == [i for _, i in wanted[:least]]
+            assert np.allclose([score for score, _ in best[:least]], [-c for c, _ in wanted[:least]], atol=1e-10)
+    small = projection_search.Block(vectors[:3], [[0], [1], [2]])
+    assert sorted(i for _, i in next(small.nearest([0], vectors[:1], np.full(1, 4.1), 5))) == [1, 2]
+    assert sorted(i for _, i in next(small.nearest([7], vectors[:1], np.full(1, 4.1), 5))) == [0, 1, 2]
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("part", [
